@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import cached_property
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -22,9 +24,11 @@ class Inputs:
         self.servers = samples.server_metrics(self.events)
         self.applications = samples.application_metrics(self.events)
 
-    @property
+    @cached_property
     def as_of(self):
-        return samples.newest(self.events)
+        """Newest event. One value on the driver, so that time filters reach the scan as
+        literals; a dashboard passes the present moment instead."""
+        return F.lit(samples.newest(self.events)).cast("timestamp_ntz")
 
     @property
     def month(self):
@@ -119,7 +123,8 @@ z AS (
   SELECT *, trend + seasonal AS expected_value, actual_value - (trend + seasonal) AS residual,
          (actual_value - (trend + seasonal)) / spread AS z_score FROM e),
 sc AS (
-  SELECT *, least(1.0::DOUBLE, abs(z_score) / 5) AS anomaly_score,
+  SELECT *, CASE WHEN z_score IS NOT NULL THEN least(1.0::DOUBLE, abs(z_score) / 5) END
+           AS anomaly_score,
          coalesce(abs(z_score) > 3, false) AS is_anomaly FROM z)"""
 
 

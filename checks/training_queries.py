@@ -132,7 +132,7 @@ def _(t):
         f AS (SELECT *, unnest(generate_series("timestamp",
           coalesce(nt - INTERVAL 1 HOUR, "timestamp"), INTERVAL 1 HOUR)) AS step FROM p)
         SELECT entity_id, metric_name, step AS "timestamp", round(value + coalesce((nv - value)
-          * (epoch(step) - epoch("timestamp")) / (epoch(nt) - epoch("timestamp")), 0), 6) AS value
+          * ((epoch(step) - epoch("timestamp")) / (epoch(nt) - epoch("timestamp"))), 0), 6) AS value
         FROM f""",
 )
 def _(t):

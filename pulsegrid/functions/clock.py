@@ -53,6 +53,12 @@ def moment(value: Column | datetime | None) -> Column:
     return value if isinstance(value, Column) else F.lit(value)
 
 
+def _like(df: DataFrame, column: str, bound: Column) -> Column:
+    """The bound in the column's own type: a cast on the column would keep the filter out of
+    the scan."""
+    return bound.cast(df.schema[column].dataType)
+
+
 def within_last(
     df: DataFrame,
     lookback: str,
@@ -64,7 +70,7 @@ def within_last(
     On tables partitioned by ``event_date`` the bound is repeated on that column, so
     partitions before it are never listed or read.
     """
-    since = moment(as_of) - interval(lookback)
+    since = _like(df, column, moment(as_of) - interval(lookback))
     keep = F.col(column) > since
     if "event_date" in df.columns:
         keep = keep & (F.col("event_date") >= F.to_date(since))
@@ -78,7 +84,7 @@ def in_range(
     column: str = "timestamp",
 ) -> DataFrame:
     """Rows between two moments, both included, with the same partition pruning."""
-    start, end = moment(start), moment(end)
+    start, end = (_like(df, column, moment(m)) for m in (start, end))
     keep = F.col(column).between(start, end)
     if "event_date" in df.columns:
         keep = keep & F.col("event_date").between(F.to_date(start), F.to_date(end))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,9 +26,9 @@ def read_events(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/events.parquet")
 
 
-def newest(events: DataFrame):
-    """Time of the newest event, as a scalar subquery."""
-    return events.agg(F.max("ts")).scalar()
+def newest(events: DataFrame) -> datetime:
+    """Time of the newest event."""
+    return events.agg(F.max("ts")).first()[0]
 
 
 def server_metrics(events: DataFrame, *extra: Column) -> DataFrame:
