@@ -205,7 +205,7 @@ def _(t):
        CAST(NULL AS INTEGER) AS below_a_minute FROM events""",
 )
 def _(t):
-    slot = lambda step, size: slot_of_day(F.col("ts"), F.lit(step), F.lit(size))
+    slot = lambda step, size: F.expr(slot_of_day("ts", step, size))
     return t.events.select(
         "event_id",
         slot(300, 288).alias("five_minutes"),

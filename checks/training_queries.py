@@ -10,6 +10,7 @@ from pulsegrid.operators import series
 from pulsegrid.operators.fitting import decompose_series
 from pulsegrid.operators.scoring import anomaly_records, score
 from pulsegrid.plans import training
+from pulsegrid.session import materialize
 
 from .registry import SERVERS, query
 
@@ -159,6 +160,6 @@ def _(t):
 @query("detect_with_trained_models")
 def _(t):
     """Fit on the whole history, then score every reading against the fitted models."""
-    models = training.train_models(t.servers, CONFIG, t.as_of)
+    models = materialize(training.train_models(t.servers, CONFIG, t.as_of))
     found = score(t.servers, models, CONFIG.metrics, carry=("event_id",))
     return anomaly_records(found, carry=["event_id"]).select("*", "details.*").drop("details")

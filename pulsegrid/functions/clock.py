@@ -114,11 +114,11 @@ def seconds_between(later: Column, earlier: Column) -> Column:
     return (micros(later) - micros(earlier)) / F.lit(1e6)
 
 
-def slot_of_day(ts: Column, interval_seconds: Column, slots: Column) -> Column:
-    """Position of a timestamp in a daily cycle of ``slots`` entries.
+def slot_of_day(ts: str, interval_seconds: str, slots: str) -> str:
+    """SQL for the position of a timestamp in a daily cycle of ``slots`` entries.
 
     NULL when the interval is shorter than a minute or the cycle is empty.
     """
-    minute = F.hour(ts) * 60 + F.minute(ts)
-    step = F.nullif(F.floor(interval_seconds / 60).cast("int"), F.lit(0))
-    return F.floor(minute / step).cast("int") % F.nullif(slots, F.lit(0))
+    minute = f"(hour({ts}) * 60 + minute({ts}))"
+    step = f"nullif(CAST({interval_seconds} AS INT) div 60, 0)"
+    return f"CAST({minute} div {step} % nullif({slots}, 0) AS INT)"

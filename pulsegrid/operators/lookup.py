@@ -2,29 +2,27 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 BROADCAST_LIMIT_BYTES = 64 * 1024 * 1024
 SALT_BUCKETS = 64
 
 
-def fits_broadcast(df: DataFrame, row_bytes: Column | int, limit: int) -> bool:
-    """Whether the measured size of ``df`` is within ``limit``.
+def measured_bytes(df: DataFrame, row_bytes: str | int) -> float:
+    """Estimated size of ``df``: one aggregate over it, of which a single row reaches the driver.
 
-    One small aggregate over the candidate side; a single row reaches the driver.
+    ``row_bytes`` is a number or an SQL expression per row.
     """
-    width = F.lit(row_bytes) if isinstance(row_bytes, int) else row_bytes
-    total = df.agg(F.sum(width.cast("double")).alias("bytes")).first()["bytes"]
-    return (total or 0.0) <= limit
+    return df.agg(F.sum(F.expr(f"CAST({row_bytes} AS DOUBLE)"))).first()[0] or 0.0
 
 
 def lookup_left(
     facts: DataFrame,
     side: DataFrame,
     key: str,
-    spread_by: Column,
-    row_bytes: Column | int,
+    side_bytes: float,
+    spread_by: str,
     limit: int = BROADCAST_LIMIT_BYTES,
     salt_buckets: int = SALT_BUCKETS,
 ) -> DataFrame:
@@ -35,12 +33,10 @@ def lookup_left(
     retried task produces the same rows, and each side row is copied to every salt. A key
     holding a third of all facts is thereby spread over ``salt_buckets`` partitions.
     """
-    if fits_broadcast(side, row_bytes, limit):
+    if side_bytes <= limit:
         return facts.join(F.broadcast(side), key, "left")
-    salted = facts.withColumn("_salt", F.pmod(F.xxhash64(spread_by), F.lit(salt_buckets)))
-    copies = side.withColumn(
-        "_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salt_buckets - 1).cast("long")))
-    )
+    salted = facts.selectExpr("*", f"pmod(xxhash64({spread_by}), {salt_buckets}L) AS _salt")
+    copies = side.selectExpr("*", f"explode(sequence(0L, {salt_buckets - 1}L)) AS _salt")
     return salted.join(copies.hint("shuffle_merge"), [key, "_salt"], "left").drop("_salt")
 
 
@@ -65,7 +61,7 @@ def interval_left(
     slotted = spans.withColumn(
         "_slot", F.explode(F.sequence(slot_of(F.col(start)), slot_of(F.col(end))))
     )
-    if fits_broadcast(slotted, row_bytes, limit):
+    if measured_bytes(slotted, row_bytes) <= limit:
         slotted = F.broadcast(slotted)
     left = facts.withColumn("_slot", slot_of(F.col(at))).alias("f")
     right = slotted.withColumnRenamed(key, "_span_key").withColumnRenamed("_slot", "_span_slot")

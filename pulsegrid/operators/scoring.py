@@ -13,9 +13,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.bands import severity
-from ..functions.clock import seconds_between, slot_of_day
+from ..functions.clock import slot_of_day
 from ..functions.documents import encode
-from .lookup import BROADCAST_LIMIT_BYTES, SALT_BUCKETS, lookup_left
+from .lookup import BROADCAST_LIMIT_BYTES, SALT_BUCKETS, lookup_left, measured_bytes
 from .series import known_metrics
 
 _SCALARS = (
@@ -48,13 +48,16 @@ def pack_models(models: DataFrame, metrics: Sequence[str]) -> DataFrame:
     )
 
 
-def _packed_bytes(metrics: Sequence[str]) -> Column:
-    """Upper estimate of a packed row's size."""
-    parts = [
-        F.coalesce(F.size(F.col(f"model_{m}.seasonal_pattern")), F.lit(0)) * 8 + 120
-        for m in metrics
-    ]
-    return sum(parts[1:], parts[0]) + F.octet_length("entity_id")
+def _reading_of(metric: str) -> str:
+    """SQL struct of one metric's value and what its model says about the moment."""
+    model = f"model_{metric}"
+    cycle = f"{model}.seasonal_pattern"
+    slot = slot_of_day("timestamp", f"{model}.interval_seconds", f"size({cycle})")
+    scalars = ", ".join(f"'{name}', {model}.{name}" for name in _SCALARS)
+    return (
+        f"named_struct('metric_name', '{metric}', 'actual_value', CAST({metric} AS DOUBLE), "
+        f"'model_found', {model} IS NOT NULL, 'seasonal', get({cycle}, {slot}), {scalars})"
+    )
 
 
 def score(
@@ -69,8 +72,9 @@ def score(
 ) -> DataFrame:
     """One row per reading and non-NULL metric, with expectation, z-score and verdict.
 
-    Readings without a model come out with ``model_found = false`` and no z-score. A model
-    whose residual spread is zero yields a NULL z-score, which is no anomaly.
+    Readings without a model come out with ``model_found = false`` and no z-score. A z-score
+    that is undefined (the model's residual spread is zero) is NULL, which is no anomaly.
+    ``models`` is read twice, to measure it and to join it, so pass a stored table.
     """
     names = known_metrics(readings, metrics)
     facts = readings.select(F.col(entity).alias("entity_id"), "timestamp", *carry, *names)
@@ -78,45 +82,33 @@ def score(
         facts,
         pack_models(models, names),
         "entity_id",
-        spread_by=F.col("timestamp"),
-        row_bytes=_packed_bytes(names),
+        side_bytes=measured_bytes(models, "8 * size(seasonal_pattern) + 160"),
+        spread_by="timestamp",
         limit=broadcast_limit,
         salt_buckets=salt_buckets,
     )
-
-    def one(metric: str) -> Column:
-        model = F.col(f"model_{metric}")
-        cycle = model["seasonal_pattern"]
-        slot = slot_of_day(F.col("timestamp"), model["interval_seconds"], F.size(cycle))
-        return F.struct(
-            F.lit(metric).alias("metric_name"),
-            F.col(metric).cast("double").alias("actual_value"),
-            model.isNotNull().alias("model_found"),
-            F.get(cycle, slot).alias("seasonal"),
-            *(model[name].alias(name) for name in _SCALARS),
-        )
-
     keep = ["entity_id", "timestamp", *carry]
-    long = joined.select(*keep, F.inline(F.array(*(one(m) for m in names)))).filter(
-        F.col("actual_value").isNotNull()
-    )
-    periods = F.try_divide(
-        seconds_between(F.col("timestamp"), F.col("trend_last_timestamp")),
-        F.col("interval_seconds"),
-    )
-    z = F.col("z_score")
+    structs = ", ".join(_reading_of(m) for m in names)
     return (
-        long.withColumn("trend", F.col("trend_last_value") + F.col("trend_slope") * periods)
-        .withColumn("expected_value", F.col("trend") + F.col("seasonal"))
-        .withColumn("residual", F.col("actual_value") - F.col("expected_value"))
-        .withColumn(
-            "z_score",
-            F.try_divide(F.col("residual") - F.col("residual_mean"), F.col("residual_std")),
+        joined.selectExpr(*keep, f"inline(array({structs}))")
+        .filter("actual_value IS NOT NULL")
+        .selectExpr(
+            *keep,
+            "metric_name",
+            "actual_value",
+            "model_found",
+            "seasonal",
+            "(unix_micros(CAST(timestamp AS TIMESTAMP))"
+            " - unix_micros(CAST(trend_last_timestamp AS TIMESTAMP))) / 1e6D AS _seconds",
+            "trend_last_value + trend_slope * try_divide(_seconds, interval_seconds) AS trend",
+            "trend + seasonal AS expected_value",
+            "actual_value - expected_value AS residual",
+            "nullif(try_divide(residual - residual_mean, residual_std), double('NaN')) AS z_score",
+            "if(z_score IS NULL, NULL, least(1D, abs(z_score) / 5D)) AS anomaly_score",
+            f"coalesce(abs(z_score) > {float(threshold)}D, false) AS is_anomaly",
+            f"{float(threshold)}D AS threshold",
         )
-        .withColumn("anomaly_score", F.when(z.isNotNull(), F.least(F.lit(1.0), F.abs(z) / 5.0)))
-        .withColumn("is_anomaly", F.coalesce(F.abs(z) > threshold, F.lit(False)))
-        .withColumn("threshold", F.lit(float(threshold)))
-        .drop(*_SCALARS)
+        .drop("_seconds")
     )
 
 

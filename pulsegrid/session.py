@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+import tempfile
+
+from pyspark.sql import DataFrame, SparkSession
 
 # Correctness: timestamps are UTC. Scale: AQE re-plans joins, splits skewed
 # join partitions and merges small shuffle partitions at run time.
@@ -13,13 +15,15 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
+# Fixed when the session starts. Saves a stack inspection per Column operation on the driver.
+STATIC_SETTINGS = {"spark.python.sql.dataFrameDebugging.enabled": "false"}
 
 
 def build_session(app: str = "pulsegrid", master: str | None = None, **extra: str) -> SparkSession:
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    for key, value in {**SETTINGS, **extra}.items():
+    for key, value in {**SETTINGS, **STATIC_SETTINGS, **extra}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 
@@ -31,12 +35,23 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def shared_folder(spark: SparkSession, fallback: str | None = None) -> str:
-    """Folder every executor can reach, as the cluster names it in ``spark.checkpoint.dir``.
+def shared_folder(spark: SparkSession) -> str:
+    """Folder all executors can reach, as the cluster names it in ``spark.checkpoint.dir``.
 
-    ``fallback`` is used only where the cluster names none, as in local tests.
+    Where it is unset a local session (tests) gets a folder of its own; a cluster must name one.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None) or fallback
-    if not folder:
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if folder:
+        return folder
+    if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-    return folder
+    return tempfile.mkdtemp(prefix="pulsegrid-")
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    """Compute ``df`` once into the shared folder, so that what reads it twice runs it once and
+    lost executors cost nothing."""
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(shared_folder(df.sparkSession))
+    return df.checkpoint()
