@@ -6,6 +6,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+# Spark's default keeps milliseconds only.
+_ISO = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
 _PERMISSIVE = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"}
 
 
@@ -16,7 +18,7 @@ def decode(text: Column, schema: T.StructType) -> Column:
 
 def encode(*columns: Column | str) -> Column:
     """JSON object of the given columns."""
-    return F.to_json(F.struct(*columns))
+    return F.to_json(F.struct(*columns), _ISO)
 
 
 def field_text(document: Column, name: str) -> Column:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.clock import interval, moment
-from ..functions.documents import decode
+from ..functions.documents import decode, encode
 from ..schemas import MODELS
 from .files import Files
 
@@ -52,9 +52,7 @@ def model_key(method: Column, entity: Column, metric: Column) -> Column:
 def to_documents(models: DataFrame) -> DataFrame:
     """(key, value) with the model as JSON text, for export."""
     key = model_key(*(F.col(c) for c in KEY))
-    return models.select(
-        key.alias("key"), F.to_json(F.struct(*MODELS.fieldNames())).alias("value")
-    )
+    return models.select(key.alias("key"), encode(*MODELS.fieldNames()).alias("value"))
 
 
 def from_documents(documents: DataFrame) -> DataFrame:

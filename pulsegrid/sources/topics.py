@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import TopicConfig
+from ..functions.documents import encode
 
 
 def read_options(config: TopicConfig) -> dict[str, str]:
@@ -50,7 +51,7 @@ def folder_stream(
 
 def as_messages(records: DataFrame) -> DataFrame:
     """One JSON text per record."""
-    return records.select(F.to_json(F.struct("*")).alias("value"))
+    return records.select(encode("*").alias("value"))
 
 
 def write_topic(records: DataFrame, config: TopicConfig, checkpoint: str):
