@@ -18,6 +18,9 @@ class TopicConfig:
     # Bounds one micro-batch. A broker-side poll size of 500 would cap a 5 s trigger at
     # 100 events/s, so the bound is set for throughput; lower it to bound memory.
     max_records_per_trigger: int | None = 1_000_000
+    # Splits long offset ranges, so that a topic partition holding most of the messages is
+    # read by several tasks. None: one task per topic partition.
+    min_partitions: int | None = None
 
     def __post_init__(self):
         if self.starting_offsets not in ("earliest", "latest"):

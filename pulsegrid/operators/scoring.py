@@ -148,7 +148,7 @@ def export_details(anomalies: DataFrame) -> DataFrame:
 
 
 def counters() -> dict[str, Column]:
-    """Detection counters over scored rows, usable in ``agg`` and ``observe``."""
+    """Detection counters over scored rows, for ``agg``."""
     return {
         "total_analyzed": F.count("*"),
         "models_not_found": F.count_if(~F.col("model_found")),

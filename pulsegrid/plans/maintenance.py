@@ -20,8 +20,10 @@ def retention_kept(
     df: DataFrame, as_of: Column | datetime | None = None, days: int = RETENTION_DAYS
 ) -> DataFrame:
     """Rows of the days retention keeps."""
-    day = F.col(DATE) if DATE in df.columns else F.to_date("timestamp")
-    return df.filter(day >= F.date_sub(F.to_date(moment(as_of)), days))
+    first = F.date_sub(F.to_date(moment(as_of)), days)
+    if DATE in df.columns:
+        return df.filter(F.col(DATE) >= first)
+    return df.filter(F.col("timestamp") >= first.cast(df.schema["timestamp"].dataType))
 
 
 def drop_expired(

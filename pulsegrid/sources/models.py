@@ -17,9 +17,9 @@ KEY = ("method_name", "entity_id", "metric_name")
 
 
 def newest_models(models: DataFrame, by: str = "saved_at") -> DataFrame:
-    """Newest model per key. An aggregate, combined map-side; no group is sorted."""
+    """Newest model per key, as an aggregate combined map-side; ties resolve to the greatest."""
     rest = [c for c in models.columns if c not in KEY and c != by]
-    newest = F.max_by(F.struct(by, *rest), by).alias("newest")
+    newest = F.max(F.struct(by, *rest)).alias("newest")
     return models.groupBy(*KEY).agg(newest).select(*KEY, "newest.*").select(*models.columns)
 
 

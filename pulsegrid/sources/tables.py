@@ -67,7 +67,11 @@ class TableStore:
         return self.spark.read.schema(self._schema(name)).parquet(self.path(name))
 
     def append(self, name: str, rows: DataFrame, batch_id: str) -> None:
-        """Write the rows of one batch; columns the rows lack take their defaults."""
+        """Write the rows of one batch; columns the rows lack take their defaults.
+
+        Every task that holds rows of a day writes one file for it, so callers merge the
+        partitions of small batches first.
+        """
         table = TABLES[name]
         defaults = {"created_at": F.current_timestamp(), "resolved": F.lit(False)}
         present = set(rows.columns)

@@ -18,6 +18,8 @@ def read_options(config: TopicConfig) -> dict[str, str]:
     }
     if config.max_records_per_trigger:
         options["maxOffsetsPerTrigger"] = str(config.max_records_per_trigger)
+    if config.min_partitions:
+        options["minPartitions"] = str(config.min_partitions)
     return options
 
 

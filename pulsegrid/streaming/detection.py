@@ -2,32 +2,38 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..config import DetectionConfig
-from ..functions.clock import parse_iso
-from ..functions.documents import decode
 from ..operators.methods import get_method
-from ..operators.quality import SERVER
+from ..operators.quality import SERVER, parse_messages
 from ..operators.scoring import anomaly_records, counters
-from ..schemas import MESSAGE
 from ..sources.models import ModelStore
 from ..sources.tables import TableStore
-from .ingest import write_counts
+from .ingest import ROWS_PER_FILE, write_counts
 
 
-def server_readings(messages: DataFrame) -> DataFrame:
-    """Server records of the topic; other kinds and unreadable messages drop out.
+def message_counters() -> dict[str, Column]:
+    """Counters over parsed messages, for ``agg``."""
+    unreadable = F.col("_corrupt_record").isNotNull()
+    undated = (F.col("type") == SERVER) & F.col("timestamp").isNull()
+    return {
+        "total_consumed": F.count("*"),
+        "parse_errors": F.count_if(F.coalesce(unreadable | undated, F.lit(False))),
+    }
+
+
+def server_readings(parsed: DataFrame) -> DataFrame:
+    """Server records among parsed messages; other kinds and unreadable ones drop out.
 
     A NULL metric drops that metric only; the reading's other metrics are still scored.
     """
-    parsed = messages.select(decode(F.col("value"), MESSAGE).alias("m")).select("m.*")
-    return (
-        parsed.filter((F.col("type") == SERVER) & F.col("_corrupt_record").isNull())
-        .withColumn("timestamp", parse_iso("timestamp"))
-        .filter(F.col("timestamp").isNotNull())
+    return parsed.filter(
+        (F.col("type") == SERVER)
+        & F.col("_corrupt_record").isNull()
+        & F.col("timestamp").isNotNull()
     )
 
 
@@ -41,18 +47,31 @@ def detect_batch(
     """Score one micro-batch and write its anomalies.
 
     Models are read here, per batch, so that retraining takes effect without a restart. The
-    counters are observed in the pass that writes, so the batch is scored once.
+    messages are parsed once and kept; scoring them for the counters and again for the records
+    is cheap next to that, and tells how many files the records need.
     """
     method = get_method(config.method_name, config.method_config)
-    fresh = models.load(method.name, config.model_ttl_seconds)
-    scored = method.predict(server_readings(messages), fresh, list(config.metrics))
-    seen = Observation(f"detection_{batch}")
-    watched = scored.observe(seen, *(c.alias(name) for name, c in counters().items()))
-    store.append("anomalies", anomaly_records(watched, method.name), batch)
-    counts = {name: int(value or 0) for name, value in seen.get.items()}
-    if counts.get("total_analyzed"):
+    fresh = models.load(method.name, config.model_ttl_seconds).persist()
+    parsed = parse_messages(messages).persist()
+    try:
+        counts = _count(parsed, message_counters())
+        if not counts["total_consumed"]:
+            return counts
+        scored = method.predict(server_readings(parsed), fresh, list(config.metrics))
+        counts |= _count(scored, counters())
+        if counts["anomalies_detected"]:
+            files = -(-counts["anomalies_detected"] // ROWS_PER_FILE)
+            found = anomaly_records(scored, method.name).repartition(files)
+            store.append("anomalies", found, batch)
         write_counts(store, "detection", counts, batch)
-    return counts
+        return counts
+    finally:
+        parsed.unpersist()
+        fresh.unpersist()
+
+
+def _count(df: DataFrame, columns: dict[str, Column]) -> dict[str, int]:
+    return df.agg(*(column.alias(name) for name, column in columns.items())).first().asDict()
 
 
 def start_detection(

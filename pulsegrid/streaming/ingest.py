@@ -20,6 +20,7 @@ from ..operators.quality import (
 )
 from ..sources.tables import TableStore
 
+ROWS_PER_FILE = 250_000
 _SINKS = (
     (SERVER, "server_metrics", server_records),
     (APPLICATION, "application_metrics", application_records),
@@ -58,10 +59,13 @@ def ingest_batch(store: TableStore, messages: DataFrame, batch: str) -> dict[str
     routed = route_messages(messages).persist()
     try:
         counts = {(r.route, r.reason): r.messages for r in routed_counts(routed).collect()}
-        routes = {route for route, _ in counts}
         for route, table, records in _SINKS:
-            if route in routes:
-                store.append(table, records(routed), batch)
+            size = sum(n for (to, _), n in counts.items() if to == route)
+            if size:
+                # The rows are parsed and kept by now: merging partitions costs no parallelism
+                # of the parse and saves a file per source task.
+                files = -(-size // ROWS_PER_FILE)
+                store.append(table, records(routed).coalesce(files), batch)
         counters = counters_of(counts)
         if counters["total_consumed"]:
             write_counts(store, "ingest", counters, batch)

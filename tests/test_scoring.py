@@ -151,6 +151,17 @@ def test_interval_join_matches_brute_force(spark, events):
     assert any(kind for _, kind in expected)
 
 
+def test_following_matches_a_plain_window(spark, events):
+    episodes = samples.episodes(events).select("entity_id", "start")
+    got = {
+        (r.entity_id, r.start): r.following
+        for r in backtest.with_following(episodes, "entity_id", "start").collect()
+    }
+    starts = sorted(got)
+    for (entity, start), after in zip(starts, [*starts[1:], ("", None)], strict=True):
+        assert got[entity, start] == (after[1] if after[0] == entity else None)
+
+
 def test_later_episode_takes_over(spark):
     t0 = datetime(2025, 1, 1)
     episodes = spark.createDataFrame(

@@ -12,6 +12,7 @@ from pulsegrid.functions.clock import format_iso
 from pulsegrid.operators import quality
 from pulsegrid.operators.scoring import anomaly_records, score
 from pulsegrid.plans import maintenance, rollups
+from pulsegrid.plans.views import register_views
 from pulsegrid.sources import samples, topics
 from pulsegrid.sources.models import MODELS, ModelStore
 from pulsegrid.sources.tables import TABLES, TableStore
@@ -99,6 +100,8 @@ def test_empty_batch_writes_nothing(spark, tmp_path):
     store = TableStore(spark, str(tmp_path)).create()
     empty = spark.createDataFrame([], "value string")
     assert ingest.ingest_batch(store, empty, "ingest-0")["total_consumed"] == 0
+    shelf = ModelStore(spark, str(tmp_path / "models"))
+    assert detection.detect_batch(store, shelf, empty, DetectionConfig(), "d-0")["total_consumed"] == 0
     assert store.read("server_metrics").count() == store.read("stream_counts").count() == 0
 
 
@@ -115,7 +118,9 @@ def test_ingest_stream_restarts_where_it_stopped(spark, tmp_path):
     drain(ingest.start_ingest(stream, store, checkpoint, available_now=True))
     assert store.read("server_metrics").count() == 3
     assert store.read("dead_letter").count() == 1
-    store.register()
+    register_views(store)
+    assert spark.table("recent_server_health").count() == 0  # nothing that young
+    assert spark.table("active_anomalies").columns[0] == "entity_type"
     found = spark.sql(
         "SELECT count(*) AS n FROM server_metrics WHERE server_id = :id", args={"id": "srv-002"}
     )
@@ -156,6 +161,7 @@ def test_stream_and_batch_find_the_same_anomalies(spark, events, tmp_path):
     totals = {r.counter: r.value for r in ingest.totals(store, "detection").collect()}
     assert totals["anomalies_detected"] == expected.count()
     assert totals["total_analyzed"] == 3 * servers.count() and totals["models_not_found"] > 0
+    assert totals["total_consumed"] == servers.count() + 3 and totals["parse_errors"] == 2
     assert store.read("anomalies").filter("NOT resolved").count() == expected.count()
 
 
