@@ -7,7 +7,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pulsegrid.functions.clock import interval
+from pulsegrid.functions.clock import interval, moment
 from pulsegrid.session import prepare
 from pulsegrid.sources import samples
 
@@ -28,7 +28,7 @@ class Inputs:
     def as_of(self):
         """Newest event. One value on the driver, so that time filters reach the scan as
         literals; a dashboard passes the present moment instead."""
-        return F.lit(samples.newest(self.events)).cast("timestamp_ntz")
+        return moment(samples.newest(self.events)).cast("timestamp_ntz")
 
     @property
     def month(self):

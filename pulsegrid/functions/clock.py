@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from datetime import date, datetime
+from datetime import UTC, datetime
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -47,10 +47,12 @@ def bucket(ts: Column | str, width: str) -> Column:
 
 
 def moment(value: Column | datetime | None) -> Column:
-    """A point in time: a column, a datetime, or now."""
+    """A point in time: a column, a datetime (UTC if it names no zone), or now."""
     if value is None:
         return F.current_timestamp()
-    return value if isinstance(value, Column) else F.lit(value)
+    if isinstance(value, Column):
+        return value
+    return F.lit(value if value.tzinfo else value.replace(tzinfo=UTC))
 
 
 def _like(df: DataFrame, column: str, bound: Column) -> Column:
@@ -91,11 +93,6 @@ def in_range(
     return df.filter(keep)
 
 
-def cutoff_date(as_of: datetime | date, days: int) -> date:
-    """First date kept when everything older than ``days`` goes."""
-    return date.fromordinal(as_of.toordinal() - days)
-
-
 def parse_iso(text: Column | str) -> Column:
     """ISO-8601 with ``Z`` or an offset, fraction optional; NULL when unreadable."""
     return F.try_to_timestamp(F.col(text) if isinstance(text, str) else text)
@@ -109,11 +106,6 @@ def micros(ts: Column) -> Column:
     return F.unix_micros(ts.cast("timestamp"))
 
 
-def seconds_between(later: Column, earlier: Column) -> Column:
-    """Elapsed seconds with their fraction."""
-    return (micros(later) - micros(earlier)) / F.lit(1e6)
-
-
 def slot_of_day(ts: str, interval_seconds: str, slots: str) -> str:
     """SQL for the position of a timestamp in a daily cycle of ``slots`` entries.
 

@@ -6,6 +6,7 @@ from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.clock import bucket, interval
 from ..functions.documents import field_number
@@ -22,8 +23,20 @@ BASELINES = {
 UNTRAINED = ("srv-009", "srv-010")
 
 
+EVENTS = T.StructType(
+    [
+        T.StructField("event_id", T.LongType()),
+        T.StructField("ts", T.TimestampNTZType()),
+        T.StructField("user_id", T.LongType()),
+        T.StructField("event_type", T.StringType()),
+        T.StructField("value", T.DoubleType()),
+        T.StructField("props", T.StringType()),
+    ]
+)
+
+
 def read_events(spark: SparkSession, folder: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/events.parquet")
+    return spark.read.schema(EVENTS).parquet(f"{folder}/events.parquet")
 
 
 def newest(events: DataFrame) -> datetime:
