@@ -4,7 +4,6 @@ from pyspark.sql import functions as F
 
 from pulsegrid.config import DEFAULT_METRICS
 from pulsegrid.functions.bands import severity
-from pulsegrid.functions.documents import field_number
 from pulsegrid.operators import backtest, scoring
 from pulsegrid.plans import anomalies as panels
 from pulsegrid.sources import models as model_table
@@ -161,8 +160,9 @@ def _(t):
         FROM r WHERE NOT resolved""",
 )
 def _(t):
-    k = field_number(F.col("props"), "k").cast("int")
-    flagged = samples.server_metrics(t.events, (k < 20).alias("resolved"))
+    flagged = samples.server_metrics(
+        t.events, "CAST(get_json_object(props, '$.k') AS INT) < 20 AS resolved"
+    )
     found = score(t, flagged, carry=("resolved",))
     stored = scoring.anomaly_records(found, carry=["resolved"]).withColumn(
         "created_at", F.col("timestamp")

@@ -5,7 +5,6 @@ from __future__ import annotations
 from functools import cached_property
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from pulsegrid.functions.clock import interval, moment
 from pulsegrid.session import prepare
@@ -21,8 +20,14 @@ class Inputs:
     def __init__(self, spark, folder: str):
         self.spark = prepare(spark)
         self.events = samples.read_events(spark, folder)
-        self.servers = samples.server_metrics(self.events)
-        self.applications = samples.application_metrics(self.events)
+
+    @cached_property
+    def servers(self):
+        return samples.server_metrics(self.events)
+
+    @cached_property
+    def applications(self):
+        return samples.application_metrics(self.events)
 
     @cached_property
     def as_of(self):
@@ -38,9 +43,9 @@ class Inputs:
 
 def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
     """Doubles to ``digits`` decimals: engines add up in different orders."""
-    return df.select(
+    return df.selectExpr(
         *(
-            F.round(F.col(f"`{name}`"), digits).alias(name) if kind == "double" else f"`{name}`"
+            f"round(`{name}`, {digits}) AS `{name}`" if kind == "double" else f"`{name}`"
             for name, kind in df.dtypes
         )
     )

@@ -4,14 +4,12 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.clock import bucket, interval
-from ..functions.documents import field_number
+from ..functions.clock import bucket
 from ..operators.backtest import SERVER_EFFECTS
-from .models import MODELS
 
 # Fixed values: (trend level, residual spread) of the baseline models.
 BASELINES = {
@@ -44,149 +42,121 @@ def newest(events: DataFrame) -> datetime:
     return events.agg(F.max("ts")).first()[0]
 
 
-def server_metrics(events: DataFrame, *extra: Column) -> DataFrame:
-    value, user = F.col("value"), F.col("user_id")
-    return events.select(
+SERVER_ID = "concat('srv-', lpad(CAST(user_id % 10 + 1 AS STRING), 3, '0'))"
+
+
+def server_metrics(events: DataFrame, *extra: str) -> DataFrame:
+    return events.selectExpr(
         "event_id",
-        F.col("ts").alias("timestamp"),
-        F.concat(F.lit("srv-"), F.lpad((user % 10 + 1).cast("string"), 3, "0")).alias("server_id"),
-        F.when(user % 7 != 0, F.concat(F.lit("R0"), (user % 5 + 1).cast("string"))).alias(
-            "rack_id"
-        ),
-        F.concat(F.lit("marseille-"), (user % 2 + 1).cast("string")).alias("datacenter_zone"),
-        F.least(value, F.lit(100.0)).alias("cpu_usage_percent"),
-        F.least(value * 0.5 + 10, F.lit(100.0)).alias("memory_usage_percent"),
-        (value * 0.1 + 30).alias("cpu_temperature_celsius"),
-        (value + 200).alias("power_consumption_watts"),
-        (value * 2).alias("network_rx_mbps"),
-        (value * 3).alias("network_tx_mbps"),
-        (value * 0.4).alias("disk_read_mbps"),
-        (value * 0.3).alias("disk_write_mbps"),
+        "ts AS timestamp",
+        f"{SERVER_ID} AS server_id",
+        "if(user_id % 7 <> 0, concat('R0', CAST(user_id % 5 + 1 AS STRING)), NULL) AS rack_id",
+        "concat('marseille-', CAST(user_id % 2 + 1 AS STRING)) AS datacenter_zone",
+        "least(value, 100D) AS cpu_usage_percent",
+        "least(value * 0.5D + 10, 100D) AS memory_usage_percent",
+        "value * 0.1D + 30 AS cpu_temperature_celsius",
+        "value + 200 AS power_consumption_watts",
+        "value * 2 AS network_rx_mbps",
+        "value * 3 AS network_tx_mbps",
+        "value * 0.4D AS disk_read_mbps",
+        "value * 0.3D AS disk_write_mbps",
         *extra,
     )
 
 
 def application_metrics(events: DataFrame) -> DataFrame:
-    value = F.col("value")
-    return events.select(
+    return events.selectExpr(
         "event_id",
-        F.col("ts").alias("timestamp"),
-        F.col("event_type").alias("service_name"),
-        (value * 10).alias("request_rate_per_sec"),
-        (value * 2).alias("response_time_p95_ms"),
-        (value * 4).alias("response_time_p99_ms"),
-        F.least(value * 0.1, F.lit(100.0)).alias("error_rate_percent"),
-        field_number(F.col("props"), "k").cast("int").alias("error_count"),
+        "ts AS timestamp",
+        "event_type AS service_name",
+        "value * 10 AS request_rate_per_sec",
+        "value * 2 AS response_time_p95_ms",
+        "value * 4 AS response_time_p99_ms",
+        "least(value * 0.1D, 100D) AS error_rate_percent",
+        "try_cast(get_json_object(props, '$.k') AS INT) AS error_count",
     )
 
 
 def messages(events: DataFrame) -> DataFrame:
     """Events as JSON messages of both kinds, with unknown kinds, missing kinds, readings out of
     range and cut-off texts among them."""
-    value, user = F.col("value"), F.col("user_id")
-    kind = (
-        F.when(F.col("event_type") == "error", None)
-        .when(F.col("event_type") == "signup", "unknown_type")
-        .when(F.col("event_type") == "view", "application_metric")
-        .otherwise("server_metric")
-    )
-    stamp = F.concat(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), F.lit("Z"))
-    text = F.to_json(
-        F.struct(
-            kind.alias("type"),
-            stamp.alias("timestamp"),
-            F.concat(F.lit("srv-"), F.lpad((user % 10 + 1).cast("string"), 3, "0")).alias(
-                "server_id"
-            ),
-            F.col("event_type").alias("service_name"),
-            value.alias("cpu_usage_percent"),
-            F.least(value * 0.5 + 10, F.lit(100.0)).alias("memory_usage_percent"),
-            (value * 0.1 + 30).alias("cpu_temperature_celsius"),
-            (value * 2).alias("response_time_p95_ms"),
-            (value * 0.1).alias("error_rate_percent"),
-        )
-    )
-    cut = field_number(F.col("props"), "k") == 0
-    return events.select(F.when(cut, F.substring(text, 1, 20)).otherwise(text).alias("value"))
+    return events.selectExpr(
+        f"""to_json(named_struct(
+              'type', CASE event_type WHEN 'error' THEN NULL WHEN 'signup' THEN 'unknown_type'
+                        WHEN 'view' THEN 'application_metric' ELSE 'server_metric' END,
+              'timestamp', concat(date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), 'Z'),
+              'server_id', {SERVER_ID},
+              'service_name', event_type,
+              'cpu_usage_percent', value,
+              'memory_usage_percent', least(value * 0.5D + 10, 100D),
+              'cpu_temperature_celsius', value * 0.1D + 30,
+              'response_time_p95_ms', value * 2,
+              'error_rate_percent', value * 0.1D)) AS text""",
+        "get_json_object(props, '$.k') = '0' AS cut",
+    ).selectExpr("if(cut, substring(text, 1, 20), text) AS value")
 
 
 def baseline_models(metrics: DataFrame) -> DataFrame:
     """One fixed-shape model per server of the table (but two) and metric."""
-    shapes = F.array(
-        *(
-            F.struct(
-                F.lit(m).alias("metric_name"),
-                F.lit(level).alias("trend_last_value"),
-                F.lit(spread).alias("residual_std"),
-            )
-            for m, (level, spread) in BASELINES.items()
-        )
+    shapes = ", ".join(
+        f"named_struct('metric_name', '{m}', 'level', {level}D, 'spread', {spread}D)"
+        for m, (level, spread) in BASELINES.items()
     )
-    trained = F.expr("timestamp_ntz'2024-01-15 00:00:00'")
+    trained = "timestamp_ntz'2024-01-15 00:00:00'"
     return (
-        metrics.select(F.col("server_id").alias("entity_id"))
+        metrics.selectExpr("server_id AS entity_id")
         .distinct()
         .filter(~F.col("entity_id").isin(*UNTRAINED))
-        .select("entity_id", F.inline(shapes))
-        .withColumns(
-            {
-                "method_name": F.lit("stl_zscore"),
-                "trained_at": trained,
-                "saved_at": trained,
-                "seasonal_pattern": F.transform(
-                    F.sequence(F.lit(0), F.lit(23)), lambda i: i * F.lit(0.1)
-                ),
-                "trend_slope": F.lit(0.001),
-                "trend_last_timestamp": trained,
-                "residual_mean": F.lit(0.0),
-                "interval_seconds": F.lit(3600),
-                "seasonal_period": F.lit(24),
-                "trend_period": F.lit(49),
-                "n_training_points": F.lit(336),
-                "training_start": trained - interval("14 days"),
-                "training_end": trained,
-            }
+        .selectExpr("entity_id", f"inline(array({shapes}))")
+        .selectExpr(
+            "'stl_zscore' AS method_name",
+            "entity_id",
+            "metric_name",
+            f"{trained} AS trained_at",
+            f"{trained} AS saved_at",
+            "transform(sequence(0, 23), i -> i * 0.1D) AS seasonal_pattern",
+            "level AS trend_last_value",
+            "0.001D AS trend_slope",
+            f"{trained} AS trend_last_timestamp",
+            "0D AS residual_mean",
+            "spread AS residual_std",
+            "3600 AS interval_seconds",
+            "24 AS seasonal_period",
+            "49 AS trend_period",
+            "336 AS n_training_points",
+            f"{trained} - INTERVAL '14' DAY AS training_start",
+            f"{trained} AS training_end",
         )
-        .select(*MODELS.fieldNames())
     )
 
 
 def weekly_models(metrics: DataFrame) -> DataFrame:
     """A flat model per server, metric and week: the week's mean and sample deviation."""
-    figures = F.array(
-        *(
-            F.struct(
-                F.lit(m).alias("metric_name"),
-                F.avg(m).alias("trend_last_value"),
-                F.stddev_samp(m).alias("residual_std"),
-            )
-            for m in BASELINES
-        )
+    figures = ", ".join(
+        f"named_struct('metric_name', '{m}', 'mean', avg({m}), 'spread', stddev_samp({m}))"
+        for m in BASELINES
     )
     weeks = metrics.groupBy("server_id", bucket("timestamp", "1 week").alias("week")).agg(
-        figures.alias("figures"),
-        F.count("*").cast("int").alias("n_training_points"),
+        F.expr(f"array({figures})").alias("figures"),
+        F.expr("CAST(count(*) AS INT)").alias("n_training_points"),
         F.min("timestamp").alias("training_start"),
         F.max("timestamp").alias("training_end"),
     )
-    end = F.col("week") + interval("7 days")
-    return weeks.select(
-        "*", F.inline("figures")
-    ).select(
-        F.lit("stl_zscore").alias("method_name"),
-        F.col("server_id").alias("entity_id"),
+    return weeks.selectExpr("*", "inline(figures)", "week + INTERVAL '7' DAY AS week_end").selectExpr(
+        "'stl_zscore' AS method_name",
+        "server_id AS entity_id",
         "metric_name",
-        end.alias("trained_at"),
-        end.alias("saved_at"),
-        F.array(F.lit(0.0)).alias("seasonal_pattern"),
-        "trend_last_value",
-        F.lit(0.0).alias("trend_slope"),
-        end.alias("trend_last_timestamp"),
-        F.lit(0.0).alias("residual_mean"),
-        "residual_std",
-        F.lit(3600).alias("interval_seconds"),
-        F.lit(1).alias("seasonal_period"),
-        F.lit(3).alias("trend_period"),
+        "week_end AS trained_at",
+        "week_end AS saved_at",
+        "array(0D) AS seasonal_pattern",
+        "mean AS trend_last_value",
+        "0D AS trend_slope",
+        "week_end AS trend_last_timestamp",
+        "0D AS residual_mean",
+        "spread AS residual_std",
+        "3600 AS interval_seconds",
+        "1 AS seasonal_period",
+        "3 AS trend_period",
         "n_training_points",
         "training_start",
         "training_end",
@@ -195,16 +165,11 @@ def weekly_models(metrics: DataFrame) -> DataFrame:
 
 def episodes(events: DataFrame) -> DataFrame:
     """Every error event of an extreme value starts an episode on its server."""
-    kinds = F.array(*(F.lit(kind) for kind in sorted(SERVER_EFFECTS)))
-    k = field_number(F.col("props"), "k").cast("int")
-    return (
-        events.filter((F.col("event_type") == "error") & (F.col("value") > 120))
-        .select(
-            F.concat(
-                F.lit("srv-"), F.lpad((F.col("user_id") % 10 + 1).cast("string"), 3, "0")
-            ).alias("entity_id"),
-            F.get(kinds, k % len(SERVER_EFFECTS)).alias("episode_type"),
-            F.col("ts").alias("start"),
-            (k + 1).alias("steps"),
-        )
+    kinds = ", ".join(f"'{kind}'" for kind in sorted(SERVER_EFFECTS))
+    k = "try_cast(get_json_object(props, '$.k') AS INT)"
+    return events.filter("event_type = 'error' AND value > 120").selectExpr(
+        f"{SERVER_ID} AS entity_id",
+        f"get(array({kinds}), {k} % {len(SERVER_EFFECTS)}) AS episode_type",
+        "ts AS start",
+        f"{k} + 1 AS steps",
     )
