@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.clock import bucket, interval, moment
+from ..sources.tables import TableStore
 
 SERVER_MEASURES = {
     "avg_cpu": F.avg,
@@ -92,3 +93,27 @@ def write_rollup(rollup: DataFrame, path: str) -> None:
 
 def read_rollup(spark, path: str) -> DataFrame:
     return spark.read.parquet(path).drop("event_date", "event_hour")
+
+
+ROLLUPS = {
+    "server_metrics_hourly": ("server_metrics", server_hourly),
+    "application_metrics_hourly": ("application_metrics", application_hourly),
+}
+
+
+def build_rollups(store: TableStore) -> None:
+    """Write both rollups over all stored hours."""
+    for name, (source, hourly) in ROLLUPS.items():
+        write_rollup(hourly(store.read(source)), f"{store.root}/{name}")
+
+
+def refresh_rollups(
+    store: TableStore,
+    as_of: Column | datetime | None = None,
+    start_offset: str = "3 hours",
+    end_offset: str = "1 hour",
+) -> None:
+    """Recompute the hours inside the refresh window; meant to run once an hour."""
+    for name, (source, hourly) in ROLLUPS.items():
+        window = refresh_window(store.read(source), as_of, start_offset, end_offset)
+        write_rollup(hourly(window), f"{store.root}/{name}")

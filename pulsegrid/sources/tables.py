@@ -97,7 +97,8 @@ class TableStore:
         )
 
     def register(self) -> TableStore:
-        """Make every table available to ``spark.sql`` under its name."""
+        """Make every table available to ``spark.sql`` under its name, with the files it has now;
+        register again to see later ones."""
         for name in TABLES:
             self.read(name).createOrReplaceTempView(name)
         return self

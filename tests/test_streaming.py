@@ -218,6 +218,19 @@ def test_refresh_replaces_only_its_hours(spark, tmp_path):
     )
 
 
+def test_rollups_of_a_store(spark, tmp_path):
+    store = TableStore(spark, str(tmp_path / "lake")).create()
+    t0 = datetime(2025, 10, 2)
+    store.append("server_metrics", readings(spark, (t0, "srv-1", 1.0)), "a-0")
+    later = readings(spark, (t0 + timedelta(hours=5), "srv-1", 7.0), (t0, "srv-1", 3.0))
+    rollups.build_rollups(store)
+    store.append("server_metrics", later, "a-1")
+    rollups.refresh_rollups(store, t0 + timedelta(hours=7))
+    got = rollups.read_rollup(spark, f"{store.root}/server_metrics_hourly").collect()
+    # Hour 0 lies before the refresh window and keeps its first figures.
+    assert {(r.hour.hour, r.avg_cpu, r.sample_count) for r in got} == {(0, 1.0, 1), (5, 7.0, 1)}
+
+
 def filled(spark, tmp_path):
     store = TableStore(spark, str(tmp_path / "lake")).create()
     t0 = datetime(2025, 1, 1)
