@@ -10,6 +10,7 @@ from pulsegrid.sources import models as model_table
 from pulsegrid.sources import samples
 
 from .registry import (
+    settled,
     ANOMALIES,
     AS_OF,
     HOUR,
@@ -194,18 +195,19 @@ def _(t):
 
 @query(
     "investigate_metric",
-    f"""WITH {ANOMALIES},
+    sums=True,
+    sql=f"""WITH {ANOMALIES},
         x AS (SELECT * FROM a WHERE entity_id = 'srv-001' AND metric_name = 'cpu_usage_percent'),
         w AS (SELECT 3 * avg(residual) AS margin FROM x),
         b AS (SELECT time_bucket(INTERVAL 5 MINUTE, "timestamp") AS "time",
                      avg(expected_value) AS expected FROM x WHERE {MONTH} GROUP BY 1)
         SELECT time_bucket(INTERVAL 5 MINUTE, "timestamp") AS "time", 'actual' AS metric,
-               round(avg(cpu_usage_percent), 6) AS value
+               {settled("avg(cpu_usage_percent)")} AS value
         FROM s WHERE {MONTH} AND server_id = 'srv-001' GROUP BY 1
-        UNION ALL SELECT "time", 'expected', round(expected, 6) FROM b
-        UNION ALL SELECT "time", 'upper_bound', round(expected + margin, 6) FROM b, w
-        UNION ALL SELECT "time", 'lower_bound', round(expected - margin, 6) FROM b, w
-        UNION ALL SELECT "timestamp", 'anomaly_points', round(actual_value, 6) FROM x
+        UNION ALL SELECT "time", 'expected', {settled("expected")} FROM b
+        UNION ALL SELECT "time", 'upper_bound', {settled("expected + margin")} FROM b, w
+        UNION ALL SELECT "time", 'lower_bound', {settled("expected - margin")} FROM b, w
+        UNION ALL SELECT "timestamp", 'anomaly_points', {settled("actual_value")} FROM x
           WHERE {MONTH}""",
 )
 def _(t):
@@ -293,8 +295,8 @@ w AS (
   UNION ALL SELECT server_id, 'memory_usage_percent', week + INTERVAL 7 DAY, mem, mem_sd, n FROM wide
   UNION ALL SELECT server_id, 'cpu_temperature_celsius', week + INTERVAL 7 DAY, tmp, tmp_sd, n
     FROM wide)"""
-_MODEL_COLUMNS = """'stl_zscore' AS method_name, entity_id, metric_name, ended AS trained_at,
-  round(v, 6) AS trend_last_value, round(sd, 6) AS residual_std,
+_MODEL_COLUMNS = f"""'stl_zscore' AS method_name, entity_id, metric_name, ended AS trained_at,
+  {settled("v")} AS trend_last_value, {settled("sd")} AS residual_std,
   CAST(n AS INTEGER) AS n_training_points"""
 _SHOWN = (
     "method_name",
@@ -310,12 +312,12 @@ _LATEST_SQL = f"""WITH {SERVERS}, {_WEEKLY}, r AS (
   SELECT {_MODEL_COLUMNS} FROM r WHERE rn = 1"""
 
 
-@query("latest_model", _LATEST_SQL)
+@query("latest_model", sums=True, sql=_LATEST_SQL)
 def _(t):
     return model_table.newest_models(samples.weekly_models(t.servers)).select(*_SHOWN)
 
 
-@query("model_upsert", _LATEST_SQL)
+@query("model_upsert", sums=True, sql=_LATEST_SQL)
 def _(t):
     weekly = samples.weekly_models(t.servers)
     cut = F.expr("timestamp_ntz'2024-01-20 00:00:00'")
@@ -326,7 +328,8 @@ def _(t):
 
 @query(
     "fresh_models",
-    f"""WITH {SERVERS}, {_WEEKLY} SELECT {_MODEL_COLUMNS} FROM w
+    sums=True,
+    sql=f"""WITH {SERVERS}, {_WEEKLY} SELECT {_MODEL_COLUMNS} FROM w
         WHERE ended > {AS_OF} - INTERVAL 14 DAY""",
 )
 def _(t):
@@ -336,7 +339,8 @@ def _(t):
 
 @query(
     "model_documents",
-    f"""WITH {SERVERS}, {_WEEKLY} SELECT
+    sums=True,
+    sql=f"""WITH {SERVERS}, {_WEEKLY} SELECT
         'anomaly:model:stl_zscore:' || entity_id || ':' || metric_name AS key,
         {_MODEL_COLUMNS} FROM w""",
 )

@@ -8,7 +8,7 @@ from pulsegrid.plans import infrastructure as infra
 from pulsegrid.plans import maintenance, rollups
 from pulsegrid.plans.training import discover_entities
 
-from .registry import APPLICATIONS, AS_OF, HOUR, MONTH, SERVERS, query
+from .registry import APPLICATIONS, AS_OF, HOUR, MONTH, SERVERS, query, settled
 
 DAY = f'"timestamp" > {AS_OF} - INTERVAL 1 DAY'
 
@@ -20,22 +20,23 @@ def _status(panel_bands: list[tuple[str, int]]) -> str:
 
 def _average_sql(column: str, bands) -> str:
     return f"""WITH {SERVERS}, v AS (SELECT avg({column}) AS value FROM s WHERE {DAY})
-        SELECT round(value, 6) AS value, {_status(bands)} FROM v"""
+        SELECT {settled("value")} AS value, {_status(bands)} FROM v"""
 
 
-@query("avg_cpu_now", _average_sql("cpu_usage_percent", [("red", 80), ("yellow", 60)]))
+@query("avg_cpu_now", sums=True, sql=_average_sql("cpu_usage_percent", [("red", 80), ("yellow", 60)]))
 def _(t):
     return infra.current_average(t.servers, "cpu_usage_percent", t.as_of, "1 day")
 
 
-@query("avg_memory_now", _average_sql("memory_usage_percent", [("red", 85), ("yellow", 70)]))
+@query("avg_memory_now", sums=True, sql=_average_sql("memory_usage_percent", [("red", 85), ("yellow", 70)]))
 def _(t):
     return infra.current_average(t.servers, "memory_usage_percent", t.as_of, "1 day")
 
 
 @query(
     "avg_temperature_now",
-    _average_sql("cpu_temperature_celsius", [("red", 80), ("orange", 70), ("yellow", 60)]),
+    sums=True,
+    sql=_average_sql("cpu_temperature_celsius", [("red", 80), ("orange", 70), ("yellow", 60)]),
 )
 def _(t):
     return infra.current_average(t.servers, "cpu_temperature_celsius", t.as_of, "1 day")
@@ -59,11 +60,12 @@ def _(t):
 
 @query(
     "total_power_now",
-    f"""WITH {SERVERS}, v AS (
+    sums=True,
+    sql=f"""WITH {SERVERS}, v AS (
           SELECT sum(p) AS value FROM (
             SELECT arg_max(power_consumption_watts, "timestamp") AS p
             FROM s WHERE {DAY} GROUP BY server_id))
-        SELECT round(value, 6) AS value, {_status([("red", 100000), ("yellow", 50000)])} FROM v""",
+        SELECT {settled("value")} AS value, {_status([("red", 100000), ("yellow", 50000)])} FROM v""",
 )
 def _(t):
     return infra.total_power_now(t.servers, t.as_of, "1 day")
@@ -74,8 +76,8 @@ def _(t):
     f"""WITH {SERVERS}, n AS (
           SELECT *, row_number() OVER (PARTITION BY server_id ORDER BY "timestamp" DESC) AS rn
           FROM s)
-        SELECT server_id, "timestamp", round(power_consumption_watts, 6) AS power_consumption_watts,
-               round(cpu_usage_percent, 6) AS cpu_usage_percent, rack_id FROM n WHERE rn = 1""",
+        SELECT server_id, "timestamp", {settled("power_consumption_watts")} AS power_consumption_watts,
+               {settled("cpu_usage_percent")} AS cpu_usage_percent, rack_id FROM n WHERE rn = 1""",
 )
 def _(t):
     return latest_per_key(
@@ -85,34 +87,35 @@ def _(t):
 
 def _rack_sql(measure: str) -> str:
     return f"""WITH {SERVERS} SELECT "time", coalesce(rack_id, 'unknown') AS metric,
-          round(value, 6) AS value FROM (
+          {settled("value")} AS value FROM (
             SELECT {HOUR} AS "time", rack_id, {measure} AS value FROM s WHERE {MONTH}
             GROUP BY ALL)"""
 
 
-@query("cpu_by_rack", _rack_sql("avg(cpu_usage_percent)"))
+@query("cpu_by_rack", sums=True, sql=_rack_sql("avg(cpu_usage_percent)"))
 def _(t):
     return infra.rack_series(t.servers, "cpu_usage_percent", *t.month, "1 hour")
 
 
-@query("memory_by_rack", _rack_sql("avg(memory_usage_percent)"))
+@query("memory_by_rack", sums=True, sql=_rack_sql("avg(memory_usage_percent)"))
 def _(t):
     return infra.rack_series(t.servers, "memory_usage_percent", *t.month, "1 hour")
 
 
-@query("power_by_rack", _rack_sql("sum(power_consumption_watts)"))
+@query("power_by_rack", sums=True, sql=_rack_sql("sum(power_consumption_watts)"))
 def _(t):
     return infra.rack_series(t.servers, "power_consumption_watts", *t.month, "1 hour", "sum")
 
 
 @query(
     "network_by_rack",
-    f"""WITH {SERVERS}, n AS (
+    sums=True,
+    sql=f"""WITH {SERVERS}, n AS (
           SELECT {HOUR} AS "time", rack_id, sum(network_rx_mbps) AS rx, sum(network_tx_mbps) AS tx
           FROM s WHERE {MONTH} GROUP BY ALL)
-        SELECT "time", coalesce(rack_id, 'unknown') || '_rx' AS metric, round(rx, 6) AS value FROM n
+        SELECT "time", coalesce(rack_id, 'unknown') || '_rx' AS metric, {settled("rx")} AS value FROM n
         UNION ALL
-        SELECT "time", coalesce(rack_id, 'unknown') || '_tx', round(tx, 6) FROM n""",
+        SELECT "time", coalesce(rack_id, 'unknown') || '_tx', {settled("tx")} FROM n""",
 )
 def _(t):
     return infra.network_by_rack(t.servers, *t.month, "1 hour")
@@ -120,10 +123,11 @@ def _(t):
 
 @query(
     "top10_servers_cpu",
-    f"""WITH {SERVERS}, top AS (
+    sums=True,
+    sql=f"""WITH {SERVERS}, top AS (
           SELECT server_id FROM s WHERE {DAY} GROUP BY server_id
           ORDER BY avg(cpu_usage_percent) DESC NULLS FIRST, server_id LIMIT 10)
-        SELECT {HOUR} AS "time", server_id AS metric, round(avg(cpu_usage_percent), 6) AS value
+        SELECT {HOUR} AS "time", server_id AS metric, {settled("avg(cpu_usage_percent)")} AS value
         FROM s WHERE {MONTH} AND server_id IN (SELECT server_id FROM top) GROUP BY ALL""",
 )
 def _(t):
@@ -132,39 +136,40 @@ def _(t):
 
 def _service_sql(column: str) -> str:
     return f"""WITH {APPLICATIONS} SELECT {HOUR} AS "time", service_name AS metric,
-        round(avg({column}), 6) AS value FROM app WHERE {MONTH} GROUP BY ALL"""
+        {settled(f"avg({column})")} AS value FROM app WHERE {MONTH} GROUP BY ALL"""
 
 
-@query("p95_by_service", _service_sql("response_time_p95_ms"))
+@query("p95_by_service", sums=True, sql=_service_sql("response_time_p95_ms"))
 def _(t):
     return infra.service_series(t.applications, "response_time_p95_ms", *t.month, "1 hour")
 
 
-@query("error_rate_by_service", _service_sql("error_rate_percent"))
+@query("error_rate_by_service", sums=True, sql=_service_sql("error_rate_percent"))
 def _(t):
     return infra.service_series(t.applications, "error_rate_percent", *t.month, "1 hour")
 
 
 @query(
     "series_summary",
-    f"""WITH series AS ({_rack_sql("avg(cpu_usage_percent)")})
-        SELECT metric, round(avg(value), 5) AS mean, max(value) AS max, min(value) AS min,
-               round(sum(value), 5) AS sum, arg_max(value, "time") AS last,
+    sums=True,
+    sql=f"""WITH series AS ({_rack_sql("avg(cpu_usage_percent)")})
+        SELECT metric, {settled("avg(value)", 5)} AS mean, max(value) AS max, min(value) AS min,
+               {settled("sum(value)", 5)} AS sum, arg_max(value, "time") AS last,
                arg_max(value, "time") FILTER (value IS NOT NULL) AS last_not_null
         FROM series GROUP BY metric""",
 )
 def _(t):
     series = infra.rack_series(t.servers, "cpu_usage_percent", *t.month, "1 hour")
-    legend = summarize(series.withColumn("value", F.round("value", 6)))
-    return legend.withColumns({c: F.round(c, 5) for c in ("mean", "sum")})
+    legend = summarize(series.withColumn("value", F.round(F.round("value", 9), 6)))
+    return legend.withColumns({c: F.round(F.round(c, 9), 5) for c in ("mean", "sum")})
 
 
 @query(
     "recent_server_health",
-    f"""WITH {SERVERS} SELECT server_id, "timestamp", round(cpu_usage_percent, 6) AS cpu_usage_percent,
-        round(memory_usage_percent, 6) AS memory_usage_percent,
-        round(cpu_temperature_celsius, 6) AS cpu_temperature_celsius,
-        round(power_consumption_watts, 6) AS power_consumption_watts, rack_id, datacenter_zone
+    f"""WITH {SERVERS} SELECT server_id, "timestamp", {settled("cpu_usage_percent")} AS cpu_usage_percent,
+        {settled("memory_usage_percent")} AS memory_usage_percent,
+        {settled("cpu_temperature_celsius")} AS cpu_temperature_celsius,
+        {settled("power_consumption_watts")} AS power_consumption_watts, rack_id, datacenter_zone
         FROM s WHERE {DAY}""",
 )
 def _(t):
@@ -173,27 +178,29 @@ def _(t):
 
 @query(
     "recent_application_performance",
-    f"""WITH {APPLICATIONS} SELECT service_name,
-        round(avg(request_rate_per_sec), 6) AS avg_request_rate,
-        round(avg(response_time_p95_ms), 6) AS avg_p95_latency,
-        round(avg(error_rate_percent), 6) AS avg_error_rate, max("timestamp") AS last_updated
+    sums=True,
+    sql=f"""WITH {APPLICATIONS} SELECT service_name,
+        {settled("avg(request_rate_per_sec)")} AS avg_request_rate,
+        {settled("avg(response_time_p95_ms)")} AS avg_p95_latency,
+        {settled("avg(error_rate_percent)")} AS avg_error_rate, max("timestamp") AS last_updated
         FROM app WHERE {DAY} GROUP BY service_name""",
 )
 def _(t):
     return infra.recent_application_performance(t.applications, t.as_of, "1 day")
 
 
-_SERVER_MEASURES = """round(avg(cpu_usage_percent), 6) AS avg_cpu, max(cpu_usage_percent) AS max_cpu,
-        round(avg(memory_usage_percent), 6) AS avg_memory,
-        round(max(memory_usage_percent), 6) AS max_memory,
-        round(avg(cpu_temperature_celsius), 6) AS avg_temperature,
-        round(max(cpu_temperature_celsius), 6) AS max_temperature,
-        round(avg(power_consumption_watts), 6) AS avg_power, count(*) AS sample_count"""
+_SERVER_MEASURES = f"""{settled("avg(cpu_usage_percent)")} AS avg_cpu, max(cpu_usage_percent) AS max_cpu,
+        {settled("avg(memory_usage_percent)")} AS avg_memory,
+        {settled("max(memory_usage_percent)")} AS max_memory,
+        {settled("avg(cpu_temperature_celsius)")} AS avg_temperature,
+        {settled("max(cpu_temperature_celsius)")} AS max_temperature,
+        {settled("avg(power_consumption_watts)")} AS avg_power, count(*) AS sample_count"""
 
 
 @query(
     "server_metrics_hourly",
-    f"WITH {SERVERS} SELECT {HOUR} AS hour, server_id, {_SERVER_MEASURES} FROM s GROUP BY ALL",
+    sums=True,
+    sql=f"WITH {SERVERS} SELECT {HOUR} AS hour, server_id, {_SERVER_MEASURES} FROM s GROUP BY ALL",
 )
 def _(t):
     return rollups.server_hourly(t.servers)
@@ -201,11 +208,12 @@ def _(t):
 
 @query(
     "application_metrics_hourly",
-    f"""WITH {APPLICATIONS} SELECT {HOUR} AS hour, service_name,
-        round(avg(request_rate_per_sec), 6) AS avg_request_rate,
-        round(avg(response_time_p95_ms), 6) AS avg_p95_latency,
-        round(max(response_time_p99_ms), 6) AS max_p99_latency,
-        round(avg(error_rate_percent), 6) AS avg_error_rate,
+    sums=True,
+    sql=f"""WITH {APPLICATIONS} SELECT {HOUR} AS hour, service_name,
+        {settled("avg(request_rate_per_sec)")} AS avg_request_rate,
+        {settled("avg(response_time_p95_ms)")} AS avg_p95_latency,
+        {settled("max(response_time_p99_ms)")} AS max_p99_latency,
+        {settled("avg(error_rate_percent)")} AS avg_error_rate,
         CAST(sum(error_count) AS BIGINT) AS total_errors, count(*) AS sample_count
         FROM app GROUP BY ALL""",
 )
@@ -215,7 +223,8 @@ def _(t):
 
 @query(
     "rollup_refresh",
-    f"""WITH {SERVERS} SELECT {HOUR} AS hour, server_id, {_SERVER_MEASURES} FROM s
+    sums=True,
+    sql=f"""WITH {SERVERS} SELECT {HOUR} AS hour, server_id, {_SERVER_MEASURES} FROM s
         WHERE {HOUR} >= {AS_OF} - INTERVAL 7 DAY
           AND {HOUR} + INTERVAL 1 HOUR <= {AS_OF} - INTERVAL 1 HOUR GROUP BY ALL""",
 )

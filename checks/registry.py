@@ -41,20 +41,33 @@ class Inputs:
         return self.as_of - interval("30 days"), self.as_of
 
 
-def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
-    """Doubles to ``digits`` decimals: engines add up in different orders."""
-    return df.selectExpr(
-        *(
-            f"round(`{name}`, {digits}) AS `{name}`" if kind == "double" else f"`{name}`"
-            for name, kind in df.dtypes
-        )
-    )
+def rounded(df: DataFrame, sums: bool = False) -> DataFrame:
+    """Doubles to six decimals.
+
+    Engines add up in different orders, and an average can lie exactly half-way between two
+    sixth decimals. With ``sums`` that noise is settled at nine decimals first.
+    """
+
+    def column(name: str, kind: str) -> str:
+        if kind != "double":
+            return f"`{name}`"
+        inner = f"round(`{name}`, 9)" if sums else f"`{name}`"
+        return f"round({inner}, 6) AS `{name}`"
+
+    return df.selectExpr(*(column(name, kind) for name, kind in df.dtypes))
+
+
+def settled(expression: str, digits: int = 6) -> str:
+    """The same rounding in SQL."""
+    return f"round(CAST({expression} AS DECIMAL(28, 9)), {digits})::DOUBLE"
+
 
+def query(name: str, sql: str | None = None, sums: bool = False):
+    """Register a query; ``sums`` marks those that add doubles up."""
 
-def query(name: str, sql: str | None = None):
     def register(function):
         def run(spark, folder: str) -> DataFrame:
-            return rounded(function(Inputs(spark, folder)))
+            return rounded(function(Inputs(spark, folder)), sums)
 
         run.__name__ = name
         run.__doc__ = function.__doc__

@@ -12,7 +12,7 @@ from pulsegrid.operators.scoring import anomaly_records, score
 from pulsegrid.plans import training
 from pulsegrid.session import materialize
 
-from .registry import SERVERS, query
+from .registry import SERVERS, query, settled
 
 STL = {"seasonal_period": 24, "trend_period": 49, "min_points": 200}
 CONFIG = DetectionConfig(
@@ -38,7 +38,8 @@ def history(t):
 
 @query(
     "train_history",
-    f"""WITH {HISTORY} SELECT entity_id, metric_name, "timestamp", round(value, 6) AS value
+    sums=True,
+    sql=f"""WITH {HISTORY} SELECT entity_id, metric_name, "timestamp", {settled("value")} AS value
         FROM h""",
 )
 def _(t):
@@ -58,9 +59,10 @@ def _(t):
 
 @query(
     "tail_cycle",
-    f"""WITH {HISTORY}, n AS (SELECT *, row_number() OVER ({_BY} ORDER BY "timestamp" DESC) AS back,
+    sums=True,
+    sql=f"""WITH {HISTORY}, n AS (SELECT *, row_number() OVER ({_BY} ORDER BY "timestamp" DESC) AS back,
           count(*) OVER ({_BY}) AS size FROM h)
-        SELECT entity_id, metric_name, "timestamp", round(value, 6) AS value,
+        SELECT entity_id, metric_name, "timestamp", {settled("value")} AS value,
           CAST(least(size, 24) - back AS INTEGER) AS position FROM n WHERE back <= 24""",
 )
 def _(t):
@@ -69,9 +71,10 @@ def _(t):
 
 @query(
     "tail_slope",
-    f"""WITH {HISTORY}, n AS (SELECT *, row_number() OVER ({_BY} ORDER BY "timestamp") AS position,
+    sums=True,
+    sql=f"""WITH {HISTORY}, n AS (SELECT *, row_number() OVER ({_BY} ORDER BY "timestamp") AS position,
           count(*) OVER ({_BY}) AS size FROM h)
-        SELECT entity_id, metric_name, round(regr_slope(value, position), 6) AS slope,
+        SELECT entity_id, metric_name, {settled("regr_slope(value, position)")} AS slope,
           count(*) AS points FROM n WHERE position > size - greatest(10, size // 5) GROUP BY ALL""",
 )
 def _(t):
@@ -80,9 +83,10 @@ def _(t):
 
 @query(
     "series_extent",
-    f"""WITH {HISTORY} SELECT entity_id, metric_name, min("timestamp") AS training_start,
+    sums=True,
+    sql=f"""WITH {HISTORY} SELECT entity_id, metric_name, min("timestamp") AS training_start,
         max("timestamp") AS training_end, count(*) AS n_training_points,
-        round(arg_max(value, "timestamp"), 6) AS last_value FROM h GROUP BY ALL""",
+        {settled('arg_max(value, "timestamp")')} AS last_value FROM h GROUP BY ALL""",
 )
 def _(t):
     return series.extent(history(t))
@@ -126,14 +130,20 @@ def _(t):
     return series.grid_gaps(history(t), "1 hour")
 
 
+_ON_THE_LINE = (
+    'value + coalesce((nv - value) * ((epoch(step) - epoch("timestamp"))'
+    ' / (epoch(nt) - epoch("timestamp"))), 0)'
+)
+
+
 @query(
     "filled_history",
-    f"""WITH {HISTORY}, p AS (SELECT *, lead("timestamp") OVER ({_BY} ORDER BY "timestamp") AS nt,
+    sums=True,
+    sql=f"""WITH {HISTORY}, p AS (SELECT *, lead("timestamp") OVER ({_BY} ORDER BY "timestamp") AS nt,
           lead(value) OVER ({_BY} ORDER BY "timestamp") AS nv FROM h),
         f AS (SELECT *, unnest(generate_series("timestamp",
           coalesce(nt - INTERVAL 1 HOUR, "timestamp"), INTERVAL 1 HOUR)) AS step FROM p)
-        SELECT entity_id, metric_name, step AS "timestamp", round(value + coalesce((nv - value)
-          * ((epoch(step) - epoch("timestamp")) / (epoch(nt) - epoch("timestamp"))), 0), 6) AS value
+        SELECT entity_id, metric_name, step AS "timestamp", {settled(_ON_THE_LINE)} AS value
         FROM f""",
 )
 def _(t):
