@@ -1,6 +1,7 @@
 """Training history, series measures, fits, and detection with fitted models.
 
-The fits themselves have no SQL counterpart; tests check them against brute force.
+The fitted components have no SQL counterpart; tests check them against brute force. What a fit
+says about its series, and that its parts add up to the series, is checked here.
 """
 
 from pyspark.sql import functions as F
@@ -150,6 +151,50 @@ def _(t):
     return series.fill_gaps(history(t), "1 hour")
 
 
+@query(
+    "fitted_extent",
+    sql=f"""WITH {HISTORY}, {_VERDICT},
+        g AS (SELECT *, epoch("timestamp") - lag(epoch("timestamp"))
+          OVER ({_BY} ORDER BY "timestamp") AS gap FROM h),
+        x AS (SELECT entity_id, metric_name, count(*) AS n, min("timestamp") AS first,
+          max("timestamp") AS last, CAST(floor(median(gap)) AS INTEGER) AS gap FROM g GROUP BY ALL)
+        SELECT entity_id, metric_name, status, reason, CAST(n_rows AS INTEGER) AS n_rows,
+          CASE WHEN status = 'ok' THEN CAST(n AS INTEGER) END AS n_training_points,
+          CASE WHEN status = 'ok' THEN gap END AS interval_seconds,
+          CASE WHEN status = 'ok' THEN first END AS training_start,
+          CASE WHEN status = 'ok' THEN last END AS training_end,
+          CASE WHEN status = 'ok' THEN 24 END AS cycle
+        FROM o JOIN x USING (entity_id, metric_name)""",
+)
+def _(t):
+    fitted = training.train_outcomes(t.servers, CONFIG, t.as_of)
+    return fitted.select(
+        "entity_id",
+        "metric_name",
+        "status",
+        "reason",
+        "n_rows",
+        "n_training_points",
+        "interval_seconds",
+        "training_start",
+        "training_end",
+        F.array_size("seasonal_pattern").alias("cycle"),
+    )
+
+
+@query(
+    "recomposed_series",
+    sums=True,
+    sql=f"""WITH {HISTORY}, {_VERDICT} SELECT entity_id, metric_name, "timestamp",
+        {settled("value")} AS value FROM h JOIN o USING (entity_id, metric_name)
+        WHERE n_rows >= 200""",
+)
+def _(t):
+    parts = decompose_series(history(t), StlConfig(**STL))
+    whole = F.col("trend") + F.col("seasonal") + F.col("resid")
+    return parts.select("entity_id", "metric_name", "timestamp", whole.alias("value"))
+
+
 @query("train_models")
 def _(t):
     """Fitted model of every series, one row each with its outcome."""
