@@ -1,5 +1,8 @@
 """Infrastructure panels, views, rollups, filters."""
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pulsegrid.functions.clock import in_range, interval, within_last
@@ -243,15 +246,26 @@ def _(t):
     return kept.select("event_id", "server_id", "timestamp")
 
 
+LOOKBACKS = ("5 minutes", "15 minutes", "1 hour", "24 hours", "7 days")
+
+
 @query(
     "recent_filter",
-    f"""WITH {SERVERS} SELECT event_id, server_id, "timestamp" FROM s
-        WHERE "timestamp" > {AS_OF} - INTERVAL 15 MINUTE
-           OR "timestamp" > {AS_OF} - INTERVAL 1 DAY""",
+    f"""WITH {SERVERS} """
+    + " UNION ALL ".join(
+        f"""SELECT '{w}' AS lookback, event_id, server_id, "timestamp" FROM s
+        WHERE "timestamp" > {AS_OF} - INTERVAL '{w}'"""
+        for w in LOOKBACKS
+    ),
 )
 def _(t):
-    recent = within_last(t.servers, "1 day", t.as_of)
-    return recent.select("event_id", "server_id", "timestamp")
+    parts = [
+        within_last(t.servers, w, t.as_of).select(
+            F.lit(w).alias("lookback"), "event_id", "server_id", "timestamp"
+        )
+        for w in LOOKBACKS
+    ]
+    return reduce(DataFrame.unionByName, parts)
 
 
 @query(
