@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import date, datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -83,6 +83,14 @@ class ModelStore:
         fresh = fresh_models(logged.filter(F.col("method_name") == method), ttl_seconds, as_of)
         return newest_models(fresh.select(*MODELS.fieldNames()))
 
+    def prune(self, as_of: datetime, days: int = 1) -> None:
+        """Delete whole days of saved models older than ``days``, so the log stays short."""
+        files, prefix = Files(self.spark), "saved_date="
+        oldest = as_of.date() - timedelta(days=days)
+        for day in files.list(self._log):
+            if day.name.startswith(prefix) and date.fromisoformat(day.name[len(prefix) :]) < oldest:
+                files.delete(f"{self._log}/{day.name}")
+
     def upsert(self, models: DataFrame) -> None:
         """Write the next snapshot: current models with these put in.
 

@@ -202,6 +202,9 @@ def test_model_store(spark, events, tmp_path):
     assert store.load("stl_zscore", 900, last + timedelta(seconds=899)).count() > 0
     assert store.load("stl_zscore", 900, last + timedelta(seconds=900)).count() == 0
     cut = last - timedelta(days=7)
+    store.prune(last, days=7)
+    kept = store.load("stl_zscore", None, last)
+    assert kept.count() == newest.filter(F.col("saved_at") >= F.lit(cut)).count() > 0
     store.upsert(weekly.filter(F.col("trained_at") <= F.lit(cut)))
     before = store.current().count()
     store.upsert(weekly)
