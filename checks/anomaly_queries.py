@@ -12,6 +12,7 @@ from pulsegrid.sources import samples
 from .registry import (
     settled,
     ANOMALIES,
+    APPLICATIONS,
     AS_OF,
     HOUR,
     K,
@@ -282,6 +283,43 @@ def _(t):
     return backtest.detector_quality(score(t, injected, carry=("episode_type",)))
 
 
+@query(
+    "inject_service_anomalies",
+    f"""WITH {APPLICATIONS}, sp AS (
+          SELECT event_type AS entity_id, ts AS start,
+                 CASE WHEN {K} % 2 = 0 THEN 'latency_spike' ELSE 'error_burst' END AS episode_type,
+                 least(ts + to_microseconds({K} * 60000000::BIGINT),
+                       lead(ts) OVER (PARTITION BY event_type ORDER BY ts)
+                         - to_microseconds(1)) AS stop
+          FROM events WHERE value > 200)
+        SELECT event_id, service_name, "timestamp", episode_type,
+          round(response_time_p95_ms * CASE episode_type WHEN 'latency_spike' THEN 10::DOUBLE
+            ELSE 1::DOUBLE END, 6) AS response_time_p95_ms,
+          round(response_time_p99_ms * CASE episode_type WHEN 'latency_spike' THEN 10::DOUBLE
+            ELSE 1::DOUBLE END, 6) AS response_time_p99_ms,
+          round(least(50::DOUBLE, error_rate_percent * CASE episode_type WHEN 'error_burst'
+            THEN 30::DOUBLE ELSE 1::DOUBLE END), 6) AS error_rate_percent
+        FROM app LEFT JOIN sp ON service_name = entity_id AND "timestamp" BETWEEN start AND stop""",
+)
+def _(t):
+    injected = backtest.inject(
+        t.applications,
+        samples.service_episodes(t.events),
+        step_seconds=60,
+        entity="service_name",
+        effects=backtest.SERVICE_EFFECTS,
+    )
+    return injected.select(
+        "event_id",
+        "service_name",
+        "timestamp",
+        "episode_type",
+        "response_time_p95_ms",
+        "response_time_p99_ms",
+        "error_rate_percent",
+    )
+
+
 _WEEKLY = f"""
 wide AS (
   SELECT server_id, time_bucket(INTERVAL 7 DAY, "timestamp") AS week,

@@ -82,7 +82,8 @@ def main() -> int:
         except Exception as error:
             verdict = f"{type(error).__name__}: {str(error)[:600]}"
         bad += verdict is not None
-        print(f"{'ok  ' if verdict is None else 'BAD '} {name} {time.time() - start:.2f}s", flush=True)
+        mark = "ok  " if verdict is None else "BAD "
+        print(f"{mark} {name} {time.time() - start:.2f}s", flush=True)
         if verdict:
             print(verdict)
     print(f"{len(names) - bad} of {len(names)} agree")

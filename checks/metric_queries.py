@@ -26,12 +26,20 @@ def _average_sql(column: str, bands) -> str:
         SELECT {settled("value")} AS value, {_status(bands)} FROM v"""
 
 
-@query("avg_cpu_now", sums=True, sql=_average_sql("cpu_usage_percent", [("red", 80), ("yellow", 60)]))
+@query(
+    "avg_cpu_now",
+    sums=True,
+    sql=_average_sql("cpu_usage_percent", [("red", 80), ("yellow", 60)]),
+)
 def _(t):
     return infra.current_average(t.servers, "cpu_usage_percent", t.as_of, "1 day")
 
 
-@query("avg_memory_now", sums=True, sql=_average_sql("memory_usage_percent", [("red", 85), ("yellow", 70)]))
+@query(
+    "avg_memory_now",
+    sums=True,
+    sql=_average_sql("memory_usage_percent", [("red", 85), ("yellow", 70)]),
+)
 def _(t):
     return infra.current_average(t.servers, "memory_usage_percent", t.as_of, "1 day")
 

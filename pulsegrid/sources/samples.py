@@ -173,3 +173,14 @@ def episodes(events: DataFrame) -> DataFrame:
         "ts AS start",
         f"{k} + 1 AS steps",
     )
+
+
+def service_episodes(events: DataFrame) -> DataFrame:
+    """Every event of an extreme value starts an episode on its service."""
+    k = "try_cast(get_json_object(props, '$.k') AS INT)"
+    return events.filter("value > 200").selectExpr(
+        "event_type AS entity_id",
+        f"if({k} % 2 = 0, 'latency_spike', 'error_burst') AS episode_type",
+        "ts AS start",
+        f"{k} + 1 AS steps",
+    )
