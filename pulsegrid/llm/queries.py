@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulsegrid.llm import lines, mixing, packing
+from pulsegrid.llm import lines, mixing, packing, substrings
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -115,3 +115,34 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.remove_boilerplate(table(spark, sf_dir, "documents")).select(
         "row.doc_id", "n_lines", "n_removed", F.md5("kept").alias("kept_md5")
     )
+
+
+@query(
+    r"""
+WITH tokens AS (
+  SELECT doc_id, coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) AS words FROM documents),
+placed AS (
+  SELECT doc_id, unnest(words) AS word, generate_subscripts(words, 1) AS place FROM tokens),
+starts AS (
+  SELECT doc_id, unnest(range(1, len(words) - 18)) AS place, words FROM tokens WHERE len(words) >= 20),
+windows AS (
+  SELECT doc_id, place, array_to_string(words[place : place + 19], ' ') AS body FROM starts),
+later AS (
+  SELECT doc_id, place FROM windows
+  QUALIFY row_number() OVER (PARTITION BY body ORDER BY doc_id, place) > 1),
+gone AS (
+  SELECT DISTINCT doc_id, unnest(range(place, place + 20)) AS place FROM later),
+kept AS (
+  SELECT p.doc_id, count(*) AS n_words, count(g.place) AS n_removed,
+         coalesce(string_agg(word, ' ' ORDER BY p.place) FILTER (WHERE g.place IS NULL), '') AS rest
+  FROM placed p LEFT JOIN gone g USING (doc_id, place) GROUP BY p.doc_id)
+SELECT doc_id, coalesce(n_words, 0)::BIGINT AS n_words, coalesce(n_removed, 0)::BIGINT AS n_removed,
+       sha256(coalesce(rest, '')) AS kept_sha256
+FROM documents LEFT JOIN kept USING (doc_id)
+"""
+)
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents without the 20-word windows that occurred before."""
+    return substrings.remove_repeats(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256")
+    )
