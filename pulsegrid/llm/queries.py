@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulsegrid.llm import lines, mixing, packing, substrings
+from pulsegrid.llm import jaccard, lines, mixing, packing, substrings
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -146,3 +146,38 @@ def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.remove_repeats(table(spark, sf_dir, "documents")).select(
         "doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256")
     )
+
+
+@query(
+    r"""
+WITH RECURSIVE tokens AS (
+  SELECT doc_id, coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                          'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+'), []) AS words
+  FROM documents),
+shingles AS (
+  SELECT DISTINCT doc_id, body FROM (
+    SELECT doc_id, unnest(CASE WHEN len(words) = 0 THEN [] WHEN len(words) < 3 THEN [array_to_string(words, ' ')]
+      ELSE list_transform(range(1, len(words) - 1), lambda k: array_to_string(words[k : k + 2], ' ')) END) AS body
+    FROM tokens)),
+sizes AS (SELECT doc_id, count(*)::BIGINT AS n FROM shingles GROUP BY doc_id),
+links AS (
+  SELECT a.doc_id AS a, b.doc_id AS b
+  FROM shingles a JOIN shingles b ON a.body = b.body AND a.doc_id < b.doc_id
+  JOIN sizes x ON x.doc_id = a.doc_id JOIN sizes y ON y.doc_id = b.doc_id
+  GROUP BY a.doc_id, b.doc_id
+  HAVING 100 * count(*) >= 90 * (any_value(x.n) + any_value(y.n) - count(*))),
+edges AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach AS (
+  SELECT doc_id, doc_id AS other FROM documents
+  UNION
+  SELECT r.doc_id, e.b FROM reach r JOIN edges e ON e.a = r.other)
+SELECT d.doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id
+FROM documents d LEFT JOIN sizes USING (doc_id)
+JOIN (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id) USING (doc_id)
+"""
+)
+def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents that share nine tenths of their 3-word shingles."""
+    return jaccard.link(table(spark, sf_dir, "documents"), shingle=3, percent=90).select(
+        "doc_id", "n_shingles", "component_id"
+    )
