@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulsegrid.llm import jaccard, lines, mixing, packing, substrings
+from pulsegrid.llm import fingerprints, jaccard, licenses, lines, mixing, packing, substrings, topk
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -181,3 +181,48 @@ def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.link(table(spark, sf_dir, "documents"), shingle=3, percent=90).select(
         "doc_id", "n_shingles", "component_id"
     )
+
+
+@query(
+    """
+WITH points AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(64.0::DOUBLE * x::DOUBLE)) AS x
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scores AS (
+  SELECT q.vec_id AS query_id, p.vec_id, list_inner_product(q.x, p.x)::BIGINT AS score
+  FROM points q JOIN points p ON q.vec_id % 20 = 0 AND p.vec_id <> q.vec_id),
+ranked AS (
+  SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank,
+         vec_id, score FROM scores)
+SELECT * FROM ranked WHERE rank <= 20
+"""
+)
+def op6_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 highest inner products of every twentieth vector with all others."""
+    return topk.top_k(table(spark, sf_dir, "embeddings"), lambda vec_id: vec_id % 20 == 0, k=20)
+
+
+@query()
+def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence phrases and notices of every document."""
+    both = F.array_union("base_labels", F.col("spans.label"))
+    return licenses.scan(table(spark, sf_dir, "documents")).select(
+        "doc_id",
+        "n_words",
+        "n_base",
+        "first_word",
+        "last_word",
+        F.array_join("base_labels", ",").alias("base_labels"),
+        F.array_join(F.array_sort(both), ",").alias("labels"),
+        "score",
+        F.size("spans").cast("long").alias("n_spans"),
+    )
+
+
+@query()
+def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every text and its edited text, with the likenesses."""
+    found = fingerprints.with_earlier(table(spark, sf_dir, "documents"))
+    return found.drop("bands")
