@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulsegrid.llm import fingerprints, jaccard, licenses, lines, mixing, packing, substrings, topk
+from pulsegrid.llm import fingerprints, jaccard, licenses, lines, mixing, packing, quality, substrings, topk, toxicity
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -226,3 +226,17 @@ def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of every text and its edited text, with the likenesses."""
     found = fingerprints.with_earlier(table(spark, sf_dir, "documents"))
     return found.drop("bands")
+
+
+@query()
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document."""
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+
+
+@query()
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document."""
+    docs = table(spark, sf_dir, "documents")
+    return quality.score(docs, quality.train(docs, table(spark, sf_dir, "labels")))
