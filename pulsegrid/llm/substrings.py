@@ -68,6 +68,15 @@ def _distinct(h: np.ndarray, row: np.ndarray) -> np.ndarray:
     return places[np.unique(_owned(h[places], row[places]), return_index=True)[1]]
 
 
+def _copied(batch, row: int, n: int) -> np.ndarray:
+    """Which of n rows have the text of an earlier document."""
+    texts, whose = _listed(batch.column("copied"), row, n)
+    own = batch.column("digest").to_numpy()[row : row + n].view(np.uint64)
+    found = np.zeros(n, bool)
+    found[whose[texts == own[whose]]] = True
+    return found
+
+
 def _emit(window: int, length: int, before: int | None):
     """Per text, its distinct lowest runs of ``length`` words in windows that still count.
 
@@ -78,6 +87,7 @@ def _emit(window: int, length: int, before: int | None):
     def emit(batches):
         for batch in batches:
             keys = batch.column("key").to_numpy()
+            digests = batch.column("digest").to_numpy()
             for row, data, offsets in chunks(batch.column("text")):
                 level = _Level(data, offsets, window)
                 h, owner = level.lowest(length), level.row
@@ -85,10 +95,13 @@ def _emit(window: int, length: int, before: int | None):
                 if before:
                     values, whose = _listed(batch.column("hs"), row, len(offsets) - 1)
                     alive = level.surviving(before, values, whose)
+                    alive &= ~_copied(batch, row, len(offsets) - 1)[owner]
                     h, owner, second = h[alive], owner[alive], second[alive]
                 at = _distinct(h, owner)
                 columns = {"h": h[at].view(np.int64), "key": keys[row + owner[at]]}
-                if length == window:
+                if length < window:
+                    columns["digest"] = digests[row + owner[at]]
+                else:
                     columns["g"] = (second[at] >> np.uint64(32)).astype(np.uint32).view(np.int32)
                 yield pa.RecordBatch.from_pydict(columns)
 
@@ -109,6 +122,7 @@ def _remove(window: int):
                 goes = np.ones(len(own), bool)
                 goes[np.unique(own, return_index=True)[1]] = False
                 goes |= np.isin(own, _owned(*_listed(batch.column("hs"), row, n)))
+                goes |= _copied(batch, row, n)[level.row]
                 edge = np.zeros(len(words.starts) + 1, np.int64)
                 np.add.at(edge, level.starts[goes], 1)
                 np.add.at(edge, level.starts[goes] + window, -1)
@@ -152,7 +166,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, doublings: int = DOUBL
 
     A word goes if a window of ``window`` words over it also starts earlier: in a document with
     a smaller id, or before in the same one. Windows are judged on the input. Only runs that
-    repeat at one length are looked at in twice that length, down from ``window`` through
+    repeat (between different texts) at one length are looked at in twice that length, down from ``window`` through
     ``doublings`` halvings.
 
     Needs doc_id and text; no other column is read. A null text has no words. A null id counts
@@ -166,24 +180,51 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, doublings: int = DOUBL
     keyed = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
         F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("key"),
+        F.xxhash64("text").alias("digest"),
         "text",
     )
+    copies = _copies(keyed)
     source, before = keyed, None
     for length in lengths[:-1]:
-        rows = source.mapInArrow(_emit(window, length, before), "h long, key long")
-        repeated = rows.groupBy("h").count().where("count > 1").select("h")
-        lists = rows.join(repeated, "h").groupBy("key").agg(F.collect_list("h").alias("hs"))
-        source, before = keyed.join(lists, "key").select("doc_id", "key", "text", "hs"), length
+        rows = source.mapInArrow(_emit(window, length, before), "h long, key long, digest long")
+        repeated = (
+            rows.groupBy("h")
+            .agg(F.min("digest").alias("x"), F.max("digest").alias("y"))
+            .where("x <> y")
+            .select("h")
+        )
+        lists = _listed_by_key(rows.select("h", "key").join(repeated, "h"), copies)
+        source, before = _with_lists(keyed, lists.where(F.size("hs") > 0), "inner"), length
     rows = source.mapInArrow(_emit(window, window, before), "h long, key long, g int")
     first = rows.groupBy("h", "g").agg(F.min("key").alias("first"))
-    foreign = (
-        rows.join(first, ["h", "g"])
+    foreign = rows.join(first, ["h", "g"]).where(F.col("key") > F.col("first"))
+    return _with_lists(keyed, _listed_by_key(foreign, copies), "left").mapInArrow(
+        _remove(window), RESULT
+    )
+
+
+def _copies(keyed: DataFrame) -> DataFrame:
+    """key, digest of the documents that have the whole text of an earlier one: all of their
+    windows began before, and they begin none that the earlier one does not."""
+    texts = keyed.select("key", "digest", F.xxhash64(F.lit(1), "text").alias("second"))
+    first = texts.groupBy("digest", "second").agg(F.min("key").alias("first"))
+    return (
+        texts.join(first, ["digest", "second"])
         .where(F.col("key") > F.col("first"))
-        .groupBy("key")
-        .agg(F.collect_list("h").alias("hs"))
+        .select("key", "digest")
     )
+
+
+def _listed_by_key(hashes: DataFrame, copies: DataFrame) -> DataFrame:
+    """Per document id its hashes and the texts of its rows that are copies."""
+    none = F.lit(None).cast("long")
     return (
-        keyed.join(foreign, "key", "left")
-        .select("doc_id", "key", "text", "hs")
-        .mapInArrow(_remove(window), RESULT)
+        hashes.select("key", "h", none.alias("digest"))
+        .unionByName(copies.select("key", none.alias("h"), "digest"))
+        .groupBy("key")
+        .agg(F.collect_list("h").alias("hs"), F.collect_set("digest").alias("copied"))
     )
+
+
+def _with_lists(keyed: DataFrame, lists: DataFrame, how: str) -> DataFrame:
+    return keyed.join(lists, "key", how).select("doc_id", "key", "digest", "text", "hs", "copied")
