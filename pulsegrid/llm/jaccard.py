@@ -15,7 +15,7 @@ from pulsegrid.session import materialize
 SHINGLE, PERCENT = 5, 80
 BITS_PER_SEGMENT = 4096
 FOLDED = 2048  # bits of the short sketch that prunes pairs before the exact check
-SMALL = 64  # buckets up to that size are paired by a join, larger ones in blocks
+SMALL = 8  # buckets up to that size are paired by a join, larger ones in blocks
 BLOCK = 1024
 NO_ID = -(2**63)
 
