@@ -1,38 +1,38 @@
-"""Scoring against baseline models, anomaly panels, back-tests, model table."""
+"""Scoring against baseline models, anomaly panels, model table."""
 
 from pyspark.sql import functions as F
 
 from pulsegrid.config import DEFAULT_METRICS
 from pulsegrid.functions.bands import severity
-from pulsegrid.operators import backtest, scoring
+from pulsegrid.operators import scoring
 from pulsegrid.plans import anomalies as panels
+from pulsegrid.session import materialize
 from pulsegrid.sources import models as model_table
 from pulsegrid.sources import samples
 
 from .registry import (
     settled,
     ANOMALIES,
-    APPLICATIONS,
     AS_OF,
     HOUR,
     K,
     MODELS,
     MONTH,
+    PARTLY_SCORED,
     SCORED,
-    SERVER_ID,
     SERVERS,
     SEVERITY,
+    UNTRAINED,
     query,
-    scored,
 )
 
 DAY = f'"timestamp" > {AS_OF} - INTERVAL 1 DAY'
 
 
-def score(t, readings=None, carry=("event_id",)):
+def score(t, untrained=(), carry=("event_id",)):
     return scoring.score(
-        t.servers if readings is None else readings,
-        samples.baseline_models(t.servers),
+        t.servers,
+        materialize(samples.baseline_models(t.servers, untrained)),
         DEFAULT_METRICS,
         carry=carry,
     )
@@ -44,14 +44,14 @@ def anomalies(t):
 
 @query(
     "score_fixed_model",
-    f"""WITH {SCORED} SELECT event_id, entity_id, metric_name, "timestamp", model_found,
+    f"""WITH {PARTLY_SCORED} SELECT event_id, entity_id, metric_name, "timestamp", model_found,
         round(actual_value, 6) AS actual_value, round(trend, 6) AS trend,
         round(seasonal, 6) AS seasonal, round(expected_value, 6) AS expected_value,
         round(residual, 6) AS residual, round(z_score, 6) AS z_score,
         round(anomaly_score, 6) AS anomaly_score, is_anomaly FROM sc""",
 )
 def _(t):
-    return score(t).drop("threshold")
+    return score(t, UNTRAINED).drop("threshold")
 
 
 @query(
@@ -67,7 +67,7 @@ def detect(t):
 
 @query(
     "detection_stats",
-    f"""WITH {SCORED}, c AS (SELECT count(*) AS total_analyzed,
+    f"""WITH {PARTLY_SCORED}, c AS (SELECT count(*) AS total_analyzed,
           count(*) FILTER (NOT model_found) AS models_not_found,
           count(*) FILTER (model_found AND z_score IS NULL) AS undefined_scores,
           count(*) FILTER (is_anomaly) AS anomalies_detected FROM sc)
@@ -75,7 +75,7 @@ def detect(t):
           AS detection_rate_percent FROM c""",
 )
 def _(t):
-    return scoring.detection_stats(score(t))
+    return scoring.detection_stats(score(t, UNTRAINED))
 
 
 @query(
@@ -215,111 +215,6 @@ def _(t):
     return panels.investigate(t.servers, anomalies(t), "srv-001", "cpu_usage_percent", *t.month)
 
 
-_EFFECTS = {
-    "cpu_usage_percent": {"cpu_spike": 3.25, "power_surge": 1.45},
-    "memory_usage_percent": {"memory_leak": 1.85},
-    "cpu_temperature_celsius": {"cpu_spike": 1.45, "temperature_high": 1.7},
-    "power_consumption_watts": {"cpu_spike": 1.6, "temperature_high": 1.3, "power_surge": 2.5},
-    "network_rx_mbps": {"network_saturation": 4.0},
-    "network_tx_mbps": {"network_saturation": 4.0},
-    "disk_read_mbps": {"disk_io_bottleneck": 4.5},
-    "disk_write_mbps": {"disk_io_bottleneck": 4.5},
-}
-_BOUNDS = {
-    "cpu_usage_percent": "greatest(0.1::DOUBLE, least(99.9::DOUBLE, {}))",
-    "memory_usage_percent": "greatest(5.0::DOUBLE, least(99.9::DOUBLE, {}))",
-    "cpu_temperature_celsius": "greatest(30.0::DOUBLE, least(95.0::DOUBLE, {}))",
-    "power_consumption_watts": "greatest(50.0::DOUBLE, {})",
-}
-
-
-def _effect(metric: str) -> str:
-    whens = " ".join(
-        f"WHEN '{kind}' THEN {f}::DOUBLE" for kind, f in _EFFECTS[metric].items()
-    )
-    scaled_value = f"{metric} * CASE episode_type {whens} ELSE 1.0::DOUBLE END"
-    return f"{_BOUNDS.get(metric, '{}').format(scaled_value)} AS {metric}"
-
-
-INJECTED = f"""
-ep AS (
-  SELECT {SERVER_ID} AS entity_id, ts AS start, {K} + 1 AS steps,
-         ['cpu_spike', 'disk_io_bottleneck', 'memory_leak', 'network_saturation', 'power_surge',
-          'temperature_high'][{K} % 6 + 1] AS episode_type
-  FROM events WHERE event_type = 'error' AND value > 120),
-sp AS (
-  SELECT entity_id, episode_type, start,
-         least(start + to_microseconds((steps - 1) * 300000000::BIGINT),
-               lead(start) OVER (PARTITION BY entity_id ORDER BY start)
-                 - to_microseconds(1)) AS stop FROM ep),
-inj AS (
-  SELECT s.event_id, s.server_id, s."timestamp", sp.episode_type,
-         {", ".join(_effect(m) for m in _EFFECTS)}
-  FROM s LEFT JOIN sp ON s.server_id = sp.entity_id
-       AND s."timestamp" BETWEEN sp.start AND sp.stop)"""
-
-
-@query(
-    "inject_anomalies",
-    f"""WITH {SERVERS}, {INJECTED} SELECT event_id, server_id, "timestamp", episode_type,
-        {", ".join(f"round({m}, 6) AS {m}" for m in _EFFECTS)} FROM inj""",
-)
-def _(t):
-    injected = backtest.inject(t.servers, samples.episodes(t.events))
-    return injected.select("event_id", "server_id", "timestamp", "episode_type", *_EFFECTS)
-
-
-@query(
-    "backtest_quality",
-    f"""WITH {SERVERS}, {INJECTED}, {MODELS}, {scored("inj", ", episode_type")},
-        q AS (SELECT count(*) FILTER (episode_type IS NOT NULL AND is_anomaly) AS true_positives,
-          count(*) FILTER (episode_type IS NULL AND is_anomaly) AS false_positives,
-          count(*) FILTER (episode_type IS NOT NULL AND NOT is_anomaly) AS false_negatives FROM sc)
-        SELECT *, round(true_positives / (true_positives + false_positives)::DOUBLE, 6) AS precision,
-          round(true_positives / (true_positives + false_negatives)::DOUBLE, 6) AS recall FROM q""",
-)
-def _(t):
-    injected = backtest.inject(t.servers, samples.episodes(t.events))
-    return backtest.detector_quality(score(t, injected, carry=("episode_type",)))
-
-
-@query(
-    "inject_service_anomalies",
-    f"""WITH {APPLICATIONS}, sp AS (
-          SELECT event_type AS entity_id, ts AS start,
-                 CASE WHEN {K} % 2 = 0 THEN 'latency_spike' ELSE 'error_burst' END AS episode_type,
-                 least(ts + to_microseconds({K} * 60000000::BIGINT),
-                       lead(ts) OVER (PARTITION BY event_type ORDER BY ts)
-                         - to_microseconds(1)) AS stop
-          FROM events WHERE value > 200)
-        SELECT event_id, service_name, "timestamp", episode_type,
-          round(response_time_p95_ms * CASE episode_type WHEN 'latency_spike' THEN 10::DOUBLE
-            ELSE 1::DOUBLE END, 6) AS response_time_p95_ms,
-          round(response_time_p99_ms * CASE episode_type WHEN 'latency_spike' THEN 10::DOUBLE
-            ELSE 1::DOUBLE END, 6) AS response_time_p99_ms,
-          round(least(50::DOUBLE, error_rate_percent * CASE episode_type WHEN 'error_burst'
-            THEN 30::DOUBLE ELSE 1::DOUBLE END), 6) AS error_rate_percent
-        FROM app LEFT JOIN sp ON service_name = entity_id AND "timestamp" BETWEEN start AND stop""",
-)
-def _(t):
-    injected = backtest.inject(
-        t.applications,
-        samples.service_episodes(t.events),
-        step_seconds=60,
-        entity="service_name",
-        effects=backtest.SERVICE_EFFECTS,
-    )
-    return injected.select(
-        "event_id",
-        "service_name",
-        "timestamp",
-        "episode_type",
-        "response_time_p95_ms",
-        "response_time_p99_ms",
-        "error_rate_percent",
-    )
-
-
 _WEEKLY = f"""
 wide AS (
   SELECT server_id, time_bucket(INTERVAL 7 DAY, "timestamp") AS week,

@@ -11,7 +11,7 @@ from pulsegrid.operators import quality
 from pulsegrid.operators.series import to_long
 from pulsegrid.sources import samples
 
-from .registry import K, SERVERS, long_form, query
+from .registry import K, SERVER_ID, SERVERS, long_form, query
 
 KIND = """CASE WHEN {k} = 0 THEN 'malformed_json'
   WHEN event_type IN ('error', 'signup') THEN 'unknown_type'
@@ -33,14 +33,21 @@ def _(t):
 
 @query(
     "dead_letter",
-    f"""SELECT CAST(strftime(ts, '%Y-%m-%d') AS VARCHAR) AS day, {KIND} AS reason,
-        count(*) AS messages FROM events WHERE ({KIND}) IS NOT NULL AND {K} <> 0 GROUP BY ALL
-        UNION ALL SELECT NULL, 'malformed_json', count(*) FROM events WHERE {K} = 0""",
+    f"""SELECT strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') || 'Z' AS stamp, {SERVER_ID} AS server_id,
+          event_type AS service_name, round(value, 6) AS cpu, {K} = 0 AS unreadable,
+          {KIND} AS reason FROM events WHERE ({KIND}) IS NOT NULL""",
 )
 def _(t):
     dead = quality.dead_letters(quality.route_messages(samples.messages(t.events)))
-    day = F.substring(F.get_json_object("raw", "$.timestamp"), 1, 10)
-    return dead.groupBy(day.alias("day"), "reason").agg(F.count("*").alias("messages"))
+    text = F.regexp_replace("raw", "^}", "")  # whole behind its stray first character
+    return dead.select(
+        F.get_json_object(text, "$.timestamp").alias("stamp"),
+        F.get_json_object(text, "$.server_id").alias("server_id"),
+        F.get_json_object(text, "$.service_name").alias("service_name"),
+        F.get_json_object(text, "$.cpu_usage_percent").cast("double").alias("cpu"),
+        F.col("raw").startswith("}").alias("unreadable"),
+        "reason",
+    )
 
 
 @query(
@@ -251,47 +258,3 @@ def _(t):
         status(value * 2, "response_time_p95_ms").alias("p95"),
         status(value * 0.1, "error_rate_percent").alias("errors"),
     )
-
-
-@query(
-    "clamp_metrics",
-    """SELECT event_id, greatest(0.1::DOUBLE, least(99.9::DOUBLE, value)) AS cpu,
-       round(greatest(5.0::DOUBLE, least(99.9::DOUBLE, value * 0.5::DOUBLE)), 6) AS memory,
-       round(greatest(30.0::DOUBLE, least(95.0::DOUBLE, value * 0.8::DOUBLE)), 6) AS temperature,
-       greatest(50.0::DOUBLE, value) AS power,
-       round(least(50.0::DOUBLE, value * 0.4::DOUBLE), 6) AS errors FROM events""",
-)
-def _(t):
-    value = F.col("value")
-    return t.events.select(
-        "event_id",
-        bands.clamp(value, "cpu_usage_percent").alias("cpu"),
-        bands.clamp(value * 0.5, "memory_usage_percent").alias("memory"),
-        bands.clamp(value * 0.8, "cpu_temperature_celsius").alias("temperature"),
-        bands.clamp(value, "power_consumption_watts").alias("power"),
-        bands.clamp(value * 0.4, "error_rate_percent").alias("errors"),
-    )
-
-
-@query(
-    "business_hours",
-    """SELECT event_id, CASE WHEN hour(ts) BETWEEN 9 AND 18 THEN 1.5::DOUBLE ELSE 1.0::DOUBLE END
-         AS factor,
-       round(value * 10 * CASE WHEN hour(ts) BETWEEN 9 AND 18 THEN 1.5::DOUBLE
-         ELSE 1.0::DOUBLE END, 6) AS request_rate FROM events""",
-)
-def _(t):
-    factor = bands.business_hours_factor(F.col("ts"))
-    return t.events.select(
-        "event_id", factor.alias("factor"), (F.col("value") * 10 * factor).alias("request_rate")
-    )
-
-
-@query(
-    "error_count",
-    """SELECT event_id, CAST(trunc(value * 10 * (value * 0.1::DOUBLE) / 100) AS INTEGER)
-         AS error_count FROM events""",
-)
-def _(t):
-    errors = bands.derived_error_count(F.col("value") * 10, F.col("value") * 0.1)
-    return t.events.select("event_id", errors.alias("error_count"))

@@ -1,4 +1,4 @@
-"""Severity and status bands, bounds, and small derived metrics."""
+"""Severity and status bands."""
 
 from __future__ import annotations
 
@@ -24,15 +24,6 @@ STATUS_FLOORS = {
     "critical_entities": (("red", 1),),
 }
 
-# Physical bounds (lowest, highest); None is open.
-METRIC_BOUNDS = {
-    "cpu_usage_percent": (0.1, 99.9),
-    "memory_usage_percent": (5.0, 99.9),
-    "cpu_temperature_celsius": (30.0, 95.0),
-    "power_consumption_watts": (50.0, None),
-    "error_rate_percent": (None, 50.0),
-}
-
 
 def _first_reached(value: Column, floors, otherwise: str) -> Column:
     band = reduce(
@@ -58,24 +49,3 @@ def severity_rank(name: Column) -> Column:
 
 def panel_status(value: Column, panel: str) -> Column:
     return F.when(value.isNotNull(), _first_reached(value, STATUS_FLOORS[panel], "green"))
-
-
-def clamp(value: Column, metric: str) -> Column:
-    """Value pulled into the metric's bounds; NULL stays NULL."""
-    low, high = METRIC_BOUNDS.get(metric, (None, None))
-    out = value
-    if high is not None:
-        out = F.least(out, F.lit(high))
-    if low is not None:
-        out = F.greatest(out, F.lit(low))
-    return F.when(value.isNotNull(), out)
-
-
-def business_hours_factor(ts: Column) -> Column:
-    """1.5 from 9:00 to 18:59, else 1.0."""
-    return F.when(F.hour(ts).between(9, 18), 1.5).otherwise(1.0)
-
-
-def derived_error_count(request_rate: Column, error_percent: Column) -> Column:
-    """Errors per second implied by a rate and a percentage, fraction dropped."""
-    return (request_rate * error_percent / 100).cast("int")

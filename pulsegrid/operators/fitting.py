@@ -106,7 +106,7 @@ def fit_series(
             try:
                 row.update(model(frame), status="ok")
             except Exception as error:  # one bad series must not stop the run
-                row.update(status="failed", reason=str(error)[:200])
+                row.update(status="failed", reason=str(error))
         return pd.DataFrame([row], columns=columns)
 
     return _grouped(history, partitions).applyInPandas(fit, schema)

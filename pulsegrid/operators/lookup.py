@@ -38,37 +38,3 @@ def lookup_left(
     salted = facts.selectExpr("*", f"pmod(xxhash64({spread_by}), {salt_buckets}L) AS _salt")
     copies = side.selectExpr("*", f"explode(sequence(0L, {salt_buckets - 1}L)) AS _salt")
     return salted.join(copies.hint("shuffle_merge"), [key, "_salt"], "left").drop("_salt")
-
-
-def interval_left(
-    facts: DataFrame,
-    spans: DataFrame,
-    key: str,
-    at: str,
-    start: str,
-    end: str,
-    slot_seconds: int,
-    row_bytes: int = 200,
-    limit: int = BROADCAST_LIMIT_BYTES,
-) -> DataFrame:
-    """Left join of facts to the span of their key that covers ``at`` (both ends included).
-
-    ``spans`` of one key must not overlap, so a fact meets at most one. Each span is listed
-    under every time slot it touches, which turns the range condition into an equi-join on
-    (key, slot): a hot key is split by time and no fact is compared with all its key's spans.
-    """
-    slot_of = lambda c: F.floor(F.unix_micros(c.cast("timestamp")) / (slot_seconds * 1_000_000))
-    slotted = spans.withColumn(
-        "_slot", F.explode(F.sequence(slot_of(F.col(start)), slot_of(F.col(end))))
-    )
-    if measured_bytes(slotted, row_bytes) <= limit:
-        slotted = F.broadcast(slotted)
-    left = facts.withColumn("_slot", slot_of(F.col(at))).alias("f")
-    right = slotted.withColumnRenamed(key, "_span_key").withColumnRenamed("_slot", "_span_slot")
-    return left.join(
-        right,
-        (F.col(f"f.{key}") == F.col("_span_key"))
-        & (F.col("f._slot") == F.col("_span_slot"))
-        & F.col(f"f.{at}").between(F.col(start), F.col(end)),
-        "left",
-    ).drop("_slot", "_span_key", "_span_slot")

@@ -12,6 +12,28 @@ from ..config import StlConfig
 from . import fitting, scoring
 
 
+_KNOWN: dict[str, type] = {}
+
+
+def detector(cls: type) -> type:
+    """Class decorator: offer a detection method under its ``name``."""
+    if _KNOWN.setdefault(cls.name, cls) is not cls:
+        raise ValueError(f"two detection methods are called {cls.name}")
+    return cls
+
+
+def detectors() -> frozenset[str]:
+    return frozenset(_KNOWN)
+
+
+def make_detector(name: str, settings: dict | None = None) -> DetectionMethod:
+    try:
+        kind = _KNOWN[name]
+    except KeyError:
+        raise LookupError(f"no detection method {name!r} (known: {sorted(_KNOWN)})") from None
+    return kind(settings)
+
+
 class DetectionMethod(Protocol):
     name: str
 
@@ -26,6 +48,7 @@ class DetectionMethod(Protocol):
         """Wide readings and models -> scored rows."""
 
 
+@detector
 class StlZscore:
     name = "stl_zscore"
 
@@ -49,21 +72,3 @@ class StlZscore:
 
     def __repr__(self) -> str:
         return f"StlZscore(config={self.get_config()})"
-
-
-_METHODS = {StlZscore.name: StlZscore}
-
-
-def register_method(cls: type) -> type:
-    _METHODS[cls.name] = cls
-    return cls
-
-
-def list_methods() -> list[str]:
-    return list(_METHODS)
-
-
-def get_method(name: str, config: dict | None = None) -> DetectionMethod:
-    if name not in _METHODS:
-        raise ValueError(f"Unknown method '{name}'. Available methods: {', '.join(_METHODS)}")
-    return _METHODS[name](config)

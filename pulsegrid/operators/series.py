@@ -183,11 +183,31 @@ def summarize(series: DataFrame) -> DataFrame:
     )
 
 
+def newest_rows(df: DataFrame, keys: Sequence[str], order: str) -> DataFrame:
+    """The newest row per key; rows tied on ``order`` resolve to the greatest.
+
+    The newest ``order`` per key is a hash aggregate over two columns, combined map-side, so a hot
+    key is one row a task and no reading is sorted by it. Only the rows it selects carry their
+    other columns on, and only those are compared where several are tied.
+    """
+    rest = [c for c in df.columns if c not in keys and c != order]
+    tops = df.groupBy(*keys).agg(F.max(order).alias("_newest"))
+    tops = tops.select(*(F.col(k).alias(f"_{k}") for k in keys), "_newest")
+    same = F.col(order).eqNullSafe(F.col("_newest"))
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"_{k}"))
+    winners = df.join(tops, same, "left_semi")
+    return (
+        winners.groupBy(*keys)
+        .agg(F.max(F.struct(order, *rest)).alias("newest"))
+        .select(*keys, "newest.*")
+        .select(*df.columns)
+    )
+
+
 def latest_per_key(
     df: DataFrame, key: str | Sequence[str], columns: Sequence[str], order: str = "timestamp"
 ) -> DataFrame:
-    """Newest values per key, as an aggregate: combined map-side, so a hot key never has to
-    be sorted in one task. Values tied on ``order`` resolve to the greatest."""
+    """Newest values per key; see ``newest_rows``."""
     keys = [key] if isinstance(key, str) else list(key)
-    newest = F.max(F.struct(order, *columns)).alias("newest")
-    return df.groupBy(*keys).agg(newest).select(*keys, "newest.*")
+    return newest_rows(df.select(*keys, order, *columns), keys, order)

@@ -79,11 +79,18 @@ def refresh_window(
     return df.filter(keep)
 
 
-def write_rollup(rollup: DataFrame, path: str) -> None:
-    """Replace exactly the hours present in ``rollup``, leaving all others as they are."""
+def write_rollup(rollup: DataFrame, path: str, files_per_hour: int = 1) -> None:
+    """Replace exactly the hours present in ``rollup``, leaving all others as they are.
+
+    Rows are brought together by hour first, so an hour is at most ``files_per_hour`` files; raise
+    that where one hour's keys are too many for one task.
+    """
+    keys = [c for c in rollup.columns if c in ("server_id", "service_name")]
+    piece = F.pmod(F.xxhash64(*keys), F.lit(files_per_hour)) if keys else F.lit(0)
     (
         rollup.withColumn("event_date", F.to_date("hour"))
         .withColumn("event_hour", F.hour("hour"))
+        .repartition("event_date", "event_hour", piece)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("event_date", "event_hour")
@@ -91,8 +98,29 @@ def write_rollup(rollup: DataFrame, path: str) -> None:
     )
 
 
-def read_rollup(spark, path: str) -> DataFrame:
-    return spark.read.parquet(path).drop("event_date", "event_hour")
+_DOUBLES = {
+    "server_metrics_hourly": [*SERVER_MEASURES],
+    "application_metrics_hourly": [
+        "avg_request_rate",
+        "avg_p95_latency",
+        "max_p99_latency",
+        "avg_error_rate",
+    ],
+}
+
+
+def rollup_schema(name: str) -> str:
+    server = name == "server_metrics_hourly"
+    fields = ["hour timestamp", f"{'server_id' if server else 'service_name'} string"]
+    fields += [f"{c} double" for c in _DOUBLES[name]]
+    fields += [] if server else ["total_errors long"]
+    return ", ".join([*fields, "sample_count long", "event_date date", "event_hour int"])
+
+
+def read_rollup(spark, path: str, name: str = "server_metrics_hourly") -> DataFrame:
+    return (
+        spark.read.schema(rollup_schema(name)).parquet(path).drop("event_date", "event_hour")
+    )
 
 
 ROLLUPS = {
@@ -117,3 +145,20 @@ def refresh_rollups(
     for name, (source, hourly) in ROLLUPS.items():
         window = refresh_window(store.read(source), as_of, start_offset, end_offset)
         write_rollup(hourly(window), f"{store.root}/{name}")
+
+
+def refresh_hours(store: TableStore, name: str, rows: DataFrame) -> None:
+    """Recompute, from the stored table, every hour that ``rows`` touch, however late they are.
+
+    ``rows`` must be stored already. Hours of one micro-batch are few; they are filtered by day
+    and by hour, so only those days' partitions are read.
+    """
+    source, hourly = ROLLUPS[name]
+    touched = [r[0] for r in rows.select(F.date_trunc("hour", "timestamp")).distinct().collect()]
+    touched = [hour for hour in touched if hour is not None]
+    if touched:
+        stored = store.read(source).where(
+            F.col("event_date").isin(sorted({hour.date() for hour in touched}))
+            & F.date_trunc("hour", "timestamp").isin(touched)
+        )
+        write_rollup(hourly(stored), f"{store.root}/{name}")

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..config import DetectionConfig
 from ..operators.fitting import as_models
-from ..operators.methods import get_method
+from ..operators.methods import make_detector
 from ..operators.series import training_history
 
 
@@ -34,7 +34,7 @@ def train_outcomes(
         config.aggregation_interval,
         entity,
     )
-    method = get_method(config.method_name, config.method_config)
+    method = make_detector(config.method_name, config.method_config)
     return method.fit(history, config.skip_threshold, partitions)
 
 
@@ -65,7 +65,7 @@ def train_single(
     history = training_history(
         one, [metric], config.history_days, as_of, config.aggregation_interval, entity
     )
-    method = get_method(config.method_name, config.method_config)
+    method = make_detector(config.method_name, config.method_config)
     return method.fit(history, config.skip_threshold)
 
 

@@ -2,17 +2,24 @@
 
 from __future__ import annotations
 
+from ..sources.files import Files
 from ..sources.tables import TableStore
 from .anomalies import active_anomalies
 from .infrastructure import recent_application_performance, recent_server_health
+from .rollups import ROLLUPS, read_rollup
 
 
 def register_views(store: TableStore) -> None:
-    """Make the tables and the three standing views available to ``spark.sql``.
+    """Make the tables, the rollups built so far and the standing views available to ``spark.sql``.
 
     The views look back from the moment a query on them runs.
     """
     store.register()
+    files = Files(store.spark)
+    for name in ROLLUPS:
+        path = f"{store.root}/{name}"
+        if files.exists(path):
+            read_rollup(store.spark, path, name).createOrReplaceTempView(name)
     views = {
         "recent_server_health": recent_server_health(store.read("server_metrics")),
         "recent_application_performance": recent_application_performance(

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -39,14 +38,10 @@ def prepare(spark: SparkSession) -> SparkSession:
 def shared_folder(spark: SparkSession) -> str:
     """Folder all executors can reach, as the cluster names it in ``spark.checkpoint.dir``.
 
-    Where it is unset a local session (tests) gets a folder of its own; a cluster must name one.
+    Where it is unset the SQL warehouse is used, which executors share as well.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-    return tempfile.mkdtemp(prefix="pulsegrid-")
+    return folder or f"{spark.conf.get('spark.sql.warehouse.dir')}/_shared"
 
 
 def materialize(df: DataFrame) -> DataFrame:

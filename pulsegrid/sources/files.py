@@ -26,6 +26,11 @@ class Files:
         system, where = self._at(path)
         return system.exists(where)
 
+    def matching(self, pattern: str) -> list[str]:
+        """Paths that a pattern with ``*`` stands for."""
+        system, where = self._at(pattern)
+        return [s.getPath().toString() for s in system.globStatus(where) or []]
+
     def delete(self, path: str) -> None:
         system, where = self._at(path)
         system.delete(where, True)

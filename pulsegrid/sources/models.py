@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from ..functions.clock import interval, moment
 from ..functions.documents import decode, encode
+from ..operators.series import newest_rows
 from ..schemas import MODELS
 from .files import Files
 
@@ -17,10 +18,8 @@ KEY = ("method_name", "entity_id", "metric_name")
 
 
 def newest_models(models: DataFrame, by: str = "saved_at") -> DataFrame:
-    """Newest model per key, as an aggregate combined map-side; ties resolve to the greatest."""
-    rest = [c for c in models.columns if c not in KEY and c != by]
-    newest = F.max(F.struct(by, *rest)).alias("newest")
-    return models.groupBy(*KEY).agg(newest).select(*KEY, "newest.*").select(*models.columns)
+    """Newest model per key; ties resolve to the greatest."""
+    return newest_rows(models, KEY, by)
 
 
 def fresh_models(
@@ -78,18 +77,31 @@ class ModelStore:
         """Newest unexpired model per key. Call it per micro-batch: it lists files anew."""
         if not Files(self.spark).exists(self._log):
             return self.spark.createDataFrame([], MODELS)
-        schema = T.StructType(list(MODELS.fields)).add("saved_date", T.DateType())
-        logged = self.spark.read.schema(schema).parquet(self._log)
-        fresh = fresh_models(logged.filter(F.col("method_name") == method), ttl_seconds, as_of)
+        fresh = fresh_models(
+            self._logged().filter(F.col("method_name") == method), ttl_seconds, as_of
+        )
         return newest_models(fresh.select(*MODELS.fieldNames()))
 
+    def _logged(self) -> DataFrame:
+        schema = T.StructType(list(MODELS.fields)).add("saved_date", T.DateType())
+        return self.spark.read.schema(schema).parquet(self._log)
+
     def prune(self, as_of: datetime, days: int = 1) -> None:
-        """Delete whole days of saved models older than ``days``, so the log stays short."""
+        """Delete whole days of saved models older than ``days``, so the log stays short.
+
+        A day on which some key was saved last stays, however old it is.
+        """
         files, prefix = Files(self.spark), "saved_date="
         oldest = as_of.date() - timedelta(days=days)
-        for day in files.list(self._log):
-            if day.name.startswith(prefix) and date.fromisoformat(day.name[len(prefix) :]) < oldest:
-                files.delete(f"{self._log}/{day.name}")
+        old = [d.name for d in files.list(self._log) if d.name.startswith(prefix)]
+        old = [name for name in old if date.fromisoformat(name[len(prefix) :]) < oldest]
+        if not old:
+            return
+        last = self._logged().groupBy(*KEY).agg(F.max("saved_date").alias("day"))
+        needed = {f"{prefix}{r.day}" for r in last.select("day").distinct().collect()}  # days
+        for name in old:
+            if name not in needed:
+                files.delete(f"{self._log}/{name}")
 
     def upsert(self, models: DataFrame) -> None:
         """Write the next snapshot: current models with these put in.

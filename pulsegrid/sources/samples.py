@@ -1,4 +1,4 @@
-"""The driver's ``events`` table read as telemetry: metric tables, messages, models, episodes."""
+"""The driver's ``events`` table read as telemetry: metric tables, messages, models."""
 
 from __future__ import annotations
 
@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.clock import bucket
-from ..operators.backtest import SERVER_EFFECTS
 
 # Fixed values: (trend level, residual spread) of the baseline models.
 BASELINES = {
@@ -17,9 +16,6 @@ BASELINES = {
     "memory_usage_percent": (35.0, 12.0),
     "cpu_temperature_celsius": (35.0, 4.0),
 }
-# Servers that get no baseline model, so that "no model" occurs.
-UNTRAINED = ("srv-009", "srv-010")
-
 
 EVENTS = T.StructType(
     [
@@ -51,7 +47,7 @@ def server_metrics(events: DataFrame, *extra: str) -> DataFrame:
         "ts AS timestamp",
         f"{SERVER_ID} AS server_id",
         "if(user_id % 7 <> 0, concat('R0', CAST(user_id % 5 + 1 AS STRING)), NULL) AS rack_id",
-        "concat('marseille-', CAST(user_id % 2 + 1 AS STRING)) AS datacenter_zone",
+        "concat('zone-', CAST(user_id % 2 + 1 AS STRING)) AS datacenter_zone",
         "least(value, 100D) AS cpu_usage_percent",
         "least(value * 0.5D + 10, 100D) AS memory_usage_percent",
         "value * 0.1D + 30 AS cpu_temperature_celsius",
@@ -79,7 +75,7 @@ def application_metrics(events: DataFrame) -> DataFrame:
 
 def messages(events: DataFrame) -> DataFrame:
     """Events as JSON messages of both kinds, with unknown kinds, missing kinds, readings out of
-    range and cut-off texts among them."""
+    range and texts with a stray first character among them."""
     return events.selectExpr(
         f"""to_json(named_struct(
               'type', CASE event_type WHEN 'error' THEN NULL WHEN 'signup' THEN 'unknown_type'
@@ -92,12 +88,12 @@ def messages(events: DataFrame) -> DataFrame:
               'cpu_temperature_celsius', value * 0.1D + 30,
               'response_time_p95_ms', value * 2,
               'error_rate_percent', value * 0.1D)) AS text""",
-        "get_json_object(props, '$.k') = '0' AS cut",
-    ).selectExpr("if(cut, substring(text, 1, 20), text) AS value")
+        "get_json_object(props, '$.k') = '0' AS broken",
+    ).selectExpr("if(broken, concat('}', text), text) AS value")
 
 
-def baseline_models(metrics: DataFrame) -> DataFrame:
-    """One fixed-shape model per server of the table (but two) and metric."""
+def baseline_models(metrics: DataFrame, untrained: tuple[str, ...] = ()) -> DataFrame:
+    """One fixed-shape model per metric and server of the table, but for the ``untrained``."""
     shapes = ", ".join(
         f"named_struct('metric_name', '{m}', 'level', {level}D, 'spread', {spread}D)"
         for m, (level, spread) in BASELINES.items()
@@ -106,7 +102,7 @@ def baseline_models(metrics: DataFrame) -> DataFrame:
     return (
         metrics.selectExpr("server_id AS entity_id")
         .distinct()
-        .filter(~F.col("entity_id").isin(*UNTRAINED))
+        .filter(~F.col("entity_id").isin(*untrained))
         .selectExpr("entity_id", f"inline(array({shapes}))")
         .selectExpr(
             "'stl_zscore' AS method_name",
@@ -161,26 +157,3 @@ def weekly_models(metrics: DataFrame) -> DataFrame:
         "training_start",
         "training_end",
     )
-
-
-def episodes(events: DataFrame) -> DataFrame:
-    """Every error event of an extreme value starts an episode on its server."""
-    kinds = ", ".join(f"'{kind}'" for kind in sorted(SERVER_EFFECTS))
-    k = "try_cast(get_json_object(props, '$.k') AS INT)"
-    return events.filter("event_type = 'error' AND value > 120").selectExpr(
-        f"{SERVER_ID} AS entity_id",
-        f"get(array({kinds}), {k} % {len(SERVER_EFFECTS)}) AS episode_type",
-        "ts AS start",
-        f"{k} + 1 AS steps",
-    )
-
-
-def service_episodes(events: DataFrame) -> DataFrame:
-    """Every event of an extreme value starts an episode on its service."""
-    k = "try_cast(get_json_object(props, '$.k') AS INT)"
-    return events.filter("value > 200").selectExpr(
-        "event_type AS entity_id",
-        f"if({k} % 2 = 0, 'latency_spike', 'error_burst') AS episode_type",
-        "ts AS start",
-        f"{k} + 1 AS steps",
-    )

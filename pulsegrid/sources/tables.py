@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import schemas
+from .files import Files
 
 DATE, BATCH = "event_date", "batch_id"
 
@@ -96,6 +97,12 @@ class TableStore:
             .parquet(self.path(name))
         )
 
+    def remove_batch(self, name: str, batch_id: str) -> None:
+        """Delete whatever an earlier attempt of a batch wrote."""
+        files, days = Files(self.spark), f"{DATE}=*/" if TABLES[name].dated else ""
+        for folder in files.matching(f"{self.path(name)}/{days}{BATCH}={batch_id}"):
+            files.delete(folder)
+
     def register(self) -> TableStore:
         """Make every table available to ``spark.sql`` under its name, with the files it has now;
         register again to see later ones."""

@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..config import DetectionConfig
-from ..operators.methods import get_method
-from ..operators.quality import SERVER, parse_messages
+from ..operators.methods import make_detector
+from ..operators.quality import SERVER, anomaly_rules, parse_messages, split
 from ..operators.scoring import anomaly_records, counters
 from ..sources.models import ModelStore
 from ..sources.tables import TableStore
@@ -44,13 +44,14 @@ def detect_batch(
     config: DetectionConfig,
     batch: str,
 ) -> dict[str, int]:
-    """Score one micro-batch and write its anomalies.
+    """Score one micro-batch and write its anomalies; those that break a rule of their table go
+    to the dead letter.
 
     Models are read here, per batch, so that retraining takes effect without a restart. The
     messages are parsed once and kept; scoring them for the counters and again for the records
     is cheap next to that, and tells how many files the records need.
     """
-    method = get_method(config.method_name, config.method_config)
+    method = make_detector(config.method_name, config.method_config)
     fresh = models.load(method.name, config.model_ttl_seconds).persist()
     parsed = parse_messages(messages).persist()
     try:
@@ -59,10 +60,17 @@ def detect_batch(
             return counts
         scored = method.predict(server_readings(parsed), fresh, list(config.metrics))
         counts |= _count(scored, counters())
+        # models may have changed since an earlier attempt, which then found other anomalies
+        store.remove_batch("anomalies", batch)
         if counts["anomalies_detected"]:
             files = -(-counts["anomalies_detected"] // ROWS_PER_FILE)
             found = anomaly_records(scored, method.name).repartition(files)
-            store.append("anomalies", found, batch)
+            kept, refused = split(found, anomaly_rules())
+            store.append("anomalies", kept, batch)
+            letters = refused.select(
+                F.to_json(F.struct(*found.columns)).alias("raw"), "reason"
+            ).coalesce(1)
+            store.append("dead_letter", letters, batch)
         write_counts(store, "detection", counts, batch)
         return counts
     finally:

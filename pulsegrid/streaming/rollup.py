@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..plans.rollups import write_rollup
+from ..plans.rollups import refresh_hours, write_rollup
+from ..sources.tables import TableStore
 
 
 def hourly_stream(
@@ -16,7 +17,8 @@ def hourly_stream(
 ) -> DataFrame:
     """Hours as they close: each is emitted once, when the stream is ``lateness`` past its end.
 
-    State is one row per open hour and key.
+    State is one row per open hour and key. Rows later than that are not in the rollup, though
+    ingest stores them; where such rows occur use ``start_refresh``, which misses none.
     """
     return (
         rows.withWatermark("timestamp", lateness)
@@ -43,3 +45,26 @@ def start_rollup(
     )
     trigger = {"availableNow": True} if available_now else {"processingTime": "1 minute"}
     return writer.trigger(**trigger).start()
+
+
+def start_refresh(
+    rows: DataFrame,
+    store: TableStore,
+    name: str,
+    checkpoint: str,
+    stream: str,
+    available_now: bool = False,
+) -> StreamingQuery:
+    """Keep rollup ``name`` equal to its stored table: each micro-batch of ``rows``, stored
+    before, has the hours it touches recomputed. Late and replayed rows need nothing special."""
+
+    def write(batch: DataFrame, number: int) -> None:
+        refresh_hours(store, name, batch)
+
+    writer = (
+        rows.writeStream.foreachBatch(write)
+        .option("checkpointLocation", checkpoint)
+        .queryName(stream)
+    )
+    trigger = {"availableNow": True} if available_now else {"processingTime": "1 minute"}
+    return writer.trigger(**trigger).start()

@@ -6,6 +6,7 @@ from contextlib import redirect_stdout
 from datetime import datetime
 
 import pytest
+from pyspark.sql import functions as F
 
 from checks.registry import Inputs
 from pulsegrid.config import DEFAULT_METRICS
@@ -89,6 +90,12 @@ def test_messages_are_parsed_once(spark, events):
     assert text.count("from_json") == 1
 
 
-def test_latest_per_key_is_an_aggregate(spark):
-    text = plan(series.latest_per_key(Inputs(spark, SMALL).servers, "server_id", ["rack_id"]))
+def test_latest_per_key_sorts_no_readings(spark):
+    """Every scan of the readings feeds a hash aggregate or a join, never a sort of them."""
+    readings = Inputs(spark, SMALL).servers
+    text = plan(series.latest_per_key(readings, "server_id", ["rack_id"]))
+    below_join = text.split("\n\n")[0]
     assert "partial_max" in text and "Window" not in text
+    newest = readings.groupBy("server_id").agg(F.max("timestamp"))
+    assert "SortAggregate" not in plan(newest) and "SemiJoin" in text.replace(" ", "").replace("LeftSemi", "SemiJoin")
+    assert below_join.count("Scan parquet") == 2

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from pulsegrid.functions.bands import panel_status, severity, severity_rank
 from pulsegrid.functions.clock import bucket, bucket_width, seconds
-from pulsegrid.operators import backtest, lookup
+from pulsegrid.operators import lookup
 from pulsegrid.operators.scoring import anomaly_records, detection_stats, export_details, score
 from pulsegrid.sources import samples
 from pulsegrid.sources.models import (
@@ -129,62 +129,6 @@ def test_bucket_widths(spark):
     assert at.select(bucket("t", "5 minutes")).first()[0] == datetime(2025, 1, 1, 13, 5)
 
 
-def test_interval_join_matches_brute_force(spark, events):
-    servers = samples.server_metrics(events)
-    spans = backtest.resolve_episodes(samples.episodes(events), 300)
-    joined = lookup.interval_left(
-        servers, spans.withColumnRenamed("entity_id", "server_id"), "server_id", "timestamp",
-        "span_start", "span_end", 3600,
-    )
-    moved = lookup.interval_left(
-        servers, spans.withColumnRenamed("entity_id", "server_id"), "server_id", "timestamp",
-        "span_start", "span_end", 3600, limit=0,
-    )
-    facts = [(r.event_id, r.server_id, r.timestamp) for r in servers.collect()]
-    windows = [tuple(r) for r in spans.select("entity_id", "episode_type", "span_start", "span_end").collect()]
-    expected = sorted(
-        (i, next((k for e, k, lo, hi in windows if e == s and lo <= t <= hi), "")) for i, s, t in facts
-    )
-    for result in (joined, moved):
-        got = sorted((r.event_id, r.episode_type or "") for r in result.collect())
-        assert got == expected
-    assert any(kind for _, kind in expected)
-
-
-def test_following_matches_a_plain_window(spark, events):
-    episodes = samples.episodes(events).select("entity_id", "start")
-    got = {
-        (r.entity_id, r.start): r.following
-        for r in backtest.with_following(episodes, "entity_id", "start").collect()
-    }
-    starts = sorted(got)
-    for (entity, start), after in zip(starts, [*starts[1:], ("", None)], strict=True):
-        assert got[entity, start] == (after[1] if after[0] == entity else None)
-
-
-def test_later_episode_takes_over(spark):
-    t0 = datetime(2025, 1, 1)
-    episodes = spark.createDataFrame(
-        [
-            ("a", "cpu_spike", t0, 10),
-            ("a", "memory_leak", t0 + timedelta(minutes=20), 2),
-            ("a", "power_surge", t0, 5),
-            ("a", "cpu_spike", t0 + timedelta(hours=3), 0),
-        ],
-        "entity_id string, episode_type string, start timestamp, steps int",
-    )
-    metrics = spark.createDataFrame(
-        [("a", t0 + timedelta(minutes=5 * i), 50.0, 40.0) for i in range(12)],
-        "server_id string, timestamp timestamp, cpu_usage_percent double, memory_usage_percent double",
-    )
-    out = {r.timestamp: r for r in backtest.inject(metrics, episodes, 300).collect()}
-    kinds = [out[t0 + timedelta(minutes=5 * i)].episode_type for i in range(12)]
-    assert kinds == ["cpu_spike"] * 4 + ["memory_leak"] * 2 + [None] * 6
-    assert out[t0].cpu_usage_percent == 99.9  # 50 * 3.25, clamped
-    assert out[t0 + timedelta(minutes=20)].memory_usage_percent == pytest.approx(74.0)
-    assert out[t0 + timedelta(minutes=40)].cpu_usage_percent == 50.0
-
-
 def test_model_store(spark, events, tmp_path):
     servers = samples.server_metrics(events)
     weekly = samples.weekly_models(servers)

@@ -130,7 +130,7 @@ def test_ingest_stream_restarts_where_it_stopped(spark, tmp_path):
 def test_stream_and_batch_find_the_same_anomalies(spark, events, tmp_path):
     servers = samples.server_metrics(events)
     stamps = [f.name for f in MODELS.fields if f.dataType.typeName() == "timestamp"]
-    models = samples.baseline_models(servers).withColumns(
+    models = samples.baseline_models(servers, ("srv-009", "srv-010")).withColumns(
         {c: F.col(c).cast("timestamp") for c in stamps}
     )
     store = TableStore(spark, str(tmp_path / "lake")).create()
@@ -331,3 +331,86 @@ def test_rule_sets_match_the_stored_columns():
                         ("anomalies", quality.anomaly_rules())):
         fields = TABLES[name].schema.fieldNames()
         assert all(any(rule.name.startswith(f) for f in fields) for rule in rules)
+
+
+def test_late_rows_reach_the_refreshed_rollup(spark, tmp_path):
+    """Hours are recomputed from the table, so a row of any age counts as in the batch rollup."""
+    store = TableStore(spark, str(tmp_path / "lake")).create()
+    t0 = datetime(2025, 10, 2)
+    for number, minutes in enumerate([(0, 10), (600, 700), (5,)]):  # the last one is ten hours late
+        rows = [(t0 + timedelta(minutes=m), "srv-1", float(m)) for m in minutes]
+        store.append("server_metrics", readings(spark, *rows), f"a-{number}")
+        stream = spark.readStream.schema(store.read("server_metrics").schema).parquet(
+            store.path("server_metrics")
+        )
+        drain(
+            rollup.start_refresh(
+                stream, store, "server_metrics_hourly", str(tmp_path / "cp"), f"r{number}", True
+            )
+        )
+    batch = rollups.server_hourly(store.read("server_metrics"))
+    got = rollups.read_rollup(spark, f"{store.root}/server_metrics_hourly").select(*batch.columns)
+    assert got.exceptAll(batch).count() == 0 and batch.exceptAll(got).count() == 0
+
+
+def test_rollup_files_and_names(spark, tmp_path):
+    store = TableStore(spark, str(tmp_path / "lake")).create()
+    t0 = datetime(2025, 10, 2)
+    rows = [(t0 + timedelta(minutes=m), f"srv-{m % 9}", 1.0) for m in range(0, 600, 3)]
+    store.append("server_metrics", readings(spark, *rows), "a-0")
+    rollups.build_rollups(store)
+    folder = tmp_path / "lake" / "server_metrics_hourly"
+    for hour in folder.glob("event_date=*/event_hour=*"):
+        assert len(list(hour.glob("*.parquet"))) == 1
+    register_views(store)
+    found = spark.sql("SELECT count(*) AS n, sum(sample_count) AS rows FROM server_metrics_hourly").first()
+    assert (found.n, found.rows) == (30, 200)
+    assert spark.sql("SELECT * FROM application_metrics_hourly").count() == 0
+
+
+def test_prune_keeps_a_keys_only_model(spark, events, tmp_path):
+    stamps = ("trained_at", "saved_at", "trend_last_timestamp", "training_start", "training_end")
+    weekly = samples.weekly_models(samples.server_metrics(events))
+    weekly = weekly.withColumns({c: F.col(c).cast("timestamp") for c in stamps})
+    store = ModelStore(spark, str(tmp_path))
+    store.save(weekly)
+    before = store.load("stl_zscore", ttl_seconds=None)
+    kept = before.collect()
+    store.prune(datetime(2030, 1, 1))
+    after = store.load("stl_zscore", ttl_seconds=None)
+    assert sorted(map(str, after.collect())) == sorted(map(str, kept)) and kept
+
+
+def test_replay_after_retraining_leaves_nothing_stale(spark, tmp_path, monkeypatch):
+    """A replayed batch is scored with the models of that moment, and only their anomalies stay."""
+    store = TableStore(spark, str(tmp_path / "lake")).create()
+    shelf = ModelStore(spark, str(tmp_path / "models"))
+    config = DetectionConfig(model_ttl_seconds=None)
+    events = samples.read_events(spark, "/root/testdata/sf0.001")
+    models = samples.baseline_models(samples.server_metrics(events))
+    stamps = [c for c, t in models.dtypes if t.startswith("timestamp")]
+    models = models.withColumns({c: F.col(c).cast("timestamp") for c in stamps})
+    shelf.save(models)
+    texts = samples.messages(events)
+    first = detection.detect_batch(store, shelf, texts, config, "d-0")
+    assert store.read("anomalies").count() == first["anomalies_detected"] > 0
+    later = F.col("saved_at") + F.expr("INTERVAL 1 DAY")
+    shelf.save(models.withColumns({"residual_std": F.lit(1e9), "saved_at": later}))
+    again = detection.detect_batch(store, shelf, texts, config, "d-0")
+    assert store.read("anomalies").count() == again["anomalies_detected"] == 0
+
+
+def test_anomalies_that_break_a_rule_go_to_the_dead_letter(spark, tmp_path, monkeypatch):
+    store = TableStore(spark, str(tmp_path / "lake")).create()
+    shelf = ModelStore(spark, str(tmp_path / "models"))
+    events = samples.read_events(spark, "/root/testdata/sf0.001")
+    models = samples.baseline_models(samples.server_metrics(events))
+    stamps = [c for c, t in models.dtypes if t.startswith("timestamp")]
+    shelf.save(models.withColumns({c: F.col(c).cast("timestamp") for c in stamps}))
+    rules = [*quality.anomaly_rules(), quality.max_length("entity_id", 6)]
+    monkeypatch.setattr(detection, "anomaly_rules", lambda: rules)
+    config = DetectionConfig(model_ttl_seconds=None)
+    counts = detection.detect_batch(store, shelf, samples.messages(events), config, "d-0")
+    letters = store.read("dead_letter")
+    assert letters.count() == counts["anomalies_detected"] > 0 == store.read("anomalies").count()
+    assert letters.where("raw LIKE '%entity_id%' AND reason LIKE 'entity_id%'").count() == letters.count()

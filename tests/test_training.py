@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from pulsegrid.config import DetectionConfig, StlConfig
 from pulsegrid.operators import fitting, series
-from pulsegrid.operators.methods import StlZscore, get_method, list_methods
+from pulsegrid.operators.methods import StlZscore, detector, detectors, make_detector
 from pulsegrid.operators.scoring import anomaly_records, score
 from pulsegrid.plans import training
 
@@ -193,11 +193,14 @@ def test_ten_sigma_is_the_only_anomaly(spark):
 
 
 def test_method_registry():
-    assert list_methods() == ["stl_zscore"]
-    method = get_method("stl_zscore", {"seasonal_period": 24, "trend_period": 49})
+    assert detectors() == {"stl_zscore"}
+    method = make_detector("stl_zscore", {"seasonal_period": 24, "trend_period": 49})
     assert isinstance(method, StlZscore) and method.get_config()["seasonal_period"] == 24
-    with pytest.raises(ValueError, match="Available methods: stl_zscore"):
-        get_method("lstm")
+    with pytest.raises(LookupError, match="stl_zscore"):
+        make_detector("lstm")
+    assert detector(StlZscore) is StlZscore
+    with pytest.raises(ValueError):
+        detector(type("Other", (), {"name": "stl_zscore"}))
 
 
 def test_config_defaults_and_checks():
