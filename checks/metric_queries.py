@@ -137,12 +137,12 @@ def _(t):
     sums=True,
     sql=f"""WITH {SERVERS}, top AS (
           SELECT server_id FROM s WHERE {DAY} GROUP BY server_id
-          ORDER BY avg(cpu_usage_percent) DESC NULLS FIRST, server_id LIMIT 10)
+          ORDER BY avg(cpu_usage_percent) DESC NULLS FIRST, server_id LIMIT 3)
         SELECT {HOUR} AS "time", server_id AS metric, {settled("avg(cpu_usage_percent)")} AS value
         FROM s WHERE {MONTH} AND server_id IN (SELECT server_id FROM top) GROUP BY ALL""",
 )
 def _(t):
-    return infra.top_servers_series(t.servers, *t.month, "1 hour", t.as_of, "1 day")
+    return infra.top_servers_series(t.servers, *t.month, "1 hour", t.as_of, "1 day", count=3)
 
 
 def _service_sql(column: str) -> str:

@@ -21,19 +21,34 @@ CONFIG = DetectionConfig(
 )
 
 _BUCKET = "time_bucket(INTERVAL 1 HOUR, \"timestamp\")"
-HISTORY = f"""{SERVERS}, h AS (
+
+
+def _history(source: str) -> str:
+    return f"""h AS (
   SELECT server_id AS entity_id, 'cpu_usage_percent' AS metric_name, {_BUCKET} AS "timestamp",
-         avg(cpu_usage_percent) AS value FROM s GROUP BY ALL
+         avg(cpu_usage_percent) AS value FROM {source} GROUP BY ALL
   UNION ALL SELECT server_id, 'memory_usage_percent', {_BUCKET}, avg(memory_usage_percent)
-    FROM s GROUP BY ALL
+    FROM {source} GROUP BY ALL
   UNION ALL SELECT server_id, 'cpu_temperature_celsius', {_BUCKET}, avg(cpu_temperature_celsius)
-    FROM s GROUP BY ALL)"""
+    FROM {source} GROUP BY ALL)"""
+
+
+HISTORY = f"{SERVERS}, {_history('s')}"
+# All readings by the height of their value: series from full to a few buckets, with gaps.
+UNEVEN = f"""{SERVERS}, u AS (
+  SELECT * REPLACE ('band-' || CAST(floor((power_consumption_watts - 200) / 25) AS BIGINT)
+    AS server_id) FROM s), {_history('u')}"""
 _BY = "PARTITION BY entity_id, metric_name"
 
 
-def history(t):
+def uneven(t):
+    band = F.floor((F.col("power_consumption_watts") - 200) / 25).cast("string")
+    return t.servers.withColumn("server_id", F.concat(F.lit("band-"), band))
+
+
+def history(t, readings=None):
     return series.training_history(
-        t.servers, CONFIG.metrics, CONFIG.history_days, t.as_of, CONFIG.aggregation_interval
+        t.servers if readings is None else readings, CONFIG.metrics, CONFIG.history_days, t.as_of, CONFIG.aggregation_interval
     )
 
 
@@ -49,13 +64,13 @@ def _(t):
 
 @query(
     "infer_interval",
-    f"""WITH {HISTORY}, g AS (SELECT entity_id, metric_name, epoch("timestamp")
+    f"""WITH {UNEVEN}, g AS (SELECT entity_id, metric_name, epoch("timestamp")
           - lag(epoch("timestamp")) OVER ({_BY} ORDER BY "timestamp") AS gap FROM h)
         SELECT entity_id, metric_name, CAST(coalesce(floor(median(gap)), 300) AS INTEGER)
           AS interval_seconds FROM g GROUP BY ALL""",
 )
 def _(t):
-    return series.infer_interval(history(t))
+    return series.infer_interval(history(t, uneven(t)))
 
 
 @query(
@@ -102,21 +117,22 @@ _VERDICT = """c AS (SELECT entity_id, metric_name, count(*) AS n_rows, count(val
     THEN 'skipped' ELSE 'failed' END AS status FROM v)"""
 
 
-@query("series_validation", f"WITH {HISTORY}, {_VERDICT} SELECT * FROM o")
+@query("series_validation", f"WITH {UNEVEN}, {_VERDICT} SELECT * FROM o")
 def _(t):
-    return series.validate(history(t), 100, 200, 24)
+    return series.validate(history(t, uneven(t)), 100, 200, 24)
 
 
 @query(
     "training_stats",
-    f"""WITH {HISTORY}, {_VERDICT} SELECT count(DISTINCT entity_id) AS total_entities,
+    f"""WITH {UNEVEN}, {_VERDICT} SELECT count(DISTINCT entity_id) AS total_entities,
         count(*) AS total_models, count(*) FILTER (status = 'ok') AS successful,
         count(*) FILTER (status = 'failed') AS failed,
         count(*) FILTER (status = 'skipped') AS skipped FROM o""",
 )
 def _(t):
-    outcomes = training.train_outcomes(t.servers, CONFIG, t.as_of)
-    return training.training_stats(training.all_outcomes(t.servers, outcomes, CONFIG))
+    readings = uneven(t)
+    outcomes = training.train_outcomes(readings, CONFIG, t.as_of)
+    return training.training_stats(training.all_outcomes(readings, outcomes, CONFIG))
 
 
 @query(
