@@ -1,7 +1,6 @@
 """Training history, series measures, fits, and detection with fitted models.
 
-The fitted components have no SQL counterpart; tests check them against brute force. What a fit
-says about its series, and that its parts add up to the series, is checked here.
+The fit is compared with the decomposition written out in SQL (``seasonal_sql``).
 """
 
 from pyspark.sql import functions as F
@@ -13,7 +12,8 @@ from pulsegrid.operators.scoring import anomaly_records, score
 from pulsegrid.plans import training
 from pulsegrid.session import materialize
 
-from .registry import SERVERS, query, settled
+from .registry import SERVERS, SEVERITY, long_form, query, settled
+from .seasonal_sql import decomposition
 
 STL = {"seasonal_period": 24, "trend_period": 49, "min_points": 200}
 CONFIG = DetectionConfig(
@@ -198,39 +198,93 @@ def _(t):
     )
 
 
+# The fit in SQL: every series that is long enough, decomposed, and the model it leaves.
+_FITTED = f"""
+placed AS MATERIALIZED (
+  SELECT entity_id || '|' || metric_name AS k, count(*) OVER ({_BY}) AS n,
+         row_number() OVER ({_BY} ORDER BY "timestamp") AS i, value AS y, entity_id, metric_name,
+         "timestamp" FROM h JOIN o USING (entity_id, metric_name) WHERE status = 'ok'),
+{decomposition("placed", STL["seasonal_period"], STL["trend_period"])},
+found AS MATERIALIZED (
+  SELECT placed.*, trend, seasonal, y - trend - seasonal AS resid
+  FROM placed JOIN parts USING (k, i)),
+fitted AS MATERIALIZED (
+  SELECT entity_id, metric_name, arg_max(trend, i) AS trend_last_value,
+         regr_slope(trend, i) FILTER (i > n - greatest(10, n // 5)) AS trend_slope,
+         max("timestamp") AS trend_last_timestamp, avg(resid) AS residual_mean,
+         stddev_samp(resid) AS residual_std, any_value(n) AS n_training_points,
+         list(seasonal ORDER BY i) FILTER (i > n - {STL["seasonal_period"]}) AS pattern
+  FROM found GROUP BY ALL)"""
+
+
 @query(
-    "recomposed_series",
+    "decompose_series",
     sums=True,
-    sql=f"""WITH {HISTORY}, {_VERDICT} SELECT entity_id, metric_name, "timestamp",
-        {settled("value")} AS value FROM h JOIN o USING (entity_id, metric_name)
-        WHERE n_rows >= 200""",
+    sql=f"""WITH {HISTORY}, {_VERDICT}, {_FITTED} SELECT entity_id, metric_name, "timestamp",
+        {settled("y")} AS value, {settled("trend")} AS trend, {settled("seasonal")} AS seasonal,
+        {settled("resid")} AS resid FROM found""",
 )
 def _(t):
-    parts = decompose_series(history(t), StlConfig(**STL))
-    whole = F.col("trend") + F.col("seasonal") + F.col("resid")
-    return parts.select("entity_id", "metric_name", "timestamp", whole.alias("value"))
-
-
-@query("train_models")
-def _(t):
-    """Fitted model of every series, one row each with its outcome."""
-    fitted = training.train_outcomes(t.servers, CONFIG, t.as_of)
-    return fitted.withColumn("seasonal_pattern", F.transform("seasonal_pattern", _round))
-
-
-def _round(x):
-    return F.round(x, 6)
+    """Trend, seasonal part and residual of every bucket."""
+    return decompose_series(history(t), StlConfig(**STL))
 
 
-@query("decompose_series")
+@query(
+    "train_models",
+    sums=True,
+    sql=f"""WITH {HISTORY}, {_VERDICT}, {_FITTED} SELECT entity_id, metric_name, status,
+        {settled("trend_last_value")} AS trend_last_value, {settled("trend_slope")} AS trend_slope,
+        trend_last_timestamp, {settled("residual_mean")} AS residual_mean,
+        {settled("residual_std")} AS residual_std,
+        CAST(f.n_training_points AS INTEGER) AS n_training_points,
+        CAST(unnest(range(0, len(pattern))) AS INTEGER) AS place,
+        {settled("unnest(pattern)")} AS seasonal
+        FROM o JOIN fitted f USING (entity_id, metric_name)""",
+)
 def _(t):
-    """Trend, seasonal part and residual of every bucket."""
-    return decompose_series(history(t), StlConfig(**STL))
+    """Fitted model of every series, one row for each place of its cycle."""
+    fitted = training.train_outcomes(t.servers, CONFIG, t.as_of).where("status = 'ok'")
+    return fitted.select(
+        "entity_id",
+        "metric_name",
+        "status",
+        "trend_last_value",
+        "trend_slope",
+        "trend_last_timestamp",
+        "residual_mean",
+        "residual_std",
+        "n_training_points",
+        F.posexplode("seasonal_pattern").alias("place", "seasonal"),
+    )
 
 
-@query("detect_with_trained_models")
+@query(
+    "detect_with_trained_models",
+    sums=True,
+    sql=f"""WITH {HISTORY}, {_VERDICT}, {_FITTED}, l AS ({long_form()}),
+        e AS (
+          SELECT l.*, l.actual_value - (trend + seasonal) AS residual, trend + seasonal AS expected_value,
+                 (l.actual_value - (trend + seasonal) - residual_mean) / residual_std AS z_score
+          FROM (SELECT l.*, pattern[hour(l."timestamp") % 24 + 1] AS seasonal, residual_mean, residual_std,
+                  trend_last_value + trend_slope * ((epoch_us(l."timestamp")
+                    - epoch_us(trend_last_timestamp)) / 1e6::DOUBLE / 3600) AS trend
+                FROM l JOIN fitted USING (entity_id, metric_name)) l),
+        a AS (SELECT *, least(1.0::DOUBLE, abs(z_score) / 5) AS anomaly_score FROM e WHERE abs(z_score) > 3)
+        SELECT event_id, "timestamp", entity_id, metric_name, {SEVERITY} AS severity,
+          {settled("anomaly_score")} AS anomaly_score, {settled("expected_value")} AS expected_value,
+          {settled("z_score", 4)} AS z_score FROM a""",
+)
 def _(t):
     """Fit on the whole history, then score every reading against the fitted models."""
     models = materialize(training.train_models(t.servers, CONFIG, t.as_of))
     found = score(t.servers, models, CONFIG.metrics, carry=("event_id",))
-    return anomaly_records(found, carry=["event_id"]).select("*", "details.*").drop("details")
+    return anomaly_records(found, carry=["event_id"]).select(
+        "event_id",
+        "timestamp",
+        "entity_id",
+        "details.metric_name",
+        "severity",
+        "anomaly_score",
+        "details.expected_value",
+        "details.z_score",
+    )
