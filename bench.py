@@ -71,18 +71,19 @@ def streaming(spark, folder: str, scratch: str) -> dict[str, float]:
 
 
 def main() -> None:
+    scratch = tempfile.mkdtemp(prefix="run-", dir="/tmp")
     spark = build_session(
         "bench",
         f"local[{CPUS}]",
         **{
             "spark.sql.shuffle.partitions": CPUS,
             "spark.driver.memory": "16g",
+            "spark.checkpoint.dir": f"{scratch}/shared",
             "spark.ui.enabled": "false",
             "spark.ui.showConsoleProgress": "false",
         },
     )
     spark.sparkContext.setLogLevel("ERROR")
-    scratch = tempfile.mkdtemp(prefix="run-", dir="/tmp")
 
     def run(name):
         QUERIES[name](spark, FOLDER).write.format("noop").mode("overwrite").save()

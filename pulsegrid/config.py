@@ -27,13 +27,6 @@ class TopicConfig:
             raise ValueError("starting_offsets must be 'earliest' or 'latest'")
 
 
-@dataclass(frozen=True)
-class IngestConfig:
-    topic: TopicConfig = field(default_factory=TopicConfig)
-    trigger_seconds: float = 5.0
-    jdbc_batch_size: int = 100
-
-
 @dataclass(frozen=True)
 class StlConfig:
     """Seasonal-trend z-score method."""

@@ -70,7 +70,8 @@ def within_last(
     """Rows strictly younger than ``as_of - lookback``.
 
     On tables partitioned by ``event_date`` the bound is repeated on that column, so
-    partitions before it are never listed or read.
+    files of earlier days are not opened. To not even list their folders, read the table with
+    ``TableStore.read(name, since, until)``.
     """
     since = _like(df, column, moment(as_of) - interval(lookback))
     keep = F.col(column) > since

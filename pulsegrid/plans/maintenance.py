@@ -74,7 +74,8 @@ def compact(
             replaced += [f"{DATE}={day}/{d.name}" for d in batches]
     if not replaced:
         return []
-    spark, key = store.spark, TABLES[name].key
+    spark, table_of = store.spark, TABLES[name]
+    order = [DATE, *([table_of.key, "timestamp"] if table_of.timed else [])]
     rows = (
         spark.read.schema(store.read(name).schema)
         .option("basePath", table)
@@ -84,8 +85,8 @@ def compact(
     run = f"{COMPACTED}-{as_of:%Y%m%d%H%M%S}"
     (
         rows.withColumn(BATCH, F.lit(run))
-        .repartitionByRange(pieces, DATE, key, "timestamp")
-        .sortWithinPartitions(DATE, key, "timestamp")
+        .repartitionByRange(pieces, *order)
+        .sortWithinPartitions(*order)
         .write.mode("overwrite")
         .option("compression", "zstd")
         .partitionBy(DATE, BATCH)

@@ -46,7 +46,11 @@ def shared_folder(spark: SparkSession) -> str:
 
 def materialize(df: DataFrame) -> DataFrame:
     """Write ``df`` once as a table in the shared folder and read it from there, so that what
-    uses it twice computes it once and a lost executor costs nothing."""
-    path = f"{shared_folder(df.sparkSession)}/{uuid.uuid4().hex}"
+    uses it twice computes it once and a lost executor costs nothing. The table is deleted when
+    the application ends."""
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(where)
+    return spark.read.schema(df.schema).parquet(path)

@@ -7,6 +7,7 @@ carry the stream's name because every new checkpoint counts from zero.
 
 from __future__ import annotations
 
+from datetime import date
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,7 +23,7 @@ DATE, BATCH = "event_date", "batch_id"
 class Table(NamedTuple):
     schema: T.StructType
     key: str | None
-    dated: bool = True
+    timed: bool = True  # the day is that of ``timestamp``, otherwise that of writing
 
 
 TABLES = {
@@ -30,8 +31,8 @@ TABLES = {
     "application_metrics": Table(schemas.APPLICATION_METRICS, "service_name"),
     "predictions": Table(schemas.PREDICTIONS, "server_id"),
     "anomalies": Table(schemas.ANOMALIES, "entity_id"),
-    "dead_letter": Table(schemas.DEAD_LETTER, None, dated=False),
-    "stream_counts": Table(schemas.STREAM_COUNTS, None, dated=False),
+    "dead_letter": Table(schemas.DEAD_LETTER, None, timed=False),
+    "stream_counts": Table(schemas.STREAM_COUNTS, None, timed=False),
 }
 
 
@@ -47,25 +48,29 @@ class TableStore:
         return f"{self.root}/{name}"
 
     def _schema(self, name: str) -> T.StructType:
-        table = TABLES[name]
-        schema = T.StructType(list(table.schema.fields))
-        if table.dated:
-            schema = schema.add(DATE, T.DateType())
-        return schema.add(BATCH, T.StringType())
-
-    def _partitions(self, name: str) -> list[str]:
-        return [DATE, BATCH] if TABLES[name].dated else [BATCH]
+        schema = T.StructType(list(TABLES[name].schema.fields))
+        return schema.add(DATE, T.DateType()).add(BATCH, T.StringType())
 
     def create(self) -> TableStore:
         """Create whatever tables do not exist yet."""
         for name in TABLES:
             self.spark.createDataFrame([], self._schema(name)).write.mode("ignore").partitionBy(
-                *self._partitions(name)
+                DATE, BATCH
             ).parquet(self.path(name))
         return self
 
-    def read(self, name: str) -> DataFrame:
-        return self.spark.read.schema(self._schema(name)).parquet(self.path(name))
+    def read(self, name: str, since: date | None = None, until: date | None = None) -> DataFrame:
+        """The table, or its days from ``since`` to ``until``, both included: then only the
+        folders of these days are listed and opened."""
+        reader, path = self.spark.read.schema(self._schema(name)), self.path(name)
+        if since is None and until is None:
+            return reader.parquet(path)
+        days = [d.name for d in Files(self.spark).list(path) if d.name.startswith(f"{DATE}=")]
+        low, high = (f"{DATE}={x}" if x else None for x in (since, until))
+        days = [d for d in days if (not low or d >= low) and (not high or d <= high)]
+        if not days:
+            return self.spark.createDataFrame([], self._schema(name))
+        return reader.option("basePath", path).parquet(*(f"{path}/{d}" for d in days))
 
     def append(self, name: str, rows: DataFrame, batch_id: str) -> None:
         """Write the rows of one batch; columns the rows lack take their defaults.
@@ -88,19 +93,20 @@ class TableStore:
         out = rows.select(*(column(f) for f in table.schema.fields)).withColumn(
             BATCH, F.lit(batch_id)
         )
-        if table.dated:
-            out = out.withColumn(DATE, F.to_date("timestamp"))
+        if not table.timed:
+            self.remove_batch(name, batch_id)  # its first attempt may lie on another day
+        out = out.withColumn(DATE, F.to_date("timestamp") if table.timed else F.current_date())
         (
             out.write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(*self._partitions(name))
+            .partitionBy(DATE, BATCH)
             .parquet(self.path(name))
         )
 
     def remove_batch(self, name: str, batch_id: str) -> None:
         """Delete whatever an earlier attempt of a batch wrote."""
-        files, days = Files(self.spark), f"{DATE}=*/" if TABLES[name].dated else ""
-        for folder in files.matching(f"{self.path(name)}/{days}{BATCH}={batch_id}"):
+        files = Files(self.spark)
+        for folder in files.matching(f"{self.path(name)}/{DATE}=*/{BATCH}={batch_id}"):
             files.delete(folder)
 
     def register(self) -> TableStore:

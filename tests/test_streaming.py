@@ -414,3 +414,33 @@ def test_anomalies_that_break_a_rule_go_to_the_dead_letter(spark, tmp_path, monk
     letters = store.read("dead_letter")
     assert letters.count() == counts["anomalies_detected"] > 0 == store.read("anomalies").count()
     assert letters.where("raw LIKE '%entity_id%' AND reason LIKE 'entity_id%'").count() == letters.count()
+
+
+def test_a_question_about_one_hour_opens_one_day(spark, tmp_path):
+    store = TableStore(spark, str(tmp_path)).create()
+    t0 = datetime(2025, 10, 1)
+    for batch in range(3):
+        rows = [(t0 + timedelta(days=d, hours=batch), "srv-1", float(d)) for d in range(20)]
+        store.append("server_metrics", readings(spark, *rows).coalesce(1), f"a-{batch}")
+    day = (t0 + timedelta(days=7)).date()
+    found = store.read("server_metrics", day, day)
+    assert len(found.inputFiles()) == 3 and len(store.read("server_metrics").inputFiles()) >= 60
+    assert found.where(F.hour("timestamp") == 1).count() == 1
+    assert store.read("server_metrics", since=day).select("event_date").distinct().count() == 13
+    assert store.read("server_metrics", until=t0.date() - timedelta(days=1)).count() == 0
+
+
+def test_every_table_is_kept_up(spark, tmp_path):
+    """Dead letters and counters have days as well: replayed, folded and dropped like the others."""
+    store = TableStore(spark, str(tmp_path)).create()
+    batch = values(spark, SERVER, "{oops")
+    for number in (0, 0, 1):
+        ingest.ingest_batch(store, batch, f"ingest-{number}")
+    assert store.read("dead_letter").count() == 2
+    later = datetime.now() + timedelta(days=30)
+    for name in ("dead_letter", "stream_counts"):
+        before = store.read(name).count()
+        assert maintenance.compact(store, name, later, settle=timedelta(days=-9999))
+        assert store.read(name).count() == before
+        assert maintenance.drop_expired(store, name, later, days=7)
+        assert store.read(name).count() == 0
