@@ -29,9 +29,9 @@ from .registry import (
 DAY = f'"timestamp" > {AS_OF} - INTERVAL 1 DAY'
 
 
-def score(t, untrained=(), carry=("event_id",)):
+def score(t, untrained=(), carry=("event_id",), readings=None):
     return scoring.score(
-        t.servers,
+        t.servers if readings is None else readings,
         materialize(samples.baseline_models(t.servers, untrained)),
         DEFAULT_METRICS,
         carry=carry,
@@ -165,7 +165,7 @@ def _(t):
     flagged = samples.server_metrics(
         t.events, "CAST(get_json_object(props, '$.k') AS INT) < 20 AS resolved"
     )
-    found = score(t, flagged, carry=("resolved",))
+    found = score(t, carry=("resolved",), readings=flagged)
     stored = scoring.anomaly_records(found, carry=["resolved"]).withColumn(
         "created_at", F.col("timestamp")
     )
