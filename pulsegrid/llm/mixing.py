@@ -5,10 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from pulsegrid.session import materialize
+
 WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (5, 2, 1)
 SHARE, LIMIT = 1.5, 2.0
 SEED = "mix"
+BROADCAST_SOURCES = 100_000  # rows of (source, two numbers): a few MB
 
 
 def n_words(text: Column) -> Column:
@@ -60,23 +63,31 @@ def coin(doc_id: Column, seed: str = SEED) -> Column:
     return F.conv(F.substring(digest, 1, 13), 16, 10).cast("double") / float(16**13)
 
 
-def plan_mix(docs: DataFrame, seed: str = SEED, **rules) -> DataFrame:
-    """Every row of ``docs`` whole in ``row``, with size, source_size, target, rate and copies.
+def plan_mix(
+    docs: DataFrame, seed: str = SEED, carry: list[str] | None = None, **rules
+) -> DataFrame:
+    """Every row of ``docs`` in ``row`` (the columns ``carry``; whole by default), with size,
+    source_size, target, rate and copies.
 
     Needs doc_id, text and source; other columns pass in ``row`` whatever their names. A null
     text has size 0, a null source is one source, rows with the same or no doc_id share one
     coin. A source without words has rate 0. An empty table gives no rows.
-    The source side is joined without a hint: it is broadcast only if its measured size
-    permits, otherwise adaptive execution splits the hot source.
+    The targets are computed first and broadcast if they are at most BROADCAST_SOURCES rows, so
+    that no text is shuffled; beyond, adaptive execution splits the hot source.
     """
     sizes = docs.select(
-        F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"),
+        F.struct(*(F.col(f"`{c}`") for c in carry or docs.columns)).alias("row"),
+        F.col("doc_id").alias("doc_id"),
         F.col("source").alias("source"),
         n_words(F.col("text")).alias("size"),
     )
-    targets = source_targets(sizes.select("source", "size"), **rules).withColumnRenamed(
-        "source", "target_source"
+    targets = materialize(
+        source_targets(sizes.select("source", "size"), **rules).withColumnRenamed(
+            "source", "target_source"
+        )
     )
+    if targets.count() <= BROADCAST_SOURCES:
+        targets = F.broadcast(targets)
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     return (
         sizes.join(targets, F.col("source").eqNullSafe(F.col("target_source")))
@@ -84,7 +95,7 @@ def plan_mix(docs: DataFrame, seed: str = SEED, **rules) -> DataFrame:
         .withColumn(
             "copies",
             F.floor("rate")
-            + (coin(F.col("row.doc_id"), seed) < F.col("rate") - F.floor("rate")).cast("long"),
+            + (coin(F.col("doc_id"), seed) < F.col("rate") - F.floor("rate")).cast("long"),
         )
         .select("row", "size", "source_size", "target", "rate", "copies")
     )

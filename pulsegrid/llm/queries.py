@@ -62,7 +62,7 @@ FROM rates
 )
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What a mix to target weights takes of each document."""
-    return mixing.plan_mix(table(spark, sf_dir, "documents")).select(
+    return mixing.plan_mix(table(spark, sf_dir, "documents"), carry=["doc_id"]).select(
         "row.doc_id",
         "size",
         "source_size",
