@@ -20,6 +20,7 @@ AT_ONCE = 8 << 20  # characters walked over together
 FEW = 24  # so few texts left are walked one by one
 BANDS, BAND_SYMBOLS = 8, 8
 LIKE = 0.8
+BLOCK = 1024  # members of a band compared at a time
 TEXT_PER_TASK = 64 << 20
 #: One printable character per symbol; symbol 0 is the end of a text and is never written.
 SYMBOLS = np.frombuffer(
@@ -28,7 +29,7 @@ SYMBOLS = np.frombuffer(
 
 PRINTS = (
     "doc_id long, n_chars long, edited_sha256 string, fingerprint string, "
-    "edited_fingerprint string, near_edited double, near_next double, bands array<long>"
+    "edited_fingerprint string, near_edited double, near_next double"
 )
 
 
@@ -270,7 +271,6 @@ def _print_texts(batches):
                 "edited_fingerprint": [written(x) for x in changed],
                 "near_edited": [walk.likeness(a, b) for a, b in zip(own, changed, strict=True)],
                 "near_next": [walk.likeness(a, b) for a, b in zip(own, following, strict=True)],
-                "bands": pa.array([walk.bands(x) for x in own], pa.list_(pa.int64())),
             }
         )
 
@@ -295,41 +295,186 @@ def _verify(threshold: float):
         walk = Walk()
         for batch in batches:
             pairs = zip(batch.column("x").to_pylist(), batch.column("y").to_pylist(), strict=True)
-            near = [walk.likeness(parsed(x), parsed(y)) for x, y in pairs]
-            ids = [batch.column("doc_id"), batch.column("other"), pa.array(near)]
-            found = pa.RecordBatch.from_arrays(ids, ["doc_id", "other", "near"])
-            yield found.filter(pa.array([x >= threshold for x in near]))
+            alike = [walk.likeness(parsed(x), parsed(y)) >= threshold for x, y in pairs]
+            yield batch.select(["nid", "near"]).filter(pa.array(alike, pa.bool_()))
 
     return verify
 
 
-def earlier_alike(prints: DataFrame, threshold: float = LIKE) -> DataFrame:
-    """doc_id, near_id: for each document the smallest id that a band of it holds, if their
-    fingerprints are alike by ``threshold``. One pair per document and band at most, so a band
-    full of copies gives each copy one partner."""
-    banded = prints.where("doc_id IS NOT NULL").select("doc_id", F.explode("bands").alias("band"))
-    heads = banded.groupBy("band").agg(F.min("doc_id").alias("other"), F.max("doc_id").alias("last"))
-    pairs = (
-        banded.join(heads.where("other < last"), "band")
-        .where("other < doc_id")
-        .select("doc_id", "other")
-        .distinct()
+def _banded(batches):
+    """nid, band: the name of each fingerprint with each of its bands."""
+    walk = Walk()
+    for batch in batches:
+        keys = [walk.bands(parsed(x)) for x in batch.column("fingerprint").to_pylist()]
+        nids = np.repeat(batch.column("nid").to_numpy(), [len(x) for x in keys])
+        flat = np.array([k for x in keys for k in x], np.int64)
+        yield pa.RecordBatch.from_arrays([pa.array(nids), pa.array(flat)], ["nid", "band"])
+
+
+class _Samples:
+    """Symbols of some fingerprints as rows of matrices, at their own level and at the next."""
+
+    def __init__(self, prints: list[tuple[int, bytes]]):
+        walk = Walk()
+        self.level = np.array([level for level, _ in prints], np.int64)
+        self.at = []
+        for up in (0, 1):
+            found = [walk.thinned(*x, x[0] + up) for x in prints]
+            sizes = np.array([len(x) for x in found], np.int64)
+            rows = np.zeros((len(found), sizes.max(initial=0)), np.uint8)
+            for k, x in enumerate(found):
+                rows[k, : len(x)] = x
+            self.at.append((rows, sizes))
+
+    def likeness(self, one: int, others: np.ndarray) -> np.ndarray:
+        """As Walk.likeness, of one with several; those of one band are at most a level apart."""
+        out = np.zeros(len(others))
+        for apart in (-1, 0, 1):
+            k = np.flatnonzero(self.level[others] - self.level[one] == apart)
+            if not len(k):
+                continue
+            (x, n), (y, m) = self.at[apart == 1], self.at[apart == -1]
+            width = min(x.shape[1], y.shape[1])
+            mine = x[one, :width]
+            same = ((y[others[k], :width] == mine) & (mine != 0)).sum(axis=1)
+            most = np.maximum(m[others[k]], n[one])
+            out[k] = np.where(most > 0, same / np.maximum(most, 1), 0.0)
+        return out
+
+
+def _compare_blocks(threshold: float):
+    """The smallest alike first id of one block for each seeker of the other."""
+
+    def compare(group):
+        import pandas as pd
+
+        group = group.sort_values(["first", "nid"], ignore_index=True)
+        samples = _Samples([parsed(x) for x in group["fingerprint"]])
+        first, upto, nid = (group[c].to_numpy() for c in ("first", "upto", "nid"))
+        i, j = group["i"].iloc[0], group["j"].iloc[0]
+        here = group["block"].to_numpy() == i
+        open_ = np.flatnonzero(group["seeks"].to_numpy())
+        found, near = [], []
+        for k in range(len(group)):
+            if not len(open_):
+                break
+            # what comes later has larger ids still
+            open_ = open_[upto[open_] > first[k]]
+            asked = open_ if i == j else open_[here[open_] != here[k]]
+            alike = asked[samples.likeness(k, asked) >= threshold]
+            found.append(nid[alike])
+            near.append(np.full(len(alike), first[k]))
+            open_ = np.setdiff1d(open_, alike, assume_unique=True)
+        return pd.DataFrame({"nid": np.concatenate(found or [nid[:0]]), "near": np.concatenate(near or [first[:0]])})
+
+    return compare
+
+
+def _leftover(seats: DataFrame, sides: DataFrame, heads: DataFrame, starred: DataFrame, threshold: float) -> DataFrame:
+    """nid, near: what the bands' members find among each other where their head is not alike, or
+    a smaller id than they know may still be there. Compared in pairs of blocks, each seeker until
+    it has met its smallest."""
+    known = starred.groupBy("nid").agg(F.min("near").alias("known"))
+    others = (
+        seats.join(heads, "band")
+        .where("nid <> head")
+        .join(sides.select("nid", "first"), "nid")
+        .join(known, "nid", "left")
+        .withColumn("upto", F.least("first", "known"))
+        .withColumn("seeks", F.col("upto") > F.col("head_first"))
+    )
+    sought = (
+        others.groupBy("band")
+        .agg(F.count("*").alias("size"), F.max(F.when(F.col("seeks"), F.col("upto"))).alias("most"), F.min("first").alias("least"))
+        .where("size > 1 AND most > least")
+        .select("band", "size", "most")
     )
-    own = prints.select("doc_id", F.col("fingerprint").alias("x"))
-    theirs = prints.select(F.col("doc_id").alias("other"), F.col("fingerprint").alias("y"))
+    blocks = F.ceil(F.col("size") / BLOCK).cast("long")
     return (
-        pairs.join(own, "doc_id")
-        .join(theirs, "other")
-        .select("doc_id", "other", "x", "y")
-        .mapInArrow(_verify(threshold), "doc_id long, other long, near double")
-        .groupBy("doc_id")
-        .agg(F.min("other").alias("near_id"))
+        others.join(sought, "band")
+        .where("seeks OR first < most")
+        .withColumn("block", F.pmod(F.xxhash64("nid"), blocks))
+        .withColumn("with", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)))
+        .join(sides.select("nid", "fingerprint"), "nid")
+        .select(
+            "band",
+            F.least("block", "with").alias("i"),
+            F.greatest("block", "with").alias("j"),
+            *("block", "nid", "first", "upto", "seeks", "fingerprint"),
+        )
+        .groupBy("band", "i", "j")
+        .applyInPandas(_compare_blocks(threshold), "nid long, near long")
     )
 
 
+def earlier_alike(prints: DataFrame, threshold: float = LIKE) -> DataFrame:
+    """nid, near: for each fingerprint, named by its hash, the smallest id of one that shares a
+    band with it and is alike by ``threshold``. Only fingerprints with such an id are listed.
+
+    Equal fingerprints are one node. Each band is first compared with its head, the smallest id in
+    it; then whoever its head does not settle is compared with the other members, so no alike
+    pair of a band is missed, whatever the head is.
+    """
+    named = prints.where("doc_id IS NOT NULL").select(
+        "doc_id", "fingerprint", F.xxhash64("fingerprint").alias("nid")
+    )
+    equal = (
+        named.groupBy("nid")
+        .agg(F.min("doc_id").alias("near"), F.count("*").alias("n"))
+        .where("n > 1")
+        .select("nid", "near")
+    )
+    banded = named.select("nid", "fingerprint").mapInArrow(_banded, "nid long, band long")
+    shared = (
+        banded.groupBy("band")
+        .agg(F.min("nid").alias("x"), F.max("nid").alias("y"))
+        .where("x <> y")
+        .select("band")
+    )
+    met = materialize(banded.join(shared, "band", "left_semi").distinct())
+    # of bands with the same members one is enough
+    chosen = (
+        met.groupBy("band")
+        .agg(
+            F.count("*").alias("size"),
+            F.bit_xor(F.xxhash64("nid")).alias("x"),
+            F.bit_xor(F.xxhash64("nid", F.lit(1))).alias("y"),
+        )
+        .groupBy("size", "x", "y")
+        .agg(F.min("band").alias("band"))
+        .select("band")
+    )
+    seats = materialize(met.join(chosen, "band", "left_semi"))
+    sides = materialize(
+        named.join(seats.select("nid").distinct(), "nid", "left_semi")
+        .groupBy("nid", "fingerprint")
+        .agg(F.min("doc_id").alias("first"))
+    )
+    heads = materialize(
+        seats.join(sides.select("nid", "first"), "nid")
+        .groupBy("band")
+        .agg(F.min(F.struct("first", "nid")).alias("head"))
+        .select("band", F.col("head.nid").alias("head"), F.col("head.first").alias("head_first"))
+    )
+    pairs = seats.join(heads, "band").where("nid <> head").select("nid", "head").distinct()
+    own = sides.select("nid", F.col("fingerprint").alias("x"))
+    theirs = sides.select(F.col("nid").alias("head"), F.col("first").alias("near"), F.col("fingerprint").alias("y"))
+    starred = materialize(
+        pairs.join(own, "nid")
+        .join(theirs, "head")
+        .select("nid", "near", "x", "y")
+        .mapInArrow(_verify(threshold), "nid long, near long")
+    )
+    rest = _leftover(seats, sides, heads, starred, threshold)
+    return equal.unionByName(starred).unionByName(rest).groupBy("nid").agg(F.min("near").alias("near"))
+
+
 def with_earlier(docs: DataFrame, threshold: float = LIKE) -> DataFrame:
     """Fingerprints, and ``near_id``: the smallest alike document found by bands, or its own id."""
     prints = materialize(fingerprints(docs))
-    return prints.join(earlier_alike(prints, threshold), "doc_id", "left").withColumn(
-        "near_id", F.coalesce("near_id", "doc_id")
+    return (
+        prints.withColumn("nid", F.xxhash64("fingerprint"))
+        .join(earlier_alike(prints, threshold), "nid", "left")
+        .withColumn("near_id", F.when(F.col("doc_id").isNotNull(), F.least("near", "doc_id")))
+        .drop("nid", "near")
     )

@@ -224,8 +224,7 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of every text and its edited text, with the likenesses."""
-    found = fingerprints.with_earlier(table(spark, sf_dir, "documents"))
-    return found.drop("bands")
+    return fingerprints.with_earlier(table(spark, sf_dir, "documents"))
 
 
 @query()

@@ -2,6 +2,7 @@ import hashlib
 import random
 
 import numpy as np
+import pytest
 
 from pulsegrid.llm import fingerprints as fp
 from tests.llm.conftest import ODD
@@ -77,6 +78,37 @@ def test_copies_find_the_earliest(documents):
     assert {r.doc_id: r.near_id for r in rows} == {3: 3, 5: 5, 8: 3, 9: 3}
 
 
+@pytest.mark.parametrize("block", [1024, 3])
+def test_copies_meet_behind_a_head_that_is_not_alike(documents, monkeypatch, block):
+    monkeypatch.setattr(fp, "BLOCK", block)
+    rng = random.Random(6)
+    head = prose(rng, 1200)
+    texts = {1: head + prose(rng, 800)}
+    for first in (100, 200, 300):  # groups behind one head passage
+        body = prose(rng, 800)
+        for k in range(6):
+            at = 1200 + rng.randrange(700)
+            whole = head + body
+            texts[first + k] = whole[:at] + "Z" + whole[at:]
+    # a chain: each is alike to the one before it, the last not to the first
+    chain = [prose(rng, 2000)]
+    for k in range(1, 4):
+        at = 2000 - 220 * k
+        chain.append(chain[-1][:at] + prose(rng, 220) + chain[-1][at + 220 :])
+    texts |= {400 + k: t for k, t in enumerate(chain)}
+    texts |= {500: texts[203], 501: texts[1]}
+    walk = fp.Walk()
+    prints = {k: walk([t])[0] for k, t in texts.items()}
+    bands = {k: set(walk.bands(x)) for k, x in prints.items()}
+    expected = {
+        k: min(e for e in texts if e <= k and bands[e] & bands[k] and walk.likeness(prints[e], prints[k]) >= fp.LIKE)
+        for k in texts
+    }
+    assert expected[105] == 100 and expected[203] == 200  # not alike to 1, alike to each other
+    rows = fp.with_earlier(documents(*texts.items())).collect()
+    assert {r.doc_id: r.near_id for r in rows} == expected
+
+
 def test_odd_rows(documents):
     rows = fp.with_earlier(documents(*ODD)).collect()
     assert len(rows) == len(ODD)
