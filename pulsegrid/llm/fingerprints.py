@@ -18,7 +18,7 @@ SAMPLES = 256  # a fingerprint holds between half of and about all of that many
 PERIOD = 1024  # the walk's rules repeat after so many steps
 AT_ONCE = 8 << 20  # characters walked over together
 FEW = 24  # so few texts left are walked one by one
-BANDS, BAND_SYMBOLS = 8, 8
+BANDS, BAND_SYMBOLS = 10, 6
 LIKE = 0.8
 BLOCK = 1024  # members of a band compared at a time
 TEXT_PER_TASK = 64 << 20
@@ -60,6 +60,7 @@ class Walk:
         self.moves[:, 0] = 0  # class 0 is the end: the walk stays there
         self.rows = [bytes(row.astype(np.uint8)) for row in self.moves]
         self.levels = _levels(1 << 16)
+        self.picked: dict[int, np.ndarray] = {}
 
     def levels_upto(self, n: int) -> np.ndarray:
         if len(self.levels) < n:
@@ -157,23 +158,31 @@ class Walk:
         n, most = min(len(x), len(y)), max(len(x), len(y))
         return float((x[:n] == y[:n]).sum()) / most if most else 0.0
 
+    def picks(self, n: int) -> np.ndarray:
+        """Which of n symbols each band takes. Every place of a band has its own order of step
+        numbers and takes the first of them below n, so that the choice spreads over all n and
+        texts of other lengths choose alike."""
+        if n not in self.picked:
+            places = np.arange(BANDS * BAND_SYMBOLS, dtype=np.uint64)[:, None] << np.uint64(32)
+            order = mixed(mixed(places + np.arange(n, dtype=np.uint64)) + np.uint64(991))
+            self.picked[n] = order.argmin(axis=1).reshape(BANDS, BAND_SYMBOLS)
+        return self.picked[n]
+
     def bands(self, print_: tuple[int, bytes]) -> list[int]:
         """Band keys at the text's own level and the next, so that texts on two sides of a level
-        still meet. Each band is a seeded choice of the samples' symbols."""
+        still meet. Each band is a seeded choice among all symbols sampled at the level: with
+        likeness LIKE two texts share one of the BANDS of a level by 1 - (1 - LIKE ** BAND_SYMBOLS)
+        ** BANDS, wherever they differ."""
         keys = []
         for level in (print_[0], print_[0] + 1):
-            found = self.thinned(*print_, level)
-            if len(found) < BAND_SYMBOLS:  # a short text has one band: all that was sampled
-                picked = [found]
-            else:
-                spread = mixed(np.arange(BANDS * BAND_SYMBOLS, dtype=np.uint64) + np.uint64(991))
-                choice = (spread % np.uint64(SAMPLES // 4)).astype(np.int64)
-                padded = np.zeros(SAMPLES // 4, np.uint8)
-                padded[: len(found)] = found[: SAMPLES // 4]
-                picked = list(padded[choice].reshape(BANDS, BAND_SYMBOLS))
-            for k, band in enumerate(picked):
-                digest = hashlib.blake2b(bytes([level, k]) + band.tobytes(), digest_size=8).digest()
-                keys.append(int.from_bytes(digest, "little", signed=True))
+            found = self.thinned(*print_, level).astype(np.uint64)
+            if len(found):  # 6 bits a symbol, then the band's number and level
+                shifts = np.arange(BAND_SYMBOLS, dtype=np.uint64) * np.uint64(6)
+                words = (found[self.picks(len(found))] << shifts).sum(axis=1, dtype=np.uint64)
+                words += (np.arange(BANDS, dtype=np.uint64) + np.uint64(BANDS * level)) << np.uint64(6 * BAND_SYMBOLS)
+                keys.extend(mixed(words).view(np.int64).tolist())
+            elif level == print_[0]:  # texts without symbols meet each other
+                keys.append(0)
         return keys
 
 

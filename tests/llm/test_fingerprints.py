@@ -51,6 +51,31 @@ def test_bands_meet_across_levels():
     assert met > 35
 
 
+@pytest.mark.parametrize("where", ["start", "middle", "end", "scattered"])
+def test_bands_find_edits_anywhere(where):
+    rng, walk = random.Random(7), fp.Walk()
+    texts, edited = [], []
+    for _ in range(500):
+        n = rng.randrange(150, 3000)
+        text, w = prose(rng, n), int(n * rng.uniform(0.1, 0.2))
+        at = {"start": 0, "middle": (n - w) // 2, "end": n - w}.get(where)
+        if at is None:
+            other = list(text)
+            for k in rng.sample(range(n), n // 50):
+                other[k] = "Z"
+            other = "".join(other)
+        else:
+            other = text[:at] + prose(rng, w) + text[at + w :]
+        texts.append(text)
+        edited.append(other)
+    met = [
+        bool(set(walk.bands(a)) & set(walk.bands(b)))
+        for a, b in zip(walk(texts), walk(edited), strict=True)
+        if fp.LIKE <= walk.likeness(a, b) <= 0.88
+    ]
+    assert len(met) > 50 and np.mean(met) >= 0.9
+
+
 def test_next_document_and_edited_text(documents, spark):
     rng = random.Random(4)
     docs = [(k * 7 % 500, prose(rng, rng.randrange(0, 400))) for k in range(300)]
