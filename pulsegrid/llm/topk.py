@@ -18,17 +18,17 @@ SCORES = "query_id long, vec_id long, score long"
 
 
 def quantised(vectors: DataFrame, ids: str, values: str, scale: float) -> DataFrame:
-    """vec_id, x: floor(scale * component) of the vectors that take part, one row per id.
+    """vec_id, x: floor(scale * component) of the vectors that take part.
 
     Vectors that are null, empty or hold null or non-finite components, and rows without an id,
-    take no part. Of several rows with one id the smallest vector counts.
+    take no part. Of rows with one id all different vectors take part,
+    the same vector once.
     """
     return (
         vectors.select(F.col(ids).alias("vec_id"), F.col(values).alias("x"))
         .where(F.col("vec_id").isNotNull() & F.col("x").isNotNull() & (F.size("x") > 0))
         .where(F.forall("x", lambda x: F.coalesce(~F.isnan(x) & (F.abs(x) < math.inf), F.lit(False))))
-        .groupBy("vec_id")
-        .agg(F.min("x").alias("x"))
+        .dropDuplicates(["vec_id", "x"])
         .select("vec_id", F.transform("x", lambda x: F.floor(scale * x.cast("double"))).alias("x"))
     )
 
@@ -178,7 +178,8 @@ def top_k(
 ) -> DataFrame:
     """query_id, rank, vec_id, score: the k highest integer inner products of each query.
 
-    ``is_query`` is a condition on vec_id; every other row of the table is a candidate. Ties go
+    ``is_query`` is a condition on vec_id; every row of the table with another id is a candidate,
+    and rows with one id answer as one query with the pairs of all of them. Ties go
     to the smaller id; a query with fewer candidates gets them all. See ``quantised`` for rows
     that take no part; vectors of unequal length are filled up with zeros. Scores must fit a
     long. An empty table gives no rows.

@@ -13,6 +13,15 @@ def vectors(spark, rows):
     return spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int, score string, x int")
 
 
+def test_rows_with_one_id_all_take_part(spark):
+    points = [(20, [1.0, 0.0]), (20, [0.0, 1.0]), (20, [0.0, 1.0]), (1, [0.5, 0.0]), (1, [0.0, 2.0]), (2, [1.0, 1.0])]
+    found = topk.top_k(vectors(spark, [(k, x, 0, "s", 1) for k, x in points]), lambda v: v % 20 == 0, 20).collect()
+    whole = {(k, tuple(int(64 * v) for v in x)) for k, x in points}  # a repeated row counts once
+    pairs = [(p, sum(a * b for a, b in zip(x, y, strict=True))) for q, x in whole if q == 20 for p, y in whole if p != q]
+    expected = sorted(pairs, key=lambda r: (-r[1], r[0]))
+    assert [(r.vec_id, r.score) for r in sorted(found, key=lambda r: r["rank"])] == expected
+
+
 @pytest.mark.parametrize("block, size, group, ties", [(4, 1 << 18, 4096, False), (16, 40, 3, True), (256, 7, 4096, True)])
 def test_top_k_agrees_with_brute_force(spark, monkeypatch, block, size, group, ties):
     monkeypatch.setattr(topk, "BLOCK", block)
