@@ -5,7 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulsegrid.llm import fingerprints, jaccard, licenses, lines, mixing, packing, quality, substrings, topk, toxicity
+from pulsegrid.llm import (
+    fingerprints,
+    infill,
+    jaccard,
+    licenses,
+    lines,
+    mixing,
+    packing,
+    quality,
+    repair,
+    simhash,
+    substrings,
+    topk,
+    toxicity,
+)
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -239,3 +253,118 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality of every document."""
     docs = table(spark, sf_dir, "documents")
     return quality.score(docs, quality.train(docs, table(spark, sf_dir, "labels")))
+
+
+@query(
+    r"""
+WITH drawn AS (
+  SELECT doc_id, coalesce(text, '') AS text, sha256('7:' || coalesce(doc_id::VARCHAR, '')) AS digest,
+         regexp_extract_all(coalesce(text, ''), '[^\n]*\n|[^\n]+') AS units
+  FROM documents),
+lots AS (
+  SELECT *, len(units) AS n,
+         ('0x' || digest[1:8])::BIGINT % (len(units) + 1) AS x, ('0x' || digest[9:16])::BIGINT % (len(units) + 1) AS y,
+         ('0x' || digest[25:32])::BIGINT % 100 < 50 AS spm,
+         text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') AS plain
+  FROM drawn),
+parts AS (
+  SELECT *, coalesce(array_to_string(units[1 : least(x, y)], ''), '') AS prefix,
+         coalesce(array_to_string(units[least(x, y) + 1 : greatest(x, y)], ''), '') AS middle,
+         coalesce(array_to_string(units[greatest(x, y) + 1 : n], ''), '') AS suffix
+  FROM lots)
+SELECT doc_id, n::BIGINT AS n, CASE WHEN plain THEN 'plain' WHEN spm THEN 'spm' ELSE 'psm' END AS form,
+       CASE WHEN NOT plain THEN length(prefix)::BIGINT END AS prefix_chars,
+       CASE WHEN NOT plain THEN length(middle)::BIGINT END AS middle_chars,
+       sha256(CASE WHEN plain THEN text
+                   WHEN spm THEN '<S>' || suffix || '<P>' || prefix || '<M>' || middle
+                   ELSE '<P>' || prefix || '<S>' || suffix || '<M>' || middle END) AS output_sha256,
+       sha256(text) AS restored_sha256
+FROM parts
+"""
+)
+def op11_infill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document rearranged for filling in its middle, and rebuilt from that."""
+    changed = infill.transform(table(spark, sf_dir, "documents"))
+    return infill.restore(changed).select(
+        *("doc_id", "n", "form", "prefix_chars", "middle_chars"),
+        F.sha2("output", 256).alias("output_sha256"),
+        F.sha2("text", 256).alias("restored_sha256"),
+    )
+
+
+@query()
+def op12_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents whose fingerprints differ in three bits or fewer."""
+    return simhash.link(table(spark, sf_dir, "documents"), shingle=3, radius=3).select(
+        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
+    )
+
+
+@query(
+    r"""
+WITH RECURSIVE original AS (
+  SELECT conv_id, turn, coalesce(conv_id::VARCHAR, ' ') AS name, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         xor(4294967295, list_reduce(
+           list_prepend(4294967295::BIGINT, list_transform(
+             string_split(coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '), ''),
+             lambda c: ascii(c)::BIGINT)),
+           lambda r, c: list_reduce(list_prepend(xor(r, c), range(8)),
+                                    lambda x, i: xor(x >> 1, 3988292384 * (x & 1))))) % 20 AS lot
+  FROM conversations),
+damaged AS (
+  SELECT name, turn, CASE WHEN lot = 4 THEN 'user' ELSE role END AS role,
+         CASE lot WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+         unnest(range(CASE WHEN lot = 3 THEN 2 ELSE 1 END)) AS copy
+  FROM original WHERE lot <> 0),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY name ORDER BY turn NULLS FIRST, role, text, copy) AS k,
+         substr(role, 1, 1) AS initial
+  FROM damaged),
+faults AS (
+  SELECT *, lag(initial) OVER (PARTITION BY name ORDER BY k) AS before,
+         NOT regexp_matches(text, '[^\x20\x09-\x0D]') AS blank,
+         row_number() OVER (PARTITION BY name, role, text ORDER BY k) > 1 AS again,
+         right(rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 1) NOT IN ('.', '!', '?') AS open
+  FROM placed),
+gap(a, b, n, made) AS (VALUES
+  ('start', 'start', 0, []::VARCHAR[]), ('S', 'S', 0, []), ('U', 'U', 0, []), ('A', 'A', 0, []),
+  ('start', 'U', 1, ['user:']), ('S', 'U', 1, ['user:']), ('A', 'U', 1, ['user:']), ('U', 'A', 1, ['assistant:']),
+  ('start', 'A', 2, ['user:', 'assistant:']), ('S', 'A', 2, ['user:', 'assistant:'])),
+moves(a, letter, initial, b, cost, role) AS (VALUES
+  ('start', 'D', NULL, 'start', 2, NULL), ('S', 'D', NULL, 'S', 2, NULL), ('U', 'D', NULL, 'U', 2, NULL),
+  ('A', 'D', NULL, 'A', 2, NULL), ('start', 'K', 's', 'S', 0, NULL), ('start', 'K', 'u', 'U', 0, NULL),
+  ('S', 'K', 'u', 'U', 0, NULL), ('A', 'K', 'u', 'U', 0, NULL), ('U', 'K', 'a', 'A', 0, NULL),
+  ('start', 'R', NULL, 'U', 1, 'user'), ('S', 'R', NULL, 'U', 1, 'user'), ('A', 'R', NULL, 'U', 1, 'user'),
+  ('U', 'R', NULL, 'A', 1, 'assistant')),
+walk AS (
+  SELECT DISTINCT name, 0::BIGINT AS k, 'start' AS state, 0::BIGINT AS cost, '' AS audit, []::VARCHAR[] AS made FROM faults
+  UNION ALL
+  SELECT name, k, state, cost, audit, made FROM (
+    SELECT w.name, f.k, m.b AS state, w.audit || repeat('I', g.n) || m.letter AS audit,
+           w.cost + 5 * g.n + m.cost + CASE WHEN m.letter <> 'D' AND f.open THEN 5 ELSE 0 END AS cost,
+           list_concat(w.made, g.made, CASE WHEN m.letter = 'D' THEN [] ELSE [coalesce(m.role, f.role) || ':' || f.text] END) AS made
+    FROM walk w JOIN faults f ON f.name = w.name AND f.k = w.k + 1
+    JOIN gap g ON g.a = w.state
+    JOIN moves m ON m.a = g.b AND (m.letter = 'D' OR NOT (f.blank OR f.again) AND (m.letter = 'R' OR m.initial = f.initial)))
+  QUALIFY row_number() OVER (PARTITION BY name, state ORDER BY cost, audit) = 1),
+summed AS (
+  SELECT name, count(*) AS size, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+         count(*) FILTER (blank) AS blank, count(*) FILTER (again AND NOT blank) AS duplicate,
+         count(*) FILTER (open AND NOT again AND NOT blank) AS truncated,
+         count(*) FILTER (before || initial NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM faults GROUP BY name),
+best AS (
+  SELECT w.name, w.cost + 5 * g.n AS cost, w.audit || repeat('I', g.n) AS audit, list_concat(w.made, g.made) AS made
+  FROM walk w JOIN summed s ON s.name = w.name AND s.size = w.k
+  JOIN gap g ON g.a = w.state AND g.b IN ('start', 'A')
+  QUALIFY row_number() OVER (PARTITION BY w.name ORDER BY w.cost + 5 * g.n, w.audit || repeat('I', g.n)) = 1)
+SELECT o.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank,
+       coalesce(duplicate, 0)::BIGINT AS duplicate, coalesce(truncated, 0)::BIGINT AS truncated,
+       coalesce(illegal, 0)::BIGINT AS illegal, coalesce(cost, 0)::BIGINT AS cost, coalesce(audit, '') AS audit,
+       sha256(coalesce(array_to_string(made, chr(10)), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id, name FROM original) o LEFT JOIN summed USING (name) LEFT JOIN best USING (name)
+"""
+)
+def op13_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults of damaged conversations and the cheapest edits that repair them."""
+    return repair.audit(table(spark, sf_dir, "conversations"))
