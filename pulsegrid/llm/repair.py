@@ -263,10 +263,10 @@ def _chunks(rows: DataFrame) -> DataFrame:
         lambda a, b: (~_legal(a, b)).cast("long"),
     )
     within = F.aggregate(pairs, F.lit(0).cast("long"), lambda n, x: n + x)
-    across = ~_legal(F.element_at("kinds", -1), F.col("next_kind"))
+    across = F.col("next_kind").isNotNull() & ~_legal(F.element_at("kinds", -1), F.col("next_kind"))
     return (
         gathered.join(links, [*CONV, "chunk"])
-        .withColumn("illegal", F.col("copied") + within + F.coalesce(across.cast("long"), F.lit(0)))
+        .withColumn("illegal", F.col("copied") + within + across.cast("long"))
         .withColumn("more", DELETE * F.col("copied"))
         .drop("kinds", "copied", "next_kind")
     )
