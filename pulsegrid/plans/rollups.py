@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import UTC, date, datetime
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.clock import bucket, interval, moment
-from ..sources.tables import TableStore
+from ..operators.states import STATES, average, merge_states, partial_states
+from ..sources.tables import BATCH, DATE, VERSIONS, TableStore
 
 SERVER_MEASURES = {
     "avg_cpu": F.avg,
@@ -147,18 +148,57 @@ def refresh_rollups(
         write_rollup(hourly(window), f"{store.root}/{name}")
 
 
-def refresh_hours(store: TableStore, name: str, rows: DataFrame) -> None:
-    """Recompute, from the stored table, every hour that ``rows`` touch, however late they are.
+def server_hourly_from_states(states: DataFrame) -> DataFrame:
+    """The rows of :func:`server_hourly` from partial states."""
+    merged = merge_states(states, "server_id", "1 hour")
+    measures = []
+    for name in SERVER_MEASURES:
+        kind, short = name.split("_")
+        column = _SOURCE[short]
+        value = average(column) if kind == "avg" else F.col(f"{column}_max")
+        measures.append(value.alias(name))
+    return merged.select(
+        F.col("timestamp").alias("hour"), "server_id", *measures, F.col("rows").alias("sample_count")
+    )
 
-    ``rows`` must be stored already. Hours of one micro-batch are few; they are filtered by day
-    and by hour, so only those days' partitions are read.
-    """
-    source, hourly = ROLLUPS[name]
-    touched = [r[0] for r in rows.select(F.date_trunc("hour", "timestamp")).distinct().collect()]
-    touched = [hour for hour in touched if hour is not None]
-    if touched:
-        stored = store.read(source).where(
-            F.col("event_date").isin(sorted({hour.date() for hour in touched}))
-            & F.date_trunc("hour", "timestamp").isin(touched)
-        )
-        write_rollup(hourly(stored), f"{store.root}/{name}")
+
+def application_hourly_from_states(states: DataFrame) -> DataFrame:
+    """The rows of :func:`application_hourly` from partial states."""
+    return merge_states(states, "service_name", "1 hour").select(
+        F.col("timestamp").alias("hour"),
+        "service_name",
+        average("request_rate_per_sec").alias("avg_request_rate"),
+        average("response_time_p95_ms").alias("avg_p95_latency"),
+        F.col("response_time_p99_ms_max").alias("max_p99_latency"),
+        average("error_rate_percent").alias("avg_error_rate"),
+        F.col("error_count_sum").cast("long").alias("total_errors"),
+        F.col("rows").alias("sample_count"),
+    )
+
+
+#: Rollup: table of states, function.
+FROM_STATES = {
+    "server_metrics_hourly": ("server_states", server_hourly_from_states),
+    "application_metrics_hourly": ("application_states", application_hourly_from_states),
+}
+
+
+def hourly_from_states(
+    store: TableStore, name: str, since: date | None = None, until: date | None = None
+) -> DataFrame:
+    """A rollup as of now, of some days or all, from the states that ingest has stored. Whatever
+    was late, replayed or out of order is in it; no reading is read."""
+    states, hourly = FROM_STATES[name]
+    return hourly(store.read(states, since, until))
+
+
+def rebuild_states(store: TableStore, name: str, days: list[date] | None = None) -> None:
+    """Compute states anew from the stored readings, day by day, each switched in at one stroke;
+    for readings stored before there were states."""
+    source, key, values = STATES[name]
+    for day in store.days(source) if days is None else days:
+        stamp = datetime.now(UTC).strftime("%Y%m%d%H%M%S%f")
+        target = f"{store.path(name)}/{VERSIONS}/{DATE}={day}/{stamp}"
+        states = partial_states(store.read(source, day, day), key, values)
+        states.withColumn(BATCH, F.lit("rebuilt-0")).write.parquet(target)
+        store.switch_day(name, day, target)

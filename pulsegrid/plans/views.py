@@ -2,25 +2,20 @@
 
 from __future__ import annotations
 
-from ..sources.files import Files
 from ..sources.tables import TableStore
 from .anomalies import active_anomalies
 from .infrastructure import recent_application_performance, recent_server_health
-from .rollups import ROLLUPS, read_rollup
+from .rollups import FROM_STATES, hourly_from_states
 
 
 def register_views(store: TableStore) -> None:
-    """Make the tables, the rollups built so far and the standing views available to ``spark.sql``.
+    """Make the tables, the hourly rollups and the standing views available to ``spark.sql``.
 
-    The views look back from the moment a query on them runs.
+    All of them look at what is stored when a question is asked, so one registration lasts. The
+    views look back from that moment.
     """
     store.register()
-    files = Files(store.spark)
-    for name in ROLLUPS:
-        path = f"{store.root}/{name}"
-        if files.exists(path):
-            read_rollup(store.spark, path, name).createOrReplaceTempView(name)
-    views = {
+    views = {name: hourly_from_states(store, name) for name in FROM_STATES} | {
         "recent_server_health": recent_server_health(store.read("server_metrics")),
         "recent_application_performance": recent_application_performance(
             store.read("application_metrics")

@@ -10,6 +10,7 @@ def _struct(*fields: tuple[str, T.DataType]) -> T.StructType:
 
 
 _S, _D, _I, _TS = T.StringType(), T.DoubleType(), T.IntegerType(), T.TimestampType()
+_L = T.LongType()
 
 SERVER_VALUES = (
     "cpu_usage_percent",
@@ -133,6 +134,18 @@ MODELS = _struct(
     *_MODEL_BODY,
 )
 STREAM_COUNTS = _struct(("stream", _S), ("counter", _S), ("value", T.LongType()))
+MODEL_PINS = _struct(("stream_batch", _S), ("as_of", _TS))
+
+
+def _states(key: str, values: tuple[str, ...]) -> T.StructType:
+    """Mergeable figures of one key and bucket: rows, and per column the sum and number of its
+    values and the greatest of them."""
+    figures = [(f"{v}_{part}", kind) for v in values for part, kind in (("sum", _D), ("n", _L), ("max", _D))]
+    return _struct(("timestamp", _TS), (key, _S), ("rows", _L), *figures)
+
+
+SERVER_STATES = _states("server_id", SERVER_VALUES)
+APPLICATION_STATES = _states("service_name", APPLICATION_RATES + APPLICATION_COUNTS)
 
 
 def fit_outcome(timestamp: T.DataType) -> T.StructType:

@@ -14,6 +14,9 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Files of a day are listed when a question asks for it, so that other applications' writes
+    # are seen; the catalog says which days.
+    "spark.sql.hive.filesourcePartitionFileCacheSize": "0",
 }
 # Fixed when the session starts. Saves a stack inspection per Column operation on the driver.
 STATIC_SETTINGS = {"spark.python.sql.dataFrameDebugging.enabled": "false"}

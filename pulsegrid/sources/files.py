@@ -13,6 +13,10 @@ class Entry(NamedTuple):
     modified: datetime
 
 
+def _moment(milliseconds: int) -> datetime:
+    return datetime.fromtimestamp(milliseconds / 1000, UTC).replace(tzinfo=None)
+
+
 class Files:
     def __init__(self, spark: SparkSession):
         self._jvm = spark._jvm
@@ -26,30 +30,20 @@ class Files:
         system, where = self._at(path)
         return system.exists(where)
 
-    def matching(self, pattern: str) -> list[str]:
-        """Paths that a pattern with ``*`` stands for."""
-        system, where = self._at(pattern)
-        return [s.getPath().toString() for s in system.globStatus(where) or []]
-
     def delete(self, path: str) -> None:
         system, where = self._at(path)
         system.delete(where, True)
 
-    def move(self, source: str, target: str) -> None:
-        system, where = self._at(source)
-        to = self._jvm.org.apache.hadoop.fs.Path(target)
-        system.mkdirs(to.getParent())
-        if not system.rename(where, to):
-            raise OSError(f"could not move {source} to {target}")
+    def modified(self, path: str) -> datetime:
+        """When a file, or a folder's list of files, changed last."""
+        system, where = self._at(path)
+        return _moment(system.getFileStatus(where).getModificationTime())
 
     def list(self, path: str) -> list[Entry]:
         system, where = self._at(path)
         if not system.exists(where):
             return []
         return [
-            Entry(
-                s.getPath().getName(),
-                datetime.fromtimestamp(s.getModificationTime() / 1000, UTC).replace(tzinfo=None),
-            )
+            Entry(s.getPath().getName(), _moment(s.getModificationTime()))
             for s in system.listStatus(where)
         ]

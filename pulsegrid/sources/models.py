@@ -72,14 +72,17 @@ class ModelStore:
         ).parquet(self._log)
 
     def load(
-        self, method: str, ttl_seconds: int | None = 900, as_of: datetime | None = None
+        self, method: str, ttl_seconds: int | None = 900, as_of: Column | datetime | None = None
     ) -> DataFrame:
-        """Newest unexpired model per key. Call it per micro-batch: it lists files anew."""
+        """Newest unexpired model per key, of those saved until ``as_of``. Call it per micro-batch:
+        it lists files anew."""
         if not Files(self.spark).exists(self._log):
             return self.spark.createDataFrame([], MODELS)
         fresh = fresh_models(
             self._logged().filter(F.col("method_name") == method), ttl_seconds, as_of
         )
+        if as_of is not None:
+            fresh = fresh.filter(F.col("saved_at") <= moment(as_of))
         return newest_models(fresh.select(*MODELS.fieldNames()))
 
     def _logged(self) -> DataFrame:

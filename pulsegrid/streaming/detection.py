@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import time
+
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -37,6 +39,23 @@ def server_readings(parsed: DataFrame) -> DataFrame:
     )
 
 
+def pinned_moment(store: TableStore, batch: str) -> Column:
+    """The moment whose models score a batch: now, or, if the batch was begun before, that of its
+    first attempt. It is on record before anything is scored, so a replay scores alike whatever was
+    trained in between."""
+    if store.may_be_replayed("model_pins", batch):
+        known = store.read("model_pins").filter(F.col("stream_batch") == batch)
+        micros = known.agg(F.unix_micros(F.min("as_of"))).first()[0]
+        if micros is not None:
+            return F.timestamp_micros(F.lit(micros))
+    micros = time.time_ns() // 1000
+    pin = store.spark.range(1).select(
+        F.lit(batch).alias("stream_batch"), F.timestamp_micros(F.lit(micros)).alias("as_of")
+    )
+    store.append("model_pins", pin, batch, replayed=False)
+    return F.timestamp_micros(F.lit(micros))
+
+
 def detect_batch(
     store: TableStore,
     models: ModelStore,
@@ -47,26 +66,28 @@ def detect_batch(
     """Score one micro-batch and write its anomalies; those that break a rule of their table go
     to the dead letter.
 
-    Models are read here, per batch, so that retraining takes effect without a restart. The
-    messages are parsed once and kept; scoring them for the counters and again for the records
-    is cheap next to that, and tells how many files the records need.
+    Models are read here, per batch, so that retraining takes effect without a restart. Messages
+    are parsed and scored once: the counters are observed on the way, and of the result only the
+    anomalies are kept until they are written.
     """
+    if messages.isEmpty():
+        return {name: 0 for name in (*message_counters(), *counters())}
     method = make_detector(config.method_name, config.method_config)
-    fresh = models.load(method.name, config.model_ttl_seconds).persist()
-    parsed = parse_messages(messages).persist()
+    moment = pinned_moment(store, batch)
+    fresh = models.load(method.name, config.model_ttl_seconds, moment).persist()
+    parsed, read = _observed(parse_messages(messages), message_counters())
+    scored, judged = _observed(
+        method.predict(server_readings(parsed), fresh, list(config.metrics)), counters()
+    )
+    found = anomaly_records(scored, method.name).persist()
     try:
-        counts = _count(parsed, message_counters())
-        if not counts["total_consumed"]:
-            return counts
-        scored = method.predict(server_readings(parsed), fresh, list(config.metrics))
-        counts |= _count(scored, counters())
-        # models may have changed since an earlier attempt, which then found other anomalies
-        store.remove_batch("anomalies", batch)
-        if counts["anomalies_detected"]:
-            files = -(-counts["anomalies_detected"] // ROWS_PER_FILE)
-            found = anomaly_records(scored, method.name).repartition(files)
-            kept, refused = split(found, anomaly_rules())
-            store.append("anomalies", kept, batch)
+        written = found.count()
+        counts = read.get | judged.get
+        if store.may_be_replayed("anomalies", batch):
+            store.remove_batch("anomalies", batch)
+        if written:
+            kept, refused = split(found.coalesce(-(-written // ROWS_PER_FILE)), anomaly_rules())
+            store.append("anomalies", kept, batch, replayed=False)
             letters = refused.select(
                 F.to_json(F.struct(*found.columns)).alias("raw"), "reason"
             ).coalesce(1)
@@ -74,12 +95,13 @@ def detect_batch(
         write_counts(store, "detection", counts, batch)
         return counts
     finally:
-        parsed.unpersist()
+        found.unpersist()
         fresh.unpersist()
 
 
-def _count(df: DataFrame, columns: dict[str, Column]) -> dict[str, int]:
-    return df.agg(*(column.alias(name) for name, column in columns.items())).first().asDict()
+def _observed(df: DataFrame, columns: dict[str, Column]) -> tuple[DataFrame, Observation]:
+    observation = Observation()
+    return df.observe(observation, *(c.alias(name) for name, c in columns.items())), observation
 
 
 def start_detection(

@@ -18,6 +18,7 @@ from ..operators.quality import (
     routed_counts,
     server_records,
 )
+from ..operators.states import STATES, partial_states
 from ..sources.tables import TableStore
 
 ROWS_PER_FILE = 250_000
@@ -51,7 +52,8 @@ def write_counts(store: TableStore, stream: str, counters: dict[str, int], batch
 
 
 def ingest_batch(store: TableStore, messages: DataFrame, batch: str) -> dict[str, int]:
-    """Route one micro-batch and write each kind once; kinds without rows write nothing.
+    """Route one micro-batch and write each kind once, with its partial states beside it; kinds
+    without rows write nothing.
 
     The batch is parsed once and kept for its outputs; a lost executor's part is recomputed
     from the source. Its counts are at most one row per rule.
@@ -66,6 +68,10 @@ def ingest_batch(store: TableStore, messages: DataFrame, batch: str) -> dict[str
                 # of the parse and saves a file per source task.
                 files = -(-size // ROWS_PER_FILE)
                 store.append(table, records(routed).coalesce(files), batch)
+                for states, (source, key, values) in STATES.items():
+                    if source == table:
+                        figures = partial_states(records(routed), key, values)
+                        store.append(states, figures.coalesce(files), batch)
         counters = counters_of(counts)
         if counters["total_consumed"]:
             write_counts(store, "ingest", counters, batch)

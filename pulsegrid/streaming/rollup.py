@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..plans.rollups import refresh_hours, write_rollup
+from ..operators.states import STATES, partial_states
+from ..plans.rollups import write_rollup
 from ..sources.tables import TableStore
 
 
@@ -18,7 +19,7 @@ def hourly_stream(
     """Hours as they close: each is emitted once, when the stream is ``lateness`` past its end.
 
     State is one row per open hour and key. Rows later than that are not in the rollup, though
-    ingest stores them; where such rows occur use ``start_refresh``, which misses none.
+    ingest stores them, and their partial states: ``hourly_from_states`` misses none.
     """
     return (
         rows.withWatermark("timestamp", lateness)
@@ -47,7 +48,7 @@ def start_rollup(
     return writer.trigger(**trigger).start()
 
 
-def start_refresh(
+def start_states(
     rows: DataFrame,
     store: TableStore,
     name: str,
@@ -55,11 +56,12 @@ def start_refresh(
     stream: str,
     available_now: bool = False,
 ) -> StreamingQuery:
-    """Keep rollup ``name`` equal to its stored table: each micro-batch of ``rows``, stored
-    before, has the hours it touches recomputed. Late and replayed rows need nothing special."""
+    """Keep the partial states ``name`` of a stream of readings, for tables that ingest does not
+    fill. Every batch stores its own: rows of any age count, and a replayed batch counts once."""
+    _, key, values = STATES[name]
 
     def write(batch: DataFrame, number: int) -> None:
-        refresh_hours(store, name, batch)
+        store.append(name, partial_states(batch, key, values), f"{stream}-{number}")
 
     writer = (
         rows.writeStream.foreachBatch(write)

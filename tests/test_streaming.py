@@ -231,80 +231,6 @@ def test_rollups_of_a_store(spark, tmp_path):
     assert {(r.hour.hour, r.avg_cpu, r.sample_count) for r in got} == {(0, 1.0, 1), (5, 7.0, 1)}
 
 
-def filled(spark, tmp_path):
-    store = TableStore(spark, str(tmp_path / "lake")).create()
-    t0 = datetime(2025, 1, 1)
-    for n in range(4):
-        store.append(
-            "server_metrics",
-            readings(spark, *[(t0 + timedelta(days=d, hours=n), f"srv-{h}", float(h))
-                              for d in (0, 1, 100) for h in range(5)]),
-            f"a-{n}",
-        )
-    return store
-
-
-def folders(store, day):
-    return sorted(p.name for p in Path(store.path("server_metrics"), f"event_date={day}").iterdir()
-                  if p.is_dir())
-
-
-def test_compaction_keeps_rows_and_folds_closed_days(spark, tmp_path):
-    store = filled(spark, tmp_path)
-    before = sorted(map(str, store.read("server_metrics").drop("batch_id").collect()))
-    as_of = datetime(2025, 4, 12)
-    done = maintenance.compact(store, "server_metrics", as_of, settle=timedelta(days=-9999))
-    assert [str(d) for d in done] == ["2025-01-01", "2025-01-02"]
-    assert sorted(map(str, store.read("server_metrics").drop("batch_id").collect())) == before
-    assert folders(store, "2025-01-01") == ["batch_id=compacted-20250412000000"]
-    assert len(folders(store, "2025-04-11")) == 4
-    again = maintenance.compact(store, "server_metrics", as_of, settle=timedelta(days=-9999))
-    assert again == []
-    # A late batch for a closed day is folded in by the next run.
-    store.append("server_metrics", readings(spark, (datetime(2025, 1, 1, 9), "late", 1.0)), "a-9")
-    maintenance.compact(
-        store, "server_metrics", as_of + timedelta(hours=1), settle=timedelta(days=-9999)
-    )
-    assert len(folders(store, "2025-01-01")) == 1
-    assert store.read("server_metrics").count() == len(before) + 1
-
-
-def test_interrupted_compaction_is_completed(spark, tmp_path, monkeypatch):
-    store = filled(spark, tmp_path)
-    before = sorted(map(str, store.read("server_metrics").drop("batch_id").collect()))
-    real, as_of = maintenance._finish, datetime(2025, 4, 12)
-    calls = []
-
-    def die_after_staging(*args):
-        calls.append(1)
-        if len(calls) == 2:
-            raise RuntimeError("driver lost")
-        return real(*args)
-
-    monkeypatch.setattr(maintenance, "_finish", die_after_staging)
-    with pytest.raises(RuntimeError):
-        maintenance.compact(store, "server_metrics", as_of, settle=timedelta(days=-9999))
-    assert sorted(map(str, store.read("server_metrics").drop("batch_id").collect())) == before
-    monkeypatch.setattr(maintenance, "_finish", real)
-    assert maintenance.compact(store, "server_metrics", as_of, settle=timedelta(days=-9999)) == []
-    assert sorted(map(str, store.read("server_metrics").drop("batch_id").collect())) == before
-    assert len(folders(store, "2025-01-01")) == 1
-
-
-def test_fresh_batches_are_left_alone(spark, tmp_path):
-    store = filled(spark, tmp_path)
-    assert maintenance.compact(store, "server_metrics", datetime(2025, 4, 12)) == []
-
-
-def test_retention_drops_whole_days(spark, tmp_path):
-    store = filled(spark, tmp_path)
-    as_of = datetime(2025, 4, 2, 15)
-    kept = maintenance.retention_kept(store.read("server_metrics"), as_of).count()
-    gone = maintenance.drop_expired(store, "server_metrics", as_of)
-    assert [str(d) for d in gone] == ["2025-01-01"]
-    assert store.read("server_metrics").count() == kept == 40
-
-
 def test_topic_options():
     config = TopicConfig(starting_offsets="latest", max_records_per_trigger=500)
     options = topics.read_options(config)
@@ -333,26 +259,6 @@ def test_rule_sets_match_the_stored_columns():
         assert all(any(rule.name.startswith(f) for f in fields) for rule in rules)
 
 
-def test_late_rows_reach_the_refreshed_rollup(spark, tmp_path):
-    """Hours are recomputed from the table, so a row of any age counts as in the batch rollup."""
-    store = TableStore(spark, str(tmp_path / "lake")).create()
-    t0 = datetime(2025, 10, 2)
-    for number, minutes in enumerate([(0, 10), (600, 700), (5,)]):  # the last one is ten hours late
-        rows = [(t0 + timedelta(minutes=m), "srv-1", float(m)) for m in minutes]
-        store.append("server_metrics", readings(spark, *rows), f"a-{number}")
-        stream = spark.readStream.schema(store.read("server_metrics").schema).parquet(
-            store.path("server_metrics")
-        )
-        drain(
-            rollup.start_refresh(
-                stream, store, "server_metrics_hourly", str(tmp_path / "cp"), f"r{number}", True
-            )
-        )
-    batch = rollups.server_hourly(store.read("server_metrics"))
-    got = rollups.read_rollup(spark, f"{store.root}/server_metrics_hourly").select(*batch.columns)
-    assert got.exceptAll(batch).count() == 0 and batch.exceptAll(got).count() == 0
-
-
 def test_rollup_files_and_names(spark, tmp_path):
     store = TableStore(spark, str(tmp_path / "lake")).create()
     t0 = datetime(2025, 10, 2)
@@ -363,8 +269,10 @@ def test_rollup_files_and_names(spark, tmp_path):
     for hour in folder.glob("event_date=*/event_hour=*"):
         assert len(list(hour.glob("*.parquet"))) == 1
     register_views(store)
-    found = spark.sql("SELECT count(*) AS n, sum(sample_count) AS rows FROM server_metrics_hourly").first()
-    assert (found.n, found.rows) == (30, 200)
+    ask = "SELECT count(*) AS n, sum(sample_count) AS rows FROM server_metrics_hourly"
+    assert spark.sql(ask).first().n == 0
+    rollups.rebuild_states(store, "server_states")  # readings that no ingest has seen
+    assert tuple(spark.sql(ask).first()) == (30, 200)
     assert spark.sql("SELECT * FROM application_metrics_hourly").count() == 0
 
 
@@ -381,23 +289,74 @@ def test_prune_keeps_a_keys_only_model(spark, events, tmp_path):
     assert sorted(map(str, after.collect())) == sorted(map(str, kept)) and kept
 
 
-def test_replay_after_retraining_leaves_nothing_stale(spark, tmp_path, monkeypatch):
-    """A replayed batch is scored with the models of that moment, and only their anomalies stay."""
-    store = TableStore(spark, str(tmp_path / "lake")).create()
-    shelf = ModelStore(spark, str(tmp_path / "models"))
-    config = DetectionConfig(model_ttl_seconds=None)
+def trained(spark):
     events = samples.read_events(spark, "/root/testdata/sf0.001")
     models = samples.baseline_models(samples.server_metrics(events))
     stamps = [c for c, t in models.dtypes if t.startswith("timestamp")]
     models = models.withColumns({c: F.col(c).cast("timestamp") for c in stamps})
+    return samples.messages(events), models
+
+
+def test_replay_after_retraining_finds_the_same(spark, tmp_path):
+    """A replayed batch is scored with the models of its first attempt, by whatever process."""
+    lake, shelf = str(tmp_path / "lake"), ModelStore(spark, str(tmp_path / "models"))
+    config = DetectionConfig(model_ttl_seconds=None)
+    texts, models = trained(spark)
     shelf.save(models)
-    texts = samples.messages(events)
+    store = TableStore(spark, lake).create()
     first = detection.detect_batch(store, shelf, texts, config, "d-0")
-    assert store.read("anomalies").count() == first["anomalies_detected"] > 0
-    later = F.col("saved_at") + F.expr("INTERVAL 1 DAY")
-    shelf.save(models.withColumns({"residual_std": F.lit(1e9), "saved_at": later}))
-    again = detection.detect_batch(store, shelf, texts, config, "d-0")
-    assert store.read("anomalies").count() == again["anomalies_detected"] == 0
+    columns = ["timestamp", "entity_id", "anomaly_type", "severity", "anomaly_score"]
+    found = sorted(map(str, store.read("anomalies").select(columns).collect()))
+    assert len(found) == first["anomalies_detected"] > 0
+    shelf.save(models.withColumns({"residual_std": F.lit(1e9), "saved_at": F.current_timestamp()}))
+    restarted = TableStore(spark, lake).create()
+    assert detection.detect_batch(restarted, shelf, texts, config, "d-0") == first
+    assert sorted(map(str, store.read("anomalies").select(columns).collect())) == found
+    later = detection.detect_batch(restarted, shelf, texts, config, "d-1")
+    assert later["anomalies_detected"] == 0 and store.read("anomalies").count() == len(found)
+    counts = {r.counter: r.value for r in ingest.totals(store, "detection").collect()}
+    assert counts["total_consumed"] == 2 * texts.count()
+
+
+def test_a_replay_without_a_pin_leaves_nothing_stale(spark, tmp_path, monkeypatch):
+    store = TableStore(spark, str(tmp_path / "lake")).create()
+    shelf = ModelStore(spark, str(tmp_path / "models"))
+    config = DetectionConfig(model_ttl_seconds=None)
+    texts, models = trained(spark)
+    shelf.save(models)
+    assert detection.detect_batch(store, shelf, texts, config, "d-0")["anomalies_detected"] > 0
+    store.remove_batch("model_pins", "d-0")
+    shelf.save(models.withColumns({"residual_std": F.lit(1e9), "saved_at": F.current_timestamp()}))
+    assert detection.detect_batch(store, shelf, texts, config, "d-0")["anomalies_detected"] == 0
+    assert store.read("anomalies").count() == 0
+
+
+def test_counters_are_observed_where_nothing_is_scored(spark, tmp_path):
+    store = TableStore(spark, str(tmp_path / "lake")).create()
+    shelf = ModelStore(spark, str(tmp_path / "models"))
+    counts = detection.detect_batch(store, shelf, values(spark, APPLICATION, "{oops"), DetectionConfig(), "d-0")
+    assert counts == {
+        "total_consumed": 2, "parse_errors": 1, "total_analyzed": 0, "models_not_found": 0,
+        "undefined_scores": 0, "anomalies_detected": 0,
+    }
+
+
+def test_a_batch_is_scored_once(spark, tmp_path, monkeypatch):
+    store = TableStore(spark, str(tmp_path / "lake")).create()
+    shelf = ModelStore(spark, str(tmp_path / "models"))
+    texts, models = trained(spark)
+    shelf.save(models)
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(rows):
+        for batch in rows:
+            seen.add(batch.num_rows)
+            yield batch
+
+    passed = texts.mapInArrow(counted, texts.schema)
+    detection.detect_batch(store, shelf, passed, DetectionConfig(model_ttl_seconds=None), "d-0")
+    # once for the scores, and part of one batch to see that it is not empty
+    assert texts.count() <= seen.value < 2 * texts.count()
 
 
 def test_anomalies_that_break_a_rule_go_to_the_dead_letter(spark, tmp_path, monkeypatch):
