@@ -11,7 +11,7 @@ from pulsegrid.plans import infrastructure as infra
 from pulsegrid.plans import maintenance, rollups
 from pulsegrid.plans.training import discover_entities
 
-from .registry import APPLICATIONS, AS_OF, HOUR, MONTH, SERVERS, query, settled
+from .registry import APPLICATIONS, AS_OF, HOUR, MONTH, SERVERS, batch_states, query, settled
 
 DAY = f'"timestamp" > {AS_OF} - INTERVAL 1 DAY'
 
@@ -208,30 +208,40 @@ _SERVER_MEASURES = f"""{settled("avg(cpu_usage_percent)")} AS avg_cpu, max(cpu_u
         {settled("avg(power_consumption_watts)")} AS avg_power, count(*) AS sample_count"""
 
 
-@query(
-    "server_metrics_hourly",
-    sums=True,
-    sql=f"WITH {SERVERS} SELECT {HOUR} AS hour, server_id, {_SERVER_MEASURES} FROM s GROUP BY ALL",
-)
+_SERVER_HOURS = f"WITH {SERVERS} SELECT {HOUR} AS hour, server_id, {_SERVER_MEASURES} FROM s GROUP BY ALL"
+
+
+@query("server_metrics_hourly", sums=True, sql=_SERVER_HOURS)
 def _(t):
     return rollups.server_hourly(t.servers)
 
 
-@query(
-    "application_metrics_hourly",
-    sums=True,
-    sql=f"""WITH {APPLICATIONS} SELECT {HOUR} AS hour, service_name,
+@query("server_hourly_from_states", sums=True, sql=_SERVER_HOURS)
+def _(t):
+    """The hours added up from the states of several batches."""
+    return rollups.server_hourly_from_states(batch_states(t.servers, "server_states"))
+
+
+_APPLICATION_HOURS = f"""WITH {APPLICATIONS} SELECT {HOUR} AS hour, service_name,
         {settled("avg(request_rate_per_sec)")} AS avg_request_rate,
         {settled("avg(response_time_p95_ms)")} AS avg_p95_latency,
         {settled("max(response_time_p99_ms)")} AS max_p99_latency,
         {settled("avg(error_rate_percent)")} AS avg_error_rate,
         CAST(sum(error_count) AS BIGINT) AS total_errors, count(*) AS sample_count
-        FROM app GROUP BY ALL""",
-)
+        FROM app GROUP BY ALL"""
+
+
+@query("application_metrics_hourly", sums=True, sql=_APPLICATION_HOURS)
 def _(t):
     return rollups.application_hourly(t.applications)
 
 
+@query("application_hourly_from_states", sums=True, sql=_APPLICATION_HOURS)
+def _(t):
+    """The hours added up from the states of several batches."""
+    return rollups.application_hourly_from_states(batch_states(t.applications, "application_states"))
+
+
 @query(
     "rollup_refresh",
     sums=True,

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from functools import cached_property
+from functools import cached_property, reduce
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from pulsegrid.functions.clock import interval, moment
+from pulsegrid.operators.states import STATES, partial_states
 from pulsegrid.session import prepare
 from pulsegrid.sources import samples
 
@@ -79,6 +81,14 @@ def query(name: str, sql: str | None = None, sums: bool = False):
     return register
 
 
+def batch_states(rows: DataFrame, name: str, batches: int = 3) -> DataFrame:
+    """Partial states as ingest stores them: those of each of some batches, in any order."""
+    _, key, values = STATES[name]
+    batch = F.pmod(F.xxhash64("event_id"), F.lit(batches))
+    parts = [partial_states(rows.where(batch == k), key, values) for k in range(batches)]
+    return reduce(DataFrame.unionByName, parts)
+
+
 AS_OF = "(SELECT max(ts) FROM events)"
 MONTH = f'"timestamp" BETWEEN {AS_OF} - INTERVAL 30 DAY AND {AS_OF}'
 HOUR = "time_bucket(INTERVAL 1 HOUR, \"timestamp\")"

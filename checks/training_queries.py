@@ -9,10 +9,11 @@ from pulsegrid.config import DetectionConfig, StlConfig
 from pulsegrid.operators import series
 from pulsegrid.operators.fitting import decompose_series
 from pulsegrid.operators.scoring import anomaly_records, score
+from pulsegrid.operators.states import history_from_states
 from pulsegrid.plans import training
 from pulsegrid.session import materialize
 
-from .registry import SERVERS, SEVERITY, long_form, query, settled
+from .registry import AS_OF, SERVERS, SEVERITY, batch_states, long_form, query, settled
 from .seasonal_sql import decomposition
 
 STL = {"seasonal_period": 24, "trend_period": 49, "min_points": 200}
@@ -62,6 +63,19 @@ def _(t):
     return history(t)
 
 
+@query(
+    "history_from_states",
+    sums=True,
+    sql=f"""WITH {SERVERS}, recent AS (SELECT * FROM s WHERE "timestamp" > {AS_OF} - INTERVAL 10 DAY),
+        {_history("recent")}
+        SELECT entity_id, metric_name, "timestamp", {settled("value")} AS value FROM h""",
+)
+def _(t):
+    """The look-back begins inside a bucket, which comes from readings; all others from states."""
+    stored = batch_states(t.servers, "server_states")
+    return history_from_states(stored, t.servers, CONFIG.metrics, 10, t.as_of, "1hour")
+
+
 @query(
     "infer_interval",
     f"""WITH {UNEVEN}, g AS (SELECT entity_id, metric_name, epoch("timestamp")
