@@ -49,11 +49,20 @@ def shared_folder(spark: SparkSession) -> str:
 
 def materialize(df: DataFrame) -> DataFrame:
     """Write ``df`` once as a table in the shared folder and read it from there, so that what
-    uses it twice computes it once and a lost executor costs nothing. The table is deleted when
-    the application ends."""
+    uses it twice computes it once and a lost executor costs nothing. The table is deleted by
+    :func:`discard`, or when the application ends."""
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{uuid.uuid4().hex}"
     df.write.parquet(path)
     where = spark._jvm.org.apache.hadoop.fs.Path(path)
     where.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(where)
-    return spark.read.schema(df.schema).parquet(path)
+    stored = spark.read.schema(df.schema).parquet(path)
+    stored.stored_at = path
+    return stored
+
+
+def discard(*stored: DataFrame) -> None:
+    """Delete tables that :func:`materialize` wrote and nothing will read again."""
+    for df in stored:
+        where = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df.stored_at)
+        where.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(where, True)
