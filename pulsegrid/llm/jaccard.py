@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pulsegrid.llm.words import LOWER, Words, chunks, lists, mixed, runs
-from pulsegrid.session import materialize
+from pulsegrid.session import discard, materialize
 
 SHINGLE, PERCENT = 5, 80
 BITS_PER_SEGMENT = 4096
@@ -19,7 +19,8 @@ SMALL = 8  # buckets up to that size are paired by a join, larger ones in blocks
 BLOCK = 1024
 NO_ID = -(2**63)
 
-SKETCHED = "key long, doc_id long, n_shingles long, sid long, segments array<long>"
+NAMED = "row long, doc_id long, n_shingles long, sid long"
+MET = "bucket long, sid long"
 SETS = "sid long, n long, shingles array<long>, sketch array<long>"
 
 
@@ -125,27 +126,74 @@ def _segments(h, row, sizes, bands: Bands) -> tuple[np.ndarray, np.ndarray]:
     return keys[order], owner[order]
 
 
-def _sketch_texts(n: int, percent: int):
-    def sketch(batches):
-        bands = Bands(percent)
+def _name_texts(n: int):
+    """Size and name of every text's set."""
+
+    def name(batches):
         for batch in batches:
             for row, data, offsets in chunks(batch.column("text")):
                 size = len(offsets) - 1
                 h, whose = _sets(data, offsets, n)
                 sizes = np.bincount(whose, minlength=size)
-                keys, owner = _segments(h, whose, sizes, bands)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        batch.column("key").slice(row, size),
+                        batch.column("row").slice(row, size),
                         batch.column("doc_id").slice(row, size),
                         pa.array(sizes.astype(np.int64)),
                         pa.array(_set_ids(h, whose, size).view(np.int64), mask=sizes == 0),
-                        lists(keys.view(np.int64), owner, size, pa.int64()),
                     ],
-                    ["key", "doc_id", "n_shingles", "sid", "segments"],
+                    ["row", "doc_id", "n_shingles", "sid"],
                 )
 
-    return sketch
+    return name
+
+
+def _segment_texts(n: int, percent: int):
+    """Bucket and name of every segment of every set; copies within a task come once, so that a
+    text that is everywhere costs its segments once a task."""
+
+    def segment(batches):
+        bands, seen = Bands(percent), set()
+        for batch in batches:
+            for _, data, offsets in chunks(batch.column("text")):
+                h, whose = _sets(data, offsets, n)
+                sizes = np.bincount(whose, minlength=len(offsets) - 1)
+                ids = _set_ids(h, whose, len(sizes)).view(np.int64)
+                new = np.zeros(len(sizes), bool)
+                for k in np.flatnonzero(sizes).tolist():
+                    if ids[k] not in seen:
+                        seen.add(int(ids[k]))
+                        new[k] = True
+                keys, owner = _segments(h, whose, np.where(new, sizes, 0), bands)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(keys.view(np.int64)), pa.array(ids[owner])], ["bucket", "sid"]
+                )
+
+    return segment
+
+
+def _shared_buckets(batches):
+    """Rows of sorted (bucket, sid), each once, of the buckets that hold several sets; a bucket may
+    span batches."""
+    bucket = sid = np.zeros(0, np.int64)
+
+    def several(bucket, sid):
+        new = np.ones(len(bucket), bool)
+        new[1:] = (bucket[1:] != bucket[:-1]) | (sid[1:] != sid[:-1])
+        bucket, sid = bucket[new], sid[new]
+        same = bucket[1:] == bucket[:-1]
+        shared = np.concatenate([same, [False]]) | np.concatenate([[False], same])
+        return pa.RecordBatch.from_arrays([pa.array(bucket[shared]), pa.array(sid[shared])], ["bucket", "sid"])
+
+    for batch in batches:
+        bucket = np.concatenate([bucket, batch.column("bucket").to_numpy()])
+        sid = np.concatenate([sid, batch.column("sid").to_numpy()])
+        if len(bucket) and bucket[0] != bucket[-1]:
+            last = int(np.flatnonzero(bucket != bucket[-1])[-1]) + 1
+            yield several(bucket[:last], sid[:last])
+            bucket, sid = bucket[last:], sid[last:]
+    if len(bucket):
+        yield several(bucket, sid)
 
 
 def _set_texts(n: int):
@@ -333,7 +381,7 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def link(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """key, doc_id, n_shingles and component_id of every row of ``docs``.
+    """row, doc_id, n_shingles, component and component_id of every row of ``docs``.
 
     Words are lower-cased in A-Z; a document is the set of its distinct ``shingle``-word
     shingles, or its whole sequence if it is shorter. Two documents link if their Jaccard
@@ -341,27 +389,32 @@ def link(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> Dat
 
     Needs doc_id and text. A document without words or text links with nothing. A null id counts
     as the smallest in the component and is reported as null; rows with one id are one document
-    each. Equal sets are one node (named by 64 bits of hash) with one table of members, so copies
-    are never paired. Buckets are joined by their hub first; what does not join one component that
-    way is compared pair by pair, so no link between different sets is missed.
+    each. Equal sets are one node (named by 64 bits of hash, ``component`` is one of these names),
+    so copies are never paired. ``row`` is a hash of id and text. Buckets are joined by their hub
+    first; what does not join one component that way is compared pair by pair, so no link between
+    different sets is missed.
+
+    Texts are read three times rather than kept as sketches: segments go from the scan into one
+    shuffle by bucket, of which only shared buckets are stored.
     """
     keyed = docs.select(
-        F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("key"),
+        F.xxhash64("doc_id", "text").alias("row"),
         F.col("doc_id").cast("long").alias("doc_id"),
         "text",
     )
-    sketched = materialize(keyed.mapInArrow(_sketch_texts(shingle, percent), SKETCHED))
+    named = materialize(keyed.mapInArrow(_name_texts(shingle), NAMED))
     nodes = materialize(
-        sketched.where("sid IS NOT NULL").groupBy("sid").agg(F.min("key").alias("key"))
+        named.where("sid IS NOT NULL")
+        .groupBy("sid")
+        .agg(F.min(F.coalesce("doc_id", F.lit(NO_ID))).alias("key"), F.min("row").alias("row"))
     )
-    segments = (
-        sketched.where("sid IS NOT NULL")
-        .select("sid", "segments")
-        .dropDuplicates(["sid"])
-        .select("sid", F.explode("segments").alias("bucket"))
+    met = materialize(
+        keyed.select("text")
+        .mapInArrow(_segment_texts(shingle, percent), MET)
+        .repartition("bucket")
+        .sortWithinPartitions("bucket", "sid")
+        .mapInArrow(_shared_buckets, MET)
     )
-    shared = segments.groupBy("bucket").count().where("count > 1").select("bucket")
-    met = materialize(segments.join(shared, "bucket").select("bucket", "sid"))
     # of buckets with the same members one is enough
     alike = met.groupBy("bucket").agg(
         F.count("*").alias("size"),
@@ -370,23 +423,25 @@ def link(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> Dat
     )
     chosen = alike.groupBy("size", "x", "y").agg(F.min("bucket").alias("bucket")).select("bucket")
     members = materialize(met.join(chosen, "bucket"))
+    discard(met)
 
-    wanted = members.select("sid").distinct().join(nodes, "sid")
-    sets = materialize(
-        keyed.select("key", "text").join(wanted, "key").mapInArrow(_set_texts(shingle), SETS)
-    )
+    wanted = members.select("sid").distinct().join(nodes, "sid").select("sid", "row")
+    texts = keyed.select("row", "text").join(wanted, "row").dropDuplicates(["row"])
+    sets = materialize(texts.select("sid", "text").mapInArrow(_set_texts(shingle), SETS))
     stars = materialize(_stars(members))
     edges = materialize(_linked(stars, sets, percent))
     rest = _leftover(members, components(edges), sets, percent).join(stars, ["a", "b"], "left_anti")
-    found = components(edges.unionByName(_linked(rest, sets, percent)))
+    found = components(materialize(edges.unionByName(_linked(rest, sets, percent))))
+    discard(members, sets, stars, edges)
 
     grouped = nodes.join(found, "sid", "left").withColumn("component", F.coalesce("component", "sid"))
     smallest = grouped.groupBy("component").agg(F.min("key").alias("component_key"))
-    names = grouped.join(smallest, "component").select("sid", "component_key")
-    component_id = F.coalesce("component_key", "key")
-    return sketched.drop("segments").join(names, "sid", "left").select(
-        "key",
+    names = grouped.join(smallest, "component").select("sid", "component", "component_key")
+    component_id = F.coalesce("component_key", "doc_id", F.lit(NO_ID))
+    return named.join(names, "sid", "left").select(
+        "row",
         "doc_id",
         "n_shingles",
+        "component",
         F.when(component_id != NO_ID, component_id).alias("component_id"),
     )

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import bisect
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -74,7 +75,7 @@ class Notices:
                 at = end + 1 - size - offset
                 windows.setdefault(k, []).append((max(0, at - edits), at + length + edits))
         for k, spans in windows.items():
-            pattern, length, _, label = self.patterns[k]
+            pattern, length, edits, label = self.patterns[k]
             merged: list[list[int]] = []
             for a, b in sorted(spans):
                 if merged and a <= merged[-1][1]:
@@ -84,11 +85,22 @@ class Notices:
             for a, b in merged:
                 base = a
                 for line in text[a:b].split("\n"):
-                    for m in pattern.finditer(line):
+                    for m in _all_matches(pattern, line, length - edits):
                         yield base + m.start(), base + m.end(), sum(m.fuzzy_counts), length, label
                     base += len(line) + 1
 
 
+def _all_matches(pattern, line: str, shortest: int):
+    """Matches that do not overlap: the best of the line, and those of what is before and behind it."""
+    parts = [(0, len(line))]
+    while parts:
+        low, high = parts.pop()
+        match = pattern.search(line, low, high) if high - low >= shortest else None
+        if match:
+            yield match
+            parts += [(low, match.start()), (match.end(), high)]
+
+
 def _joined(data: np.ndarray, words: Words) -> tuple[str, np.ndarray]:
     """The words one blank apart, a line for each text that has any, and where each word starts.
 
@@ -116,14 +128,15 @@ def _places(text: str, phrase: str) -> list[int]:
 
 
 def _closest(held: dict[tuple[str, int, int], int]) -> list[dict]:
-    """The spans of a text, but for those that overlap one with fewer edits."""
+    """The spans of a text in order, but for those that overlap a span with fewer edits that stays."""
     kept: list[dict] = []
-    for (label, first, last), edits in sorted(held.items(), key=lambda x: (x[0][1], x[1], x[0])):
-        while kept and kept[-1]["last_word"] >= first and kept[-1]["edits"] > edits:
-            kept.pop()
-        if not (kept and kept[-1]["last_word"] >= first and kept[-1]["edits"] < edits):
+    taken: set[int] = set()  # words of spans with fewer edits
+    for edits, group in groupby(sorted(held.items(), key=lambda x: x[1]), key=lambda x: x[1]):
+        free = [key for key, _ in group if taken.isdisjoint(range(key[1], key[2] + 1))]
+        for label, first, last in free:
             kept.append({"label": label, "first_word": first, "last_word": last, "edits": edits})
-    return kept
+            taken.update(range(first, last + 1))
+    return sorted(kept, key=lambda x: (x["first_word"], x["edits"], x["label"], x["last_word"]))
 
 
 def _scan(phrases: dict[str, str], notices: dict[str, str], letters_per_edit: int):

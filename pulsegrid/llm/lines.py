@@ -69,9 +69,9 @@ def remove_boilerplate(docs: DataFrame, min_sites: int = MIN_SITES, **sketch) ->
 
     Needs doc_id, text and source; other columns pass in ``row`` whatever their names. Lines end
     at line feeds and are compared without blanks, tabs and carriage returns at their ends; blank
-    lines stay. A line on ``min_sites`` sites goes from every document, but a document that
-    consists of such lines by more than half of its characters is a copy rather than a page with
-    boilerplate, and is left whole for the near-duplicate operators. A null text stays null with
+    lines stay. A line on ``min_sites`` sites goes from every document that has any other line; a
+    document of such lines alone would be left empty and is a copy rather than a page with
+    boilerplate, so it stays whole for the near-duplicate operators. A null text stays null with
     no lines. Repeated rows are treated alike. An empty table gives no rows.
     """
     # rows with the same id and text may share a key: they lose the same lines
@@ -100,7 +100,7 @@ def remove_boilerplate(docs: DataFrame, min_sites: int = MIN_SITES, **sketch) ->
         F.lit(0).cast("long"),
         lambda n, line: n + F.length(F.btrim(line, F.lit(BLANK))),
     )
-    goes = F.col("hit_chars").isNotNull() & (2 * F.col("hit_chars") <= solid)
+    goes = F.col("hit_chars").isNotNull() & (F.col("hit_chars") < solid)
     kept = F.array_join(
         F.filter(F.split("text", "\n", -1), lambda _, k: ~F.coalesce(F.get("mask", k), F.lit(False))),
         "\n",

@@ -57,9 +57,10 @@ def source_targets(
     )
 
 
-def coin(doc_id: Column, seed: str = SEED) -> Column:
-    """A number in [0, 1) that depends on the id and the seed alone."""
-    digest = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(doc_id.cast("string"), F.lit(""))))
+def coin(doc_id: Column, text: Column, seed: str = SEED) -> Column:
+    """A number in [0, 1) that depends on the id, or on the text where there is none, and the seed."""
+    name = F.coalesce(doc_id.cast("string"), F.concat(F.lit("-"), F.md5(text)), F.lit(""))
+    digest = F.md5(F.concat(F.lit(f"{seed}:"), name))
     return F.conv(F.substring(digest, 1, 13), 16, 10).cast("double") / float(16**13)
 
 
@@ -70,14 +71,14 @@ def plan_mix(
     source_size, target, rate and copies.
 
     Needs doc_id, text and source; other columns pass in ``row`` whatever their names. A null
-    text has size 0, a null source is one source, rows with the same or no doc_id share one
-    coin. A source without words has rate 0. An empty table gives no rows.
+    text has size 0, a null source is one source, rows with the same doc_id, or with none and the
+    same text, share one coin. A source without words has rate 0. An empty table gives no rows.
     The targets are computed first and broadcast if they are at most BROADCAST_SOURCES rows, so
     that no text is shuffled; beyond, adaptive execution splits the hot source.
     """
     sizes = docs.select(
         F.struct(*(F.col(f"`{c}`") for c in carry or docs.columns)).alias("row"),
-        F.col("doc_id").alias("doc_id"),
+        coin(F.col("doc_id"), F.col("text"), seed).alias("coin"),
         F.col("source").alias("source"),
         n_words(F.col("text")).alias("size"),
     )
@@ -95,7 +96,7 @@ def plan_mix(
         .withColumn(
             "copies",
             F.floor("rate")
-            + (coin(F.col("doc_id"), seed) < F.col("rate") - F.floor("rate")).cast("long"),
+            + (F.col("coin") < F.col("rate") - F.floor("rate")).cast("long"),
         )
         .select("row", "size", "source_size", "target", "rate", "copies")
     )

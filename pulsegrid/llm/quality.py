@@ -10,8 +10,7 @@ from pyspark.sql import functions as F
 from pulsegrid.llm import labelled
 
 SAMPLE = 8_000  # most labelled documents the model is fitted on: half for text, half to calibrate
-PIECE = 400  # characters one document gives to a dictionary
-DICTIONARY = 256 << 10  # bytes of a dictionary
+DICTIONARY = 256 << 10  # characters of a dictionary, shared out among its documents
 CHUNK = 1024  # bytes compressed at a time; a longer run would lean on itself, not the dictionary
 LEVEL = 5
 KEEP = 0.3
@@ -79,22 +78,23 @@ class Model:
 def train(docs: DataFrame, labels: DataFrame, label: str = "quality", rows: int = SAMPLE) -> Model:
     """Fit on at most ``rows`` labelled documents outside the held-out fold.
 
-    One half gives the dictionaries a piece of PIECE characters each, taken at a place that the
-    text's hash chooses; the other half, whole, gives the rising curve that
-    turns differences into scores. Only the pieces and
-    one number per document reach the driver. Without text of both classes every score is the
-    share of good documents among those sampled, or one half.
+    One half gives the dictionaries: every document a piece of the same length, as long as all of
+    them fit into DICTIONARY, taken at a place that the text's hash chooses. The other half, whole,
+    gives the rising curve that turns differences into scores. Only the pieces and one number per
+    document reach the driver. Without text of both classes every score is the share of good
+    documents among those sampled, or one half.
     """
     chosen = labelled.sample(docs, labels, label, rows)
-    room = F.greatest(F.length("text") - PIECE, F.lit(0)) + 1
-    place = F.pmod(F.xxhash64("text"), room).cast("int") + 1
     halves = F.col("turn") % 2 == 0
-    pieces = (
-        chosen.where(halves & (F.length("text") > 0))
-        .select("label", "turn", F.substring("text", place, F.lit(PIECE)).alias("piece"))
-        .orderBy("turn", "piece")
-        .collect()
-    )
+    given = chosen.where(halves & (F.length("text") > 0))
+    sizes = {r["label"]: r["n"] for r in given.groupBy("label").agg(F.count("*").alias("n")).collect()}
+    pieces = []
+    for kind, n in sizes.items():
+        size = max(1, DICTIONARY // n)
+        room = F.greatest(F.length("text") - size, F.lit(0)) + 1
+        place = F.pmod(F.xxhash64("text"), room).cast("int") + 1
+        piece = F.substring("text", place, F.lit(size)).alias("piece")
+        pieces += given.where(F.col("label") == kind).select("label", "turn", piece).orderBy("turn", "piece").collect()
     texts = [
         b"".join(r["piece"].encode("utf-8", "surrogatepass") for r in pieces if r["label"] == kind)
         for kind in (1, 0)
@@ -103,7 +103,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", rows: int
         model, known = Model(b" " * 8, b" " * 8), chosen.select("label").collect()
         values, y = np.zeros(len(known)), np.array([r["label"] for r in known], float)
     else:
-        model = Model(texts[0][:DICTIONARY], texts[1][:DICTIONARY])
+        model = Model(*texts)
         found = model.differences(chosen.where(~halves), "label", "int").collect()
         values = np.array([r["difference"] for r in found])
         y = np.array([r["label"] for r in found], float)

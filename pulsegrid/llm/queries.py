@@ -42,7 +42,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 @query(
     r"""
 WITH sizes AS (
-  SELECT doc_id, source,
+  SELECT doc_id, source, md5(text) AS digest,
          coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size
   FROM documents),
 per_source AS (
@@ -66,7 +66,7 @@ targets AS (
 rates AS (
   SELECT doc_id, size, source_size, target,
          CASE WHEN source_size > 0 THEN target / source_size ELSE 0.0 END AS rate,
-         ('0x' || substr(md5('mix:' || coalesce(doc_id::VARCHAR, '')), 1, 13))::BIGINT::DOUBLE
+         ('0x' || substr(md5('mix:' || coalesce(doc_id::VARCHAR, '-' || digest, '')), 1, 13))::BIGINT::DOUBLE
            / 4503599627370496.0::DOUBLE AS coin
   FROM sizes JOIN targets ON sizes.source IS NOT DISTINCT FROM targets.source)
 SELECT doc_id, size, source_size, target,
@@ -114,7 +114,7 @@ marked AS (
   SELECT *, body IN (SELECT body FROM spread) AS hit FROM trimmed),
 kept AS (
   SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE hit) AS hits,
-         2 * coalesce(sum(length(body)) FILTER (WHERE hit), 0) <= sum(length(body)) AS goes,
+         bool_or(NOT hit AND body <> '') AS goes,
          string_agg(line, chr(10) ORDER BY place) AS whole,
          coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (WHERE NOT hit), '') AS rest
   FROM marked GROUP BY doc_id)

@@ -14,7 +14,7 @@ LENGTHS = (4, 5, 6)  # bytes of a subword, word ends included
 BUCKETS = 1 << 18
 DIMENSIONS = 8
 SAMPLE = 3_000  # most labelled documents the model is fitted on
-LONGEST = 1 << 16  # characters of a document the model may be fitted on
+LONGEST = 1 << 16  # characters of a document the model is fitted on at most
 STEPS, RATE, MOMENTUM = 80, 3.0, 0.9
 SEED = 11
 
@@ -134,11 +134,13 @@ def _bags(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", rows: int = SAMPLE) -> Model:
-    """Train on the driver, on at most ``rows`` labelled documents outside the held-out fold, of
-    at most LONGEST characters each."""
+    """Train on the driver, on at most ``rows`` labelled documents outside the held-out fold. Of a
+    longer document LONGEST characters are taken, at a place that its hash chooses."""
+    room = F.greatest(F.length("text") - LONGEST, F.lit(0)) + 1
+    place = F.pmod(F.xxhash64("text"), room).cast("int") + 1
     chosen = (
         labelled.sample(docs, labels, label, rows)
-        .where(F.length("text") <= LONGEST)
+        .withColumn("text", F.substring("text", place, F.lit(LONGEST)))
         .orderBy("turn", "text")
         .collect()
     )

@@ -89,3 +89,48 @@ def test_odd_rows_of_a_scan(documents):
     assert (found[1].n_words, found[1].n_base, found[1].first_word, found[1].score) == (0, 0, None, 0.0)
     assert (found[8].n_base, found[8].last_word, len(found[8].spans)) == (20_000, 59_997, 20_000)
     assert licenses.scan(documents()).count() == 0
+
+
+def test_notices_side_by_side_are_all_found(documents):
+    texts = {
+        1: ("all rights reservd all rights reserved", [(0, 2, 1), (3, 5, 0)]),
+        2: ("all rights reserved all rights reservd", [(0, 2, 0), (3, 5, 1)]),
+        3: ("released under the mit licens released under the mit license", [(0, 4, 1), (5, 9, 0)]),
+        4: ("released under the mit license " * 3, [(0, 4, 0), (5, 9, 0), (10, 14, 0)]),
+    }
+    found = licenses.scan(documents(*((k, x[0]) for k, x in texts.items()))).collect()
+    got = {r.doc_id: [(s.first_word, s.last_word, s.edits) for s in r.spans] for r in found}
+    assert got == {k: x[1] for k, x in texts.items()}
+
+
+def test_a_span_dropped_for_a_dropped_one_comes_back():
+    held = {("a", 0, 4): 2, ("b", 4, 8): 1, ("c", 8, 12): 0}
+    assert [(s["label"], s["edits"]) for s in licenses._closest(held)] == [("a", 2), ("c", 0)]
+
+
+def edit_distance(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        last, row[0] = row[0], i
+        for j, y in enumerate(b, 1):
+            last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (x != y))
+    return row[-1]
+
+
+def test_notices_within_the_bound_are_found_by_distance(documents):
+    """Every planted notice with up to its number of edits, and nothing where all words are far."""
+    rng = random.Random(9)
+    rows, planted = [], {}
+    for k in range(120):
+        notice, label = rng.choice(list(licenses.NOTICES.items()))
+        edits = rng.randrange(max(1, len(notice) // licenses.LETTERS_PER_EDIT) + 1)
+        text = fuzzed(rng, notice, edits)
+        rows.append((k, f"zq xv {text} qz vx"))
+        planted[k] = (label, edit_distance(notice, text))
+    for r in licenses.scan(documents(*rows, (900, "zq xv qz vx " * 9))).collect():
+        if r.doc_id == 900:
+            assert not r.spans
+            continue
+        label, distance = planted[r.doc_id]
+        assert label in {s.label for s in r.spans} | set(r.base_labels)
+        assert min(s.edits for s in r.spans) <= distance
