@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -62,7 +63,14 @@ def materialize(df: DataFrame) -> DataFrame:
 
 
 def discard(*stored: DataFrame) -> None:
-    """Delete tables that :func:`materialize` wrote and nothing will read again."""
+    """Delete tables that :func:`materialize` wrote and nothing will read again.
+
+    The driver then collects its garbage: shuffle files of finished jobs are deleted when their
+    plans are, which a large driver heap puts off for long.
+    """
     for df in stored:
         where = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df.stored_at)
         where.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(where, True)
+    gc.collect()
+    for df in stored[:1]:
+        df.sparkSession._jvm.System.gc()
