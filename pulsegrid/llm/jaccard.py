@@ -19,9 +19,9 @@ SMALL = 8  # buckets up to that size are paired by a join, larger ones in blocks
 BLOCK = 1024
 NO_ID = -(2**63)
 
-NAMED = "row long, doc_id long, n_shingles long, sid long"
+NAMED = "row long, doc_id long, n_shingles long, sid long, sketch array<long>"
 MET = "bucket long, sid long"
-SETS = "sid long, n long, shingles array<long>, sketch array<long>"
+SETS = "sid long, n long, shingles array<long>"
 
 
 # ---- shingle sets ------------------------------------------------------------------------
@@ -126,8 +126,16 @@ def _segments(h, row, sizes, bands: Bands) -> tuple[np.ndarray, np.ndarray]:
     return keys[order], owner[order]
 
 
+def _short_sketches(h: np.ndarray, whose: np.ndarray, size: int) -> np.ndarray:
+    """FOLDED parity bits of each text's set, as 64-bit words one text behind the other."""
+    bits = np.zeros((size, FOLDED), bool)
+    flat = whose * FOLDED + (h % np.uint64(FOLDED)).astype(np.int64)
+    np.logical_xor.at(bits.reshape(-1), flat, True)
+    return np.packbits(bits, axis=1).view(np.int64).reshape(-1)
+
+
 def _name_texts(n: int):
-    """Size and name of every text's set."""
+    """Size, name and short sketch of every text's set."""
 
     def name(batches):
         for batch in batches:
@@ -135,14 +143,16 @@ def _name_texts(n: int):
                 size = len(offsets) - 1
                 h, whose = _sets(data, offsets, n)
                 sizes = np.bincount(whose, minlength=size)
+                sketches = _short_sketches(h, whose, size)
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column("row").slice(row, size),
                         batch.column("doc_id").slice(row, size),
                         pa.array(sizes.astype(np.int64)),
                         pa.array(_set_ids(h, whose, size).view(np.int64), mask=sizes == 0),
+                        lists(sketches, np.repeat(np.arange(size), FOLDED // 64), size, pa.int64()),
                     ],
-                    ["row", "doc_id", "n_shingles", "sid"],
+                    ["row", "doc_id", "n_shingles", "sid", "sketch"],
                 )
 
     return name
@@ -197,7 +207,7 @@ def _shared_buckets(batches):
 
 
 def _set_texts(n: int):
-    """The sets themselves, with short sketches, for the texts that were asked for."""
+    """The sets themselves, of the texts that were asked for."""
 
     def sets(batches):
         for batch in batches:
@@ -206,18 +216,13 @@ def _set_texts(n: int):
                 size = len(offsets) - 1
                 h, whose = _sets(data, offsets, n)
                 ids = _set_ids(h, whose, size).view(np.int64)
-                bits = np.zeros((size, FOLDED), bool)
-                flat = whose * FOLDED + (h % np.uint64(FOLDED)).astype(np.int64)
-                np.logical_xor.at(bits.reshape(-1), flat, True)
-                folded = np.packbits(bits, axis=1).view(np.int64).reshape(-1)
                 found = pa.RecordBatch.from_arrays(
                     [
                         pa.array(ids),
                         pa.array(np.bincount(whose, minlength=size).astype(np.int64)),
                         lists(h.view(np.int64), whose, size, pa.int64()),
-                        lists(folded, np.repeat(np.arange(size), FOLDED // 64), size, pa.int64()),
                     ],
-                    ["sid", "n", "shingles", "sketch"],
+                    ["sid", "n", "shingles"],
                 )
                 yield found.filter(pa.array(ids == wanted[row : row + size]))
 
@@ -231,31 +236,42 @@ def _pairs(a, b) -> list:
     return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
 
 
-def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs whose sets reach the threshold; short sketches spare most others the check."""
+def _both(pairs: DataFrame, nodes: DataFrame, column: str) -> DataFrame:
+    """Pairs (a, b) with the size and a column of either set."""
 
-    def side(name: str, column: str) -> DataFrame:
-        return sets.select(
+    def side(name: str) -> DataFrame:
+        return nodes.select(
             F.col("sid").alias(name), F.col("n").alias(f"n_{name}"), F.col(column).alias(f"x_{name}")
         )
 
-    def both(frame: DataFrame, column: str) -> DataFrame:
-        return frame.join(side("a", column), "a").join(side("b", column), "b")
+    return pairs.join(side("a"), "a").join(side("b"), "b")
 
+
+def _near(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """The pairs whose short sketches leave it open whether they reach the threshold."""
     apart = F.aggregate(
         F.zip_with("x_a", "x_b", lambda x, y: F.bit_count(x.bitwiseXOR(y))),
         F.lit(0),
         lambda total, x: total + x,
     )
     total = F.col("n_a") + F.col("n_b")
-    near = both(pairs, "sketch").where(apart * (100 + percent) <= total * (100 - percent))
+    fits = apart * (100 + percent) <= total * (100 - percent)
+    return _both(pairs, nodes, "sketch").where(fits).select("a", "b")
+
+
+def _verified(pairs: DataFrame, keyed: DataFrame, nodes: DataFrame, shingle: int, percent: int) -> DataFrame:
+    """The stored ``pairs`` that reach the threshold, stored. Sets are built for these alone, from
+    one text of each."""
+    asked = pairs.select(F.col("a").alias("sid")).union(pairs.select("b")).distinct()
+    wanted = asked.join(nodes, "sid").select("sid", "row")
+    texts = keyed.select("row", "text").join(wanted, "row").dropDuplicates(["row"])
+    sets = materialize(texts.select("sid", "text").mapInArrow(_set_texts(shingle), SETS))
     common = F.size(F.array_intersect("x_a", "x_b"))
-    return (
-        both(near.select("a", "b"), "shingles")
-        .where(100 * common >= percent * (total - common))
-        .select("a", "b")
-        .distinct()
-    )
+    total = F.col("n_a") + F.col("n_b")
+    linked = _both(pairs, sets, "shingles").where(100 * common >= percent * (total - common))
+    linked = materialize(linked.select("a", "b").distinct())
+    discard(sets)
+    return linked
 
 
 def _stars(members: DataFrame) -> DataFrame:
@@ -300,7 +316,7 @@ def _block_pairs(percent: int):
     return pair
 
 
-def _leftover(members: DataFrame, components: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def _leftover(members: DataFrame, components: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     """Pairs that share a bucket but no component yet: by a join in buckets of at most SMALL
     members, in pairs of blocks beyond, where the sketches choose before a pair is made."""
     labelled = members.join(components, "sid", "left").withColumn(
@@ -326,7 +342,7 @@ def _leftover(members: DataFrame, components: DataFrame, sets: DataFrame, percen
         labelled.where(F.col("size") > SMALL)
         .withColumn("block", F.pmod(F.xxhash64("sid"), blocks))
         .withColumn("with", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)))
-        .join(sets.select("sid", "n", "sketch").dropDuplicates(["sid"]), "sid")
+        .join(nodes.select("sid", "n", "sketch"), "sid")
         .select(
             "bucket",
             F.least("block", "with").alias("i"),
@@ -394,8 +410,9 @@ def link(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> Dat
     first; what does not join one component that way is compared pair by pair, so no link between
     different sets is missed.
 
-    Texts are read three times rather than kept as sketches: segments go from the scan into one
-    shuffle by bucket, of which only shared buckets are stored.
+    Texts are read again rather than kept: segments go from the scan into one shuffle by bucket, of
+    which only shared buckets are stored, and sets are built only for pairs whose short sketches
+    are near.
     """
     keyed = docs.select(
         F.xxhash64("doc_id", "text").alias("row"),
@@ -406,7 +423,12 @@ def link(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> Dat
     nodes = materialize(
         named.where("sid IS NOT NULL")
         .groupBy("sid")
-        .agg(F.min(F.coalesce("doc_id", F.lit(NO_ID))).alias("key"), F.min("row").alias("row"))
+        .agg(
+            F.min(F.coalesce("doc_id", F.lit(NO_ID))).alias("key"),
+            F.min("row").alias("row"),
+            F.max("n_shingles").alias("n"),
+            F.any_value("sketch").alias("sketch"),
+        )
     )
     met = materialize(
         keyed.select("text")
@@ -425,20 +447,22 @@ def link(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> Dat
     members = materialize(met.join(chosen, "bucket"))
     discard(met)
 
-    wanted = members.select("sid").distinct().join(nodes, "sid").select("sid", "row")
-    texts = keyed.select("row", "text").join(wanted, "row").dropDuplicates(["row"])
-    sets = materialize(texts.select("sid", "text").mapInArrow(_set_texts(shingle), SETS))
     stars = materialize(_stars(members))
-    edges = materialize(_linked(stars, sets, percent))
-    rest = _leftover(members, components(edges), sets, percent).join(stars, ["a", "b"], "left_anti")
-    found = components(materialize(edges.unionByName(_linked(rest, sets, percent))))
-    discard(members, sets, stars, edges)
+    near = materialize(_near(stars, nodes, percent))
+    edges = _verified(near, keyed, nodes, shingle, percent)
+    rest = _leftover(members, components(edges), nodes, percent).join(stars, ["a", "b"], "left_anti")
+    rest = materialize(_near(rest, nodes, percent))
+    discard(members, stars, near)
+    more = _verified(rest, keyed, nodes, shingle, percent)
+    both = materialize(edges.unionByName(more))
+    found = components(both)
+    discard(edges, rest, more, both)
 
     grouped = nodes.join(found, "sid", "left").withColumn("component", F.coalesce("component", "sid"))
     smallest = grouped.groupBy("component").agg(F.min("key").alias("component_key"))
     names = grouped.join(smallest, "component").select("sid", "component", "component_key")
     component_id = F.coalesce("component_key", "doc_id", F.lit(NO_ID))
-    return named.join(names, "sid", "left").select(
+    return named.drop("sketch").join(names, "sid", "left").select(
         "row",
         "doc_id",
         "n_shingles",
