@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -14,7 +15,11 @@ from pulsegrid.session import discard, materialize
 
 SHINGLE, PERCENT = 5, 80
 BITS_PER_SEGMENT = 4096
-FOLDED = 2048  # bits of the short sketch that prunes pairs before the exact check
+#: Bits of the short sketches that prune pairs before the exact check, and the set sizes from which
+#: a text has the next one too: a sketch says nothing of sets much larger than half its bits.
+FOLDED = (2048, 16384, 131072)
+LARGER = (0, 2000, 16000)
+SKETCH_ENDS = tuple(accumulate(bits // 64 for bits in FOLDED))  # words up to each of them
 SMALL = 8  # buckets up to that size are paired by a join, larger ones in blocks
 BLOCK = 1024
 NO_ID = -(2**63)
@@ -126,12 +131,22 @@ def _segments(h, row, sizes, bands: Bands) -> tuple[np.ndarray, np.ndarray]:
     return keys[order], owner[order]
 
 
-def _short_sketches(h: np.ndarray, whose: np.ndarray, size: int) -> np.ndarray:
-    """FOLDED parity bits of each text's set, as 64-bit words one text behind the other."""
-    bits = np.zeros((size, FOLDED), bool)
-    flat = whose * FOLDED + (h % np.uint64(FOLDED)).astype(np.int64)
-    np.logical_xor.at(bits.reshape(-1), flat, True)
-    return np.packbits(bits, axis=1).view(np.int64).reshape(-1)
+def _short_sketches(h: np.ndarray, whose: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Parity bits of each text's set as 64-bit words, shorter sketches first, and whose they are."""
+    words, owner = [], []
+    for bits, larger in zip(FOLDED, LARGER, strict=True):
+        texts = np.flatnonzero(sizes >= larger)
+        place = np.full(len(sizes), -1)
+        place[texts] = np.arange(len(texts))
+        used = place[whose] >= 0
+        flat = np.zeros(len(texts) * bits, bool)
+        at = place[whose[used]] * bits + (h[used] % np.uint64(bits)).astype(np.int64)
+        np.logical_xor.at(flat, at, True)
+        words.append(np.packbits(flat).view(np.int64))
+        owner.append(np.repeat(texts, bits // 64))
+    owner = np.concatenate(owner)
+    order = np.argsort(owner, kind="stable")
+    return np.concatenate(words)[order], owner[order]
 
 
 def _name_texts(n: int):
@@ -143,14 +158,14 @@ def _name_texts(n: int):
                 size = len(offsets) - 1
                 h, whose = _sets(data, offsets, n)
                 sizes = np.bincount(whose, minlength=size)
-                sketches = _short_sketches(h, whose, size)
+                words, owner = _short_sketches(h, whose, sizes)
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column("row").slice(row, size),
                         batch.column("doc_id").slice(row, size),
                         pa.array(sizes.astype(np.int64)),
                         pa.array(_set_ids(h, whose, size).view(np.int64), mask=sizes == 0),
-                        lists(sketches, np.repeat(np.arange(size), FOLDED // 64), size, pa.int64()),
+                        lists(words, owner, size, pa.int64()),
                     ],
                     ["row", "doc_id", "n_shingles", "sid", "sketch"],
                 )
@@ -248,9 +263,15 @@ def _both(pairs: DataFrame, nodes: DataFrame, column: str) -> DataFrame:
 
 
 def _near(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
-    """The pairs whose short sketches leave it open whether they reach the threshold."""
+    """The pairs whose short sketches leave it open whether they reach the threshold; the longest
+    that both have decides."""
+    last = F.least(F.size("x_a"), F.size("x_b"))
+    first = F.lit(1)
+    for end in SKETCH_ENDS[:-1]:
+        first = F.when(last > end, end + 1).otherwise(first)
+    longest = [F.slice(x, first, last - first + 1) for x in ("x_a", "x_b")]
     apart = F.aggregate(
-        F.zip_with("x_a", "x_b", lambda x, y: F.bit_count(x.bitwiseXOR(y))),
+        F.zip_with(*longest, lambda x, y: F.bit_count(x.bitwiseXOR(y))),
         F.lit(0),
         lambda total, x: total + x,
     )
@@ -298,17 +319,25 @@ def _block_pairs(percent: int):
     def pair(group):
         import pandas as pd
 
-        bits = np.array(group["sketch"].tolist(), np.int64).reshape(-1, FOLDED // 64).view(np.uint64)
+        sketches = [np.asarray(x).view(np.uint64) for x in group["sketch"]]
+        bits = np.array([x[: SKETCH_ENDS[0]] for x in sketches]).reshape(-1, SKETCH_ENDS[0])
         n, component = group["n"].to_numpy(), group["component"].to_numpy()
         sid, block = group["sid"].to_numpy(), group["block"].to_numpy()
         left = np.flatnonzero(block == group["i"].iloc[0])
         right = np.flatnonzero(block == group["j"].iloc[0])
         a, b = [], []
+
+        def longest_fits(x: int, k: int) -> bool:
+            last = min(len(sketches[x]), len(sketches[k]))
+            first = max([0, *(end for end in SKETCH_ENDS if end < last)])
+            apart = int(np.bitwise_count(sketches[x][first:last] ^ sketches[k][first:last]).sum(dtype=np.int64))
+            return apart * (100 + percent) <= (n[x] + n[k]) * (100 - percent)
+
         for x in left:
             apart = np.bitwise_count(bits[right] ^ bits[x]).sum(axis=1, dtype=np.int64)
             fits = apart * (100 + percent) <= (n[right] + n[x]) * (100 - percent)
             fits &= component[right] != component[x]
-            found = sid[right[fits]]
+            found = sid[[k for k in right[fits].tolist() if longest_fits(x, k)]]
             a.append(np.minimum(found, sid[x]))
             b.append(np.maximum(found, sid[x]))
         return pd.DataFrame({"a": np.concatenate(a or [sid[:0]]), "b": np.concatenate(b or [sid[:0]])})

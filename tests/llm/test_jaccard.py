@@ -50,3 +50,26 @@ def test_components_of_a_long_chain(spark):
     edges = [(k, k + 1) for k in range(0, 60)] + [(100, 200), (300, 200)]
     found = {r.sid: r.component for r in jaccard.components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert found == {k: 0 for k in range(61)} | {100: 100, 200: 100, 300: 100}
+
+
+def test_long_texts_have_longer_sketches(documents):
+    rng = random.Random(4)
+    base = [f"b{rng.randrange(10**6)}" for _ in range(18_000)]
+    half = base[:9_000] + [f"h{rng.randrange(10**6)}" for _ in range(9_000)]
+    rows = [(k, " ".join(near(rng, base, 100))) for k in range(2)] + [(k + 5, " ".join(near(rng, half, 40))) for k in range(2)]
+    rows += [(9, " ".join(base[:3_000])), (10, " ".join(near(rng, base[:3_000], 20))), (11, " ".join(half[-3_000:]))]
+    found = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard.link(documents(*rows)).collect()}
+    assert found == brute.components(rows, jaccard.SHINGLE, jaccard.PERCENT)
+    assert {c for _, c in found.values()} == {0, 5, 9, 11}
+
+
+def test_sketches_bound_the_difference_of_sets():
+    import numpy as np
+
+    rng = np.random.default_rng(0)
+    sizes = np.array([10, 2500, 17_000])
+    h = rng.integers(0, 2**63, sizes.sum()).astype(np.uint64)
+    words, owner = jaccard._short_sketches(h, np.repeat([0, 1, 2], sizes), sizes)
+    assert np.bincount(owner).tolist() == list(jaccard.SKETCH_ENDS)
+    ones = [int(np.bitwise_count(words[owner == k]).astype(int).sum()) for k in range(3)]
+    assert ones[0] == 10 and ones[1] <= 2 * 2500 and ones[2] <= 3 * 17_000
