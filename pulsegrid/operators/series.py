@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 from ..functions.clock import bucket, bucket_width, interval, micros, seconds, within_last
 
 SERIES = ("entity_id", "metric_name")
+#: Slots of keys for the bounds of ``newest_rows``: at most 4 MB in all.
+NEWEST_SLOTS = 1 << 18
 
 
 def known_metrics(df: DataFrame, metrics: Sequence[str]) -> list[str]:
@@ -183,22 +185,29 @@ def summarize(series: DataFrame) -> DataFrame:
     )
 
 
-def newest_rows(df: DataFrame, keys: Sequence[str], order: str) -> DataFrame:
+def newest_rows(
+    df: DataFrame, keys: Sequence[str], order: str, slots: int = NEWEST_SLOTS
+) -> DataFrame:
     """The newest row per key; rows tied on ``order`` resolve to the greatest.
 
     The newest ``order`` per key is a hash aggregate over two columns, combined map-side, so a hot
-    key is one row a task and no reading is sorted by it. Only the rows it selects carry their
-    other columns on, and only those are compared where several are tied.
+    key is one row a task. Keys fall into ``slots`` by hash, and a row older than the newest of
+    every key in its slot cannot win. These bounds are at most ``slots`` rows of 16 bytes, so they
+    are broadcast whatever the number of keys; only the rows that pass carry their other columns
+    on and are sorted. With fewer keys than slots that is hardly more than one row a key; a key
+    long silent lets the later rows of its slot pass as well.
     """
     rest = [c for c in df.columns if c not in keys and c != order]
-    tops = df.groupBy(*keys).agg(F.max(order).alias("_newest"))
-    tops = tops.select(*(F.col(k).alias(f"_{k}") for k in keys), "_newest")
-    same = F.col(order).eqNullSafe(F.col("_newest"))
-    for k in keys:
-        same = same & F.col(k).eqNullSafe(F.col(f"_{k}"))
-    winners = df.join(tops, same, "left_semi")
+    slot = F.pmod(F.xxhash64(*keys), F.lit(slots))
+    newest = df.groupBy(*keys).agg(F.max(order).alias("_newest"))
+    dated = F.count_if(F.col("_newest").isNull()) == 0
+    bounds = newest.groupBy(slot.alias("_slot")).agg(
+        F.when(dated, F.min("_newest")).alias("_bound")
+    )
+    may_win = F.col("_bound").isNull() | (F.col(order) >= F.col("_bound"))
     return (
-        winners.groupBy(*keys)
+        df.join(F.broadcast(bounds), (slot == F.col("_slot")) & may_win, "left_semi")
+        .groupBy(*keys)
         .agg(F.max(F.struct(order, *rest)).alias("newest"))
         .select(*keys, "newest.*")
         .select(*df.columns)

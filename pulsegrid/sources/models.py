@@ -10,7 +10,6 @@ from pyspark.sql import types as T
 
 from ..functions.clock import interval, moment
 from ..functions.documents import decode, encode
-from ..operators.series import newest_rows
 from ..schemas import MODELS
 from .files import Files
 
@@ -18,8 +17,14 @@ KEY = ("method_name", "entity_id", "metric_name")
 
 
 def newest_models(models: DataFrame, by: str = "saved_at") -> DataFrame:
-    """Newest model per key; ties resolve to the greatest."""
-    return newest_rows(models, KEY, by)
+    """Newest model per key; ties resolve to the greatest.
+
+    One aggregate in one pass: models are few against readings, so that sorting them costs less
+    than reading them twice.
+    """
+    rest = [c for c in models.columns if c not in KEY and c != by]
+    newest = models.groupBy(*KEY).agg(F.max(F.struct(by, *rest)).alias("newest"))
+    return newest.select(*KEY, "newest.*").select(*models.columns)
 
 
 def fresh_models(

@@ -14,6 +14,7 @@ from pulsegrid.operators import quality, series
 from pulsegrid.plans import infrastructure as infra
 from pulsegrid.plans import maintenance, rollups
 from pulsegrid.sources import samples
+from pulsegrid.sources.models import newest_models
 from pulsegrid.sources.tables import TableStore
 from tests.conftest import SMALL
 
@@ -91,11 +92,28 @@ def test_messages_are_parsed_once(spark, events):
 
 
 def test_latest_per_key_sorts_no_readings(spark):
-    """Every scan of the readings feeds a hash aggregate or a join, never a sort of them."""
+    """Even where nothing is small enough to be broadcast by itself, readings meet a hash aggregate
+    and a broadcast of bounded size before anything is shuffled or sorted."""
     readings = Inputs(spark, SMALL).servers
-    text = plan(series.latest_per_key(readings, "server_id", ["rack_id"]))
-    below_join = text.split("\n\n")[0]
-    assert "partial_max" in text and "Window" not in text
-    newest = readings.groupBy("server_id").agg(F.max("timestamp"))
-    assert "SortAggregate" not in plan(newest) and "SemiJoin" in text.replace(" ", "").replace("LeftSemi", "SemiJoin")
-    assert below_join.count("Scan parquet") == 2
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = plan(series.latest_per_key(readings, "server_id", ["rack_id"]))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    tree = text.split("\n\n")[0]
+    assert tree.count("Scan parquet") == 2 and "SortMergeJoin" not in tree and "Window" not in tree
+    depth = lambda row: len(row) - len(row.lstrip(" :+-"))
+    rows = tree.splitlines()
+    join = next(i for i, row in enumerate(rows) if "BroadcastHashJoin LeftSemi" in row)
+    below = [row for row in rows[join + 1 :] if depth(row) > depth(rows[join])]
+    assert not any("Sort" in row for row in below)
+    second = next(i for i, row in enumerate(below) if "BroadcastExchange" in row)
+    assert not any("Exchange" in row for row in below[:second])
+
+
+def test_newest_models_are_one_pass(spark):
+    schema = "method_name string, entity_id string, metric_name string, saved_at timestamp, x int"
+    stored = spark.createDataFrame([], schema)
+    text = plan(newest_models(stored)).split("\n\n")[0]
+    assert text.count("Exchange") == 1 and "Join" not in text

@@ -214,3 +214,20 @@ def test_config_defaults_and_checks():
     for bad in ({"trend_period": 578}, {"trend_period": 287}, {"phase": "moon"}):
         with pytest.raises(ValueError):
             StlConfig(**bad)
+
+
+@pytest.mark.parametrize("slots", [1, 2, 1 << 18])
+def test_newest_rows_against_plain_maxima(spark, slots):
+    """Whatever shares a slot: tied, undated and silent keys, a null key, repeated rows."""
+    rows = [(f"k{i % 7}", i % 40 if i % 7 else 3, i % 5, None if i % 11 == 0 else f"v{i % 13}") for i in range(300)]
+    rows += [(None, 5, 1, "a"), (None, 5, 2, "a"), ("undated", None, 1, "b"), ("undated", None, 0, "c"), ("half", None, 9, "z"), ("half", 2, 1, "d")]
+    rows += rows[:20]
+    df = spark.createDataFrame(rows, "k string, at int, n int, text string")
+    rank = lambda r: tuple((x is not None, x if x is not None else 0) for x in r[1:3]) + ((r[3] is not None, r[3] or ""),)
+    expected = {}
+    for row in rows:
+        if row[0] not in expected or rank(row) > rank(expected[row[0]]):
+            expected[row[0]] = row
+    got = [tuple(r) for r in series.newest_rows(df, ["k"], "at", slots).collect()]
+    assert len(got) == len(expected) and {r[0]: r for r in got} == expected
+    assert series.newest_rows(df.limit(0), ["k"], "at", slots).count() == 0
