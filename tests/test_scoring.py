@@ -49,6 +49,34 @@ def test_hot_entity_is_spread_by_the_salt(spark):
     assert len(sizes) == 16 and max(r["count"] for r in sizes) < 4000 / 16 * 1.5
 
 
+def shares(spark):
+    """Readings of which a third has one key, a tenth none, and 500 keys hold the rest."""
+    key = "CASE WHEN id % 3 = 0 THEN 'hot' WHEN id % 10 = 1 THEN NULL ELSE concat('k', id % 500) END"
+    facts = spark.range(30_000).selectExpr(f"{key} AS entity_id", "timestamp_seconds(id * 7) AS timestamp")
+    side = facts.select("entity_id").distinct().where("entity_id <> 'k7'")
+    return facts, side.selectExpr("entity_id", "xxhash64(entity_id) AS x")
+
+
+def test_only_hot_keys_are_copied(spark):
+    facts, side = shares(spark)
+    assert lookup.hot_keys(facts, "entity_id") == ["hot"]
+    assert lookup.hot_keys(facts.limit(0), "entity_id") == []
+    left, right = lookup.salted_sides(facts, side, "entity_id", ["hot"], "timestamp", 16)
+    assert right.count() == side.count() + 15
+    tasks = left.groupBy("entity_id", "_salt").count().collect()
+    assert max(r["count"] for r in tasks if r.entity_id in ("hot", None)) < 10_000 / 16 * 1.5
+    assert {r["_salt"] for r in tasks if r.entity_id not in ("hot", None)} == {0}
+
+
+def test_salting_hot_keys_changes_no_row(spark):
+    facts, side = shares(spark)
+    kept = lookup.lookup_left(facts, side, "entity_id", 0, "timestamp")
+    moved = lookup.lookup_left(facts, side, "entity_id", 1e12, "timestamp", salt_buckets=16)
+    assert moved.columns == kept.columns and moved.count() == 30_000
+    assert kept.exceptAll(moved).count() == 0 and moved.exceptAll(kept).count() == 0
+    assert moved.where("x IS NULL").count() == facts.where("entity_id IS NULL OR entity_id = 'k7'").count()
+
+
 def literal_model(spark, std=2.0, interval=3600, metric="cpu_usage_percent"):
     at = datetime(2025, 1, 1)
     return spark.createDataFrame(
