@@ -5,8 +5,8 @@ Procedure Based on Loess", without the robustness pass and with local lines thro
 
 On an even grid a loess smoother is linear and depends only on (length, span): away from the
 ends every point has the same symmetric weights, so the smoother is one convolution plus one
-small matrix per end. Smoothers are built once per (length, span) and shared by the series a
-task fits.
+matrix per end, or for long spans its rows a few at a time. Smoothers are built once per
+(length, span) and shared by the series a task fits.
 """
 
 from __future__ import annotations
@@ -14,16 +14,31 @@ from __future__ import annotations
 import numpy as np
 
 
-def line_weights(at: np.ndarray, points: np.ndarray, span: int, length: int) -> np.ndarray:
-    """Weights that give the local line's value at each ``at`` from the values at ``points``."""
-    at = at[:, None].astype(float)
-    points = points[None, :].astype(float)
+#: Up to so many weights of one end are kept as a matrix; more are computed as they are used.
+MATRIX = 1 << 20
+#: Weights computed at a time.
+SLICE = 1 << 16
+
+
+def tricube(at: np.ndarray, points: np.ndarray, span: int, length: int) -> np.ndarray:
+    """Weights of ``points`` (along rows) around each ``at``, by their distance alone."""
+    at, points = at[:, None], points[None, :]
     reach = np.maximum(np.abs(at - points[:, :1]), np.abs(at - points[:, -1:]))
     reach = reach + max(0, (span - length) // 2)
     distance = np.abs(at - points)
-    weights = (1.0 - np.clip(distance / reach, 0.0, 1.0) ** 3) ** 3
+    part = np.minimum(distance / reach, 1.0)
+    weights = 1.0 - part * part * part
+    weights *= weights * weights
     weights[distance <= 0.001 * reach] = 1.0
     weights[distance > 0.999 * reach] = 0.0
+    return weights
+
+
+def line_weights(at: np.ndarray, points: np.ndarray, span: int, length: int) -> np.ndarray:
+    """Weights that give the local line's value at each ``at`` from the values at ``points``."""
+    at, points = at.astype(float), points.astype(float)
+    weights = tricube(at, points, span, length)
+    at, points = at[:, None], points[None, :]
     weights /= weights.sum(axis=1, keepdims=True)
     centre = (weights * points).sum(axis=1, keepdims=True)
     spread = (weights * (points - centre) ** 2).sum(axis=1, keepdims=True)
@@ -33,6 +48,47 @@ def line_weights(at: np.ndarray, points: np.ndarray, span: int, length: int) ->
     return weights * (1.0 + tilt * (points - centre))
 
 
+class Lines:
+    """Local lines at ``at`` through values at ``points``; memory grows with their number.
+
+    Few weights are kept as a matrix. Many are computed a slice of rows at a time, and only the
+    moments that a line needs are kept of them: the results are the same.
+    """
+
+    def __init__(self, at: np.ndarray, points: np.ndarray, span: int, length: int):
+        self.at, self.points = at.astype(float), points.astype(float)
+        self.span, self.length = span, length
+        self.matrix = None
+        if len(at) * len(points) <= MATRIX:
+            self.matrix = line_weights(at, points, span, length)
+
+    @property
+    def kept(self) -> int:
+        return 0 if self.matrix is None else self.matrix.size
+
+    def __matmul__(self, values: np.ndarray) -> np.ndarray:
+        if self.matrix is not None:
+            return self.matrix @ values
+        table = values.reshape(len(values), -1)
+        middle = self.points.mean()
+        x = (self.points - middle)[:, None]
+        moments = np.hstack([np.ones_like(x), x, x * x, table, x * table])
+        wide, step = table.shape[1], max(1, SLICE // len(x))
+        out = np.empty((len(self.at), wide))
+        for first in range(0, len(self.at), step):
+            at = self.at[first : first + step]
+            sums = tricube(at, self.points, self.span, self.length) @ moments
+            sums /= sums[:, :1]
+            centre = sums[:, 1:2]
+            spread = np.maximum(sums[:, 2:3] - centre * centre, 0.0)
+            sloped = np.sqrt(spread) > 0.001 * (self.length - 1)
+            mean = sums[:, 3 : 3 + wide]
+            slope = (sums[:, 3 + wide :] - centre * mean) / np.where(sloped, spread, 1.0)
+            rise = np.where(sloped, slope * (at[:, None] - middle - centre), 0.0)
+            out[first : first + step] = mean + rise
+        return out.reshape(-1, *values.shape[1:])
+
+
 class Smoother:
     """Loess of ``span`` points over columns of ``length`` values.
 
@@ -43,17 +99,16 @@ class Smoother:
         extra = 1 if extend else 0
         self.kernel = None
         if span >= length:
-            positions = np.arange(-extra, length + extra)
-            self.whole = line_weights(positions, np.arange(length), span, length)
+            self.whole = Lines(np.arange(-extra, length + extra), np.arange(length), span, length)
+            self.kept = self.whole.kept
             return
         half = (span - 1) // 2
         self.span = span
-        self.head = line_weights(np.arange(-extra, half), np.arange(span), span, length)
+        self.head = Lines(np.arange(-extra, half), np.arange(span), span, length)
         self.kernel = line_weights(np.array([half]), np.arange(span), span, length)[0]
         tail_points = np.arange(length - span, length)
-        self.tail = line_weights(
-            np.arange(length - half, length + extra), tail_points, span, length
-        )
+        self.tail = Lines(np.arange(length - half, length + extra), tail_points, span, length)
+        self.kept = self.head.kept + self.tail.kept + span
 
     def __call__(self, values: np.ndarray) -> np.ndarray:
         if self.kernel is None:
@@ -75,7 +130,7 @@ _smoothers: dict[tuple[int, int, bool], Smoother] = {}
 def smoother(length: int, span: int, extend: bool = False) -> Smoother:
     key = (length, span, extend)
     if key not in _smoothers:
-        if len(_smoothers) >= 64:
+        if sum(s.kept for s in _smoothers.values()) >= 4 * MATRIX:
             _smoothers.clear()
         _smoothers[key] = Smoother(length, span, extend)
     return _smoothers[key]

@@ -1,10 +1,13 @@
 """The decomposition against brute-force local regression and its own invariants."""
 
+import tracemalloc
+
 import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from pulsegrid.operators import loess
 from pulsegrid.operators.loess import Smoother, decompose, moving_average, smooth_cycles
 
 
@@ -28,6 +31,28 @@ def test_smoother_matches_least_squares(length, span):
     assert np.allclose(smooth, expected, atol=1e-10)
 
 
+@pytest.mark.parametrize("length,span", [(50, 7), (50, 21), (14, 289), (20, 19), (20, 21), (9, 9), (900, 301)])
+def test_slices_equal_the_matrix(monkeypatch, length, span):
+    values = 1e3 + np.random.default_rng(length * span).normal(size=(length, 3))
+    whole = Smoother(length, span, extend=True)(values)
+    monkeypatch.setattr(loess, "MATRIX", 0)
+    monkeypatch.setattr(loess, "SLICE", 640)
+    sliced = Smoother(length, span, extend=True)
+    assert np.allclose(sliced(values), whole, rtol=0, atol=1e-9)
+    assert np.allclose(sliced(values[:, 1]), whole[:, 1], rtol=0, atol=1e-9)
+
+
+def test_memory_of_a_weekly_cycle_of_minutes():
+    period, t = 7 * 1440, np.arange(3 * 7 * 1440)
+    values = 20 + 1e-4 * t + 5 * np.sin(2 * np.pi * t / period)
+    tracemalloc.start()
+    trend, seasonal, residual = decompose(values, period, period + 1, 2 * period + 1, passes=1)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 200e6
+    assert np.allclose(trend + seasonal + residual, values) and np.abs(residual).max() < 1e-6
+
+
 def brute_decompose(values, period, seasonal_span, trend_span, passes):
     n = len(values)
     low_span = period + 1 + period % 2
