@@ -20,6 +20,7 @@ BITS_PER_SEGMENT = 4096
 FOLDED = (2048, 16384, 131072)
 LARGER = (0, 2000, 16000)
 SKETCH_ENDS = tuple(accumulate(bits // 64 for bits in FOLDED))  # words up to each of them
+BRIEF = 4  # words that a short sketch is folded to for pairs of small buckets
 SMALL = 8  # buckets up to that size are paired by a join, larger ones in blocks
 BLOCK = 1024
 NO_ID = -(2**63)
@@ -345,9 +346,20 @@ def _block_pairs(percent: int):
     return pair
 
 
+def _brief(nodes: DataFrame) -> DataFrame:
+    """Sketches folded to BRIEF words, as columns w0, w1, ...: they differ in no more bits than the
+    sketches do, so they rule out pairs of short sets at a few bytes a member."""
+    folded = (
+        f"aggregate(sequence({k}, {SKETCH_ENDS[0] - 1}, {BRIEF}), 0L, (t, i) -> t ^ sketch[i]) AS w{k}"
+        for k in range(BRIEF)
+    )
+    return nodes.selectExpr("sid", "n", *folded)
+
+
 def _leftover(members: DataFrame, components: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     """Pairs that share a bucket but no component yet: by a join in buckets of at most SMALL
-    members, in pairs of blocks beyond, where the sketches choose before a pair is made."""
+    members, in pairs of blocks beyond. Sketches choose before a pair is made, in the join
+    folded ones."""
     labelled = members.join(components, "sid", "left").withColumn(
         "component", F.coalesce("component", "sid")
     )
@@ -358,13 +370,17 @@ def _leftover(members: DataFrame, components: DataFrame, nodes: DataFrame, perce
         .select("bucket", "size")
     )
     labelled = labelled.join(mixed_buckets, "bucket")
-    few = labelled.where(F.col("size") <= SMALL)
+    few = labelled.where(F.col("size") <= SMALL).join(_brief(nodes), "sid")
     one, other = few.alias("one"), few.alias("other")
+    words = (F.col(f"one.w{k}").bitwiseXOR(F.col(f"other.w{k}")) for k in range(BRIEF))
+    apart = sum((F.bit_count(w) for w in words), F.lit(0))
+    total = F.col("one.n") + F.col("other.n")
     small = one.join(
         other,
         (F.col("one.bucket") == F.col("other.bucket"))
         & (F.col("one.sid") < F.col("other.sid"))
-        & (F.col("one.component") != F.col("other.component")),
+        & (F.col("one.component") != F.col("other.component"))
+        & (apart * (100 + percent) <= total * (100 - percent)),
     ).select(F.col("one.sid").alias("a"), F.col("other.sid").alias("b"))
     blocks = F.ceil(F.col("size") / BLOCK).cast("long")
     large = (

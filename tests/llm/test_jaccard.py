@@ -71,5 +71,5 @@ def test_sketches_bound_the_difference_of_sets():
     h = rng.integers(0, 2**63, sizes.sum()).astype(np.uint64)
     words, owner = jaccard._short_sketches(h, np.repeat([0, 1, 2], sizes), sizes)
     assert np.bincount(owner).tolist() == list(jaccard.SKETCH_ENDS)
-    ones = [int(np.bitwise_count(words[owner == k]).astype(int).sum()) for k in range(3)]
+    ones = [int(np.bitwise_count(words[owner == k].view(np.uint64)).astype(int).sum()) for k in range(3)]
     assert ones[0] == 10 and ones[1] <= 2 * 2500 and ones[2] <= 3 * 17_000
