@@ -199,16 +199,17 @@ def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     """
-WITH points AS (
-  SELECT vec_id, list_transform(embedding, lambda x: floor(64.0::DOUBLE * x::DOUBLE)) AS x
+WITH points AS MATERIALIZED (
+  SELECT row_number() OVER () AS name, vec_id,
+         list_transform(embedding, lambda x: floor(64.0::DOUBLE * x::DOUBLE)) AS x
   FROM embeddings
   WHERE vec_id IS NOT NULL AND len(embedding) > 0
     AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
 scores AS (
-  SELECT q.vec_id AS query_id, p.vec_id, list_inner_product(q.x, p.x)::BIGINT AS score
-  FROM points q JOIN points p ON q.vec_id % 20 = 0 AND p.vec_id <> q.vec_id),
+  SELECT q.name AS query, q.vec_id AS query_id, p.vec_id, list_inner_product(q.x, p.x)::BIGINT AS score
+  FROM points q JOIN points p ON q.vec_id % 20 = 0 AND p.name <> q.name),
 ranked AS (
-  SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank,
+  SELECT query_id, row_number() OVER (PARTITION BY query ORDER BY score DESC, vec_id)::INTEGER AS rank,
          vec_id, score FROM scores)
 SELECT * FROM ranked WHERE rank <= 20
 """

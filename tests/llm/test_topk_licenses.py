@@ -13,13 +13,41 @@ def vectors(spark, rows):
     return spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int, score string, x int")
 
 
-def test_rows_with_one_id_all_take_part(spark):
-    points = [(20, [1.0, 0.0]), (20, [0.0, 1.0]), (20, [0.0, 1.0]), (1, [0.5, 0.0]), (1, [0.0, 2.0]), (2, [1.0, 1.0])]
-    found = topk.top_k(vectors(spark, [(k, x, 0, "s", 1) for k, x in points]), lambda v: v % 20 == 0, 20).collect()
-    whole = {(k, tuple(int(64 * v) for v in x)) for k, x in points}  # a repeated row counts once
-    pairs = [(p, sum(a * b for a, b in zip(x, y, strict=True))) for q, x in whole if q == 20 for p, y in whole if p != q]
-    expected = sorted(pairs, key=lambda r: (-r[1], r[0]))
-    assert [(r.vec_id, r.score) for r in sorted(found, key=lambda r: r["rank"])] == expected
+def by_row(points, k):
+    """The k best of each row whose id is divisible by 20, among all other rows; ids repeat."""
+    whole = [(key, [math.floor(64 * v) for v in x]) for key, x in points]
+    found = []
+    for at, (query, x) in enumerate(whole):
+        if query % 20 == 0:
+            scores = sorted(
+                (-sum(a * b for a, b in zip(x, y, strict=True)), other)
+                for place, (other, y) in enumerate(whole)
+                if place != at
+            )
+            found += [(query, r + 1, other, -s) for r, (s, other) in enumerate(scores[:k])]
+    return sorted(found)
+
+
+def test_every_row_but_the_querys_own_is_a_candidate(spark):
+    a, b = [1.0, 0.0], [0.5, 1.0]
+    for points in (
+        [(20, a), (20, a), (1, b)],
+        [(20, [1.0, 0.0]), (20, [0.0, 1.0]), (20, [0.0, 1.0]), (1, b), (1, b), (1, a), (2, [1.0, 1.0])],
+    ):
+        found = topk.top_k(vectors(spark, [(k, x, 0, "s", 1) for k, x in points]), lambda v: v % 20 == 0, 20)
+        assert sorted(tuple(r) for r in found.collect()) == by_row(points, 20)
+
+
+def test_repeated_rows_and_ids_agree_with_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(topk, "BLOCK", 4)
+    monkeypatch.setattr(topk, "SLICE", 50)
+    monkeypatch.setattr(topk, "GROUP", 5)
+    rng = np.random.default_rng(3)
+    # a third of all rows is one query's row; other ids repeat with equal and different vectors
+    points = [(40, [0.5, -0.25, 1.0])] * 30
+    points += [(int(rng.integers(0, 50)), [float(v) for v in rng.integers(-2, 3, 3) / 4]) for _ in range(60)]
+    found = topk.top_k(vectors(spark, [(k, x, 0, "s", 1) for k, x in points]), lambda v: v % 20 == 0, 7)
+    assert sorted(tuple(r) for r in found.collect()) == by_row(points, 7)
 
 
 @pytest.mark.parametrize("block, size, group, ties", [(4, 1 << 18, 4096, False), (16, 40, 3, True), (256, 7, 4096, True)])
@@ -41,7 +69,7 @@ def test_top_k_agrees_with_brute_force(spark, monkeypatch, block, size, group, t
 def test_top_k_of_little(spark):
     few = vectors(spark, [(0, [1.0, 2.0], 0, "s", 1), (1, [3.0], 0, "s", 1), (1, [3.0], 0, "s", 1)])
     found = topk.top_k(few, lambda v: v % 20 == 0, 5).collect()
-    assert [tuple(r) for r in found] == [(0, 1, 1, 64 * 192)]
+    assert sorted(tuple(r) for r in found) == [(0, 1, 1, 64 * 192), (0, 2, 1, 64 * 192)]
     assert topk.top_k(few.limit(0), lambda v: v % 20 == 0, 5).count() == 0
     large = vectors(spark, [(0, [1e12], 0, "s", 1), (1, [1e5], 0, "s", 1), (2, [-1e5], 0, "s", 1)])
     assert [r.vec_id for r in topk.top_k(large, lambda v: v == 0, 5).orderBy("rank").collect()] == [1, 2]
