@@ -4,14 +4,14 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pulsegrid.llm.words import Words, chunks, mixed, runs
 
 WINDOW = 20
 DOUBLINGS = 1  # the first level is window / 2**DOUBLINGS words long
-NO_ID = -(2**63)  # key of documents without an id: before all others
+NO_ID = -(2**62)  # ids lie above; keys of texts without an id lie at or below, one per text
 RESULT = "doc_id long, n_words long, n_removed long, kept string"
 
 
@@ -170,8 +170,8 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, doublings: int = DOUBL
     ``doublings`` halvings.
 
     Needs doc_id and text; no other column is read. A null text has no words. A null id counts
-    as the smallest. Rows with equal ids do not remove each other's words. An empty table gives
-    no rows. Equality is that of 96 bits of hash. Per document only lists of its own hashes come
+    as the smallest; an id of -2**62 or less is an error. Rows with equal ids, or without one, do
+    not remove each other's words. An empty table gives no rows. Equality is that of 96 bits of hash. Per document only lists of its own hashes come
     together; windows shared by many documents are counted map-side and joined, never gathered.
     """
     if window % 2**doublings:
@@ -179,7 +179,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, doublings: int = DOUBL
     lengths = [window >> k for k in range(doublings, -1, -1)]
     keyed = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
-        F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("key"),
+        _key(F.col("doc_id").cast("long"), F.col("text")).alias("key"),
         F.xxhash64("text").alias("digest"),
         "text",
     )
@@ -197,12 +197,26 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, doublings: int = DOUBL
         source, before = _with_lists(keyed, lists.where(F.size("hs") > 0), "inner"), length
     rows = source.mapInArrow(_emit(window, window, before), "h long, key long, g int")
     first = rows.groupBy("h", "g").agg(F.min("key").alias("first"))
-    foreign = rows.join(first, ["h", "g"]).where(F.col("key") > F.col("first"))
+    foreign = rows.join(first, ["h", "g"]).where(_later("key", "first"))
     return _with_lists(keyed, _listed_by_key(foreign, copies), "left").mapInArrow(
         _remove(window), RESULT
     )
 
 
+def _key(doc_id: Column, text: Column) -> Column:
+    """What lists are kept by: the id, or for a text without one a number of its own below all
+    ids, so that the rows without an id never come together as one key."""
+    own = F.lit(NO_ID) - F.pmod(F.xxhash64(text), F.lit(2**62))
+    low = F.raise_error(F.lit("substring dedup needs ids above -2**62")).cast("long")
+    return F.when(doc_id.isNull(), own).when(doc_id <= NO_ID, low).otherwise(doc_id)
+
+
+def _later(key: str, first: str) -> Column:
+    """Whether a document comes after another one; those without an id are all equally early."""
+    floor = F.lit(NO_ID)
+    return F.greatest(key, floor) > F.greatest(first, floor)
+
+
 def _copies(keyed: DataFrame) -> DataFrame:
     """key, digest of the documents that have the whole text of an earlier one: all of their
     windows began before, and they begin none that the earlier one does not."""
@@ -210,7 +224,7 @@ def _copies(keyed: DataFrame) -> DataFrame:
     first = texts.groupBy("digest", "second").agg(F.min("key").alias("first"))
     return (
         texts.join(first, ["digest", "second"])
-        .where(F.col("key") > F.col("first"))
+        .where(_later("key", "first"))
         .select("key", "digest")
     )
 

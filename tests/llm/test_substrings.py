@@ -45,5 +45,21 @@ def test_rows_of_one_id_keep_each_other(documents):
     assert sorted((r.doc_id, r.n_removed) for r in rows) == [(1, 0), (1, 0), (2, 30)]
 
 
+def test_texts_without_an_id_are_keys_of_their_own(documents):
+    """They come before every id and keep each other's words, and no key gathers all of them."""
+    passage = " ".join(map(str, range(25)))
+    texts = [f"{'a%d ' % k * 3}{passage}" for k in range(40)]
+    frame = documents(*[(None, x) for x in texts], (None, texts[0]), (-5, texts[3]), (7, f"b {passage}"))
+    rows = substrings.remove_repeats(frame).collect()
+    assert sorted((r.doc_id or 0, r.n_removed) for r in rows) == [(-5, 28)] + [(0, 0)] * 41 + [(7, 25)]
+    keys = frame.select(substrings._key(frame.doc_id, frame.text).alias("key")).distinct()
+    assert keys.where(f"key <= {substrings.NO_ID}").count() == 40
+
+
+def test_an_id_below_the_range_is_an_error(documents):
+    with pytest.raises(Exception, match="ids above"):
+        substrings.remove_repeats(documents((-(2**62), "a b"))).collect()
+
+
 def test_empty_table(documents):
     assert substrings.remove_repeats(documents()).count() == 0
