@@ -5,10 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from pulsegrid.session import materialize
+
 MIN_SITES = 10  # a line on that many sites is boilerplate
 BAND = 0.1  # estimates within this share of the threshold are counted exactly: 6 sigma at LG_K
 LG_K = 12
 BLANK = " \t\r"
+BROADCAST_LINES = 500_000  # rows of two hashes: about 30 MB
 
 
 def site(source: Column) -> Column:
@@ -73,6 +76,10 @@ def remove_boilerplate(docs: DataFrame, min_sites: int = MIN_SITES, **sketch) ->
     document of such lines alone would be left empty and is a copy rather than a page with
     boilerplate, so it stays whole for the near-duplicate operators. A null text stays null with
     no lines. Repeated rows are treated alike. An empty table gives no rows.
+
+    The spread lines are stored and counted first. Up to BROADCAST_LINES they are broadcast, so a
+    line on every page costs no task more than its share; beyond, lines are shuffled by hash and
+    adaptive execution splits the hot ones.
     """
     # rows with the same id and text may share a key: they lose the same lines
     keyed = docs.select(
@@ -82,7 +89,9 @@ def remove_boilerplate(docs: DataFrame, min_sites: int = MIN_SITES, **sketch) ->
         F.xxhash64("doc_id", "text").alias("key"),
     )
     lines = _lines(keyed.select("key", "text", "site"))
-    spread = spread_lines(lines, min_sites, **sketch)
+    spread = materialize(spread_lines(lines, min_sites, **sketch))
+    if spread.count() <= BROADCAST_LINES:
+        spread = F.broadcast(spread)
     hits = (
         lines.select("key", "place", "chars", "h", "g")
         .join(spread, ["h", "g"])

@@ -38,6 +38,18 @@ def test_odd_rows_of_lines(documents):
     assert lines.remove_boilerplate(documents()).count() == 0
 
 
+def test_spread_lines_are_broadcast_or_shuffled_alike(documents, monkeypatch):
+    docs = [(k, f"everywhere\nown {k}\n{'twelfth' if k % 12 == 0 else 'x%d' % k}", f"s{k % 40}") for k in range(240)]
+    plans, found = [], []
+    for most in (lines.BROADCAST_LINES, 0):
+        monkeypatch.setattr(lines, "BROADCAST_LINES", most)
+        frame = lines.remove_boilerplate(documents(*docs))
+        plans.append(frame._jdf.queryExecution().optimizedPlan().toString())
+        found.append(sorted((r.row.doc_id, r.n_lines, r.n_removed, r.kept) for r in frame.collect()))
+    assert found[0] == found[1] and {r[2] for r in found[0]} == {1, 2}
+    assert "strategy=broadcast" in plans[0] and "strategy=broadcast" not in plans[1]
+
+
 def test_targets_fill_up_by_weight(spark):
     sizes = [("a", 100), ("b", 1000), ("c", 50), (None, 10), ("z", 0)]
     frame = spark.createDataFrame(sizes, "source string, size long")
