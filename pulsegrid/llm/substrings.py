@@ -208,7 +208,9 @@ def _key(doc_id: Column, text: Column) -> Column:
     ids, so that the rows without an id never come together as one key."""
     own = F.lit(NO_ID) - F.pmod(F.xxhash64(text), F.lit(2**62))
     low = F.raise_error(F.lit("substring dedup needs ids above -2**62")).cast("long")
-    return F.when(doc_id.isNull(), own).when(doc_id <= NO_ID, low).otherwise(doc_id)
+    key = F.when(doc_id.isNull(), own).when(doc_id <= NO_ID, low).otherwise(doc_id)
+    # never null, and known to be: joins then add no filter, and the texts are shuffled by it once
+    return F.coalesce(key, F.lit(NO_ID))
 
 
 def _later(key: str, first: str) -> Column:
