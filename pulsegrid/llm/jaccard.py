@@ -1,8 +1,7 @@
-"""Link documents by n-gram Jaccard similarity: parity sketches, pigeonhole, exact check."""
+"""Link documents by n-gram Jaccard similarity: rarest shingles, parity sketches, exact check."""
 
 from __future__ import annotations
 
-import math
 from itertools import accumulate
 
 import numpy as np
@@ -14,7 +13,9 @@ from pulsegrid.llm.words import LOWER, Words, chunks, lists, mixed, runs
 from pulsegrid.session import discard, materialize
 
 SHINGLE, PERCENT = 5, 80
-BITS_PER_SEGMENT = 4096
+#: How common shingles are is counted in one of SHARE texts and kept for slots of hashes. It only
+#: orders shingles: pairs are found whatever the order, a poor one makes more of them to check.
+SHARE, SLOT_BITS = 8, 20
 #: Bits of the short sketches that prune pairs before the exact check, and the set sizes from which
 #: a text has the next one too: a sketch says nothing of sets much larger than half its bits.
 FOLDED = (2048, 16384, 131072)
@@ -25,7 +26,7 @@ BLOCK = 1024
 NO_ID = -(2**63)
 
 NAMED = "row long, doc_id long, n_shingles long, sid long, sketch array<long>"
-MET = "bucket long, sid long"
+MET = "bucket long, n long, sid long"
 SETS = "sid long, n long, shingles array<long>"
 
 
@@ -66,69 +67,24 @@ def _set_ids(h: np.ndarray, row: np.ndarray, n: int) -> np.ndarray:
     return mixed(sums ^ mixed(np.diff(edges).astype(np.uint64)))
 
 
-# ---- sketches ----------------------------------------------------------------------------
+# ---- prefixes and sketches ---------------------------------------------------------------
 
 
-class Bands:
-    """Size bands, each with its number of segments.
+def _rarest(h, row, common: np.ndarray, n: int, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """The shingles by which each of n texts is found, and whose they are.
 
-    Two sets of sizes a <= b can only reach the threshold if b is within reach of a and their
-    symmetric difference is at most d = (a + b)(1 - t)/(1 + t). They meet in the band of a: with
-    d + 1 + spare segments at least spare + 1 segments of their sketches agree.
+    Two sets that reach the threshold share at least ``percent`` of either's shingles. So, whatever
+    the order of all shingles, the first one they share is among the first that a set has before
+    the rest is less than its ``percent``. Shingles are ordered by how ``common`` their slot is,
+    then by hash: a passage of many texts comes last, and no pair is made for it alone.
     """
-
-    def __init__(self, percent: int, largest: int = 1 << 40):
-        self.percent = percent
-        tops = [1]
-        while tops[-1] < largest:
-            tops.append(max(tops[-1] + 1, tops[-1] * 3 // 2))
-        self.tops = np.array(tops, np.int64)
-        segments, spare = [], []
-        for low, top in zip([0, *tops], tops, strict=False):
-            far = (top + 100 * top // percent) * (100 - percent) // (100 + percent)
-            base = far + 1
-            # so many segments may well be empty in a small set of the band; see _segments
-            extra = math.ceil(3 * base * math.exp(-(low + 1) / base)) + 1 if base >= 32 else 0
-            segments.append(base + extra)
-            spare.append(extra)
-        self.segments, self.spare = np.array(segments, np.int64), np.array(spare, np.int64)
-
-    def of(self, sizes: np.ndarray) -> np.ndarray:
-        return np.searchsorted(self.tops, sizes)
-
-
-def _segments(h, row, sizes, bands: Bands) -> tuple[np.ndarray, np.ndarray]:
-    """Bucket keys of each text's sketch segments, and whose they are.
-
-    A shingle flips one bit of a sketch with BITS_PER_SEGMENT bits in each segment, so the
-    Hamming distance of two sketches is at most the symmetric difference of their sets. A
-    segment is named by the XOR of the names of its set bits. Empty segments say nothing: up to
-    ``spare`` of them are left out, since two sets agree in more than ``spare`` segments.
-    """
-    own = bands.of(sizes)
-    keys, owner = [], []
-    # a set also meets those of the band below that are large enough for it
-    low = np.maximum(own - 1, 0)
-    reach = (own > 0) & (100 * bands.tops[low] >= bands.percent * sizes)
-    for band, texts in ((own, sizes > 0), (low, reach & (sizes > 0))):
-        count = np.where(texts, bands.segments[band], 0)
-        base = np.concatenate([[0], np.cumsum(count)])
-        used = texts[row]
-        values, whose = h[used], row[used]
-        at = values % (count[whose].astype(np.uint64) * np.uint64(BITS_PER_SEGMENT))
-        place = base[whose] + (at // np.uint64(BITS_PER_SEGMENT)).astype(np.int64)
-        bits = np.zeros(base[-1], np.uint64)
-        np.bitwise_xor.at(bits, place, mixed(at + np.uint64(1)))
-        text = np.repeat(np.arange(len(sizes)), count)
-        empty = bits == 0
-        many = np.bincount(text[empty], minlength=len(sizes)) > bands.spare[band]
-        stays = ~empty | many[text]
-        name = (band[text] << 40) + np.arange(len(bits)) - base[text]
-        keys.append(mixed(bits + mixed(name.astype(np.uint64)))[stays])
-        owner.append(text[stays])
-    keys, owner = np.concatenate(keys), np.concatenate(owner)
-    order = np.argsort(owner, kind="stable")
-    return keys[order], owner[order]
+    order = np.lexsort((common[(h >> np.uint64(64 - SLOT_BITS)).astype(np.int64)], row))
+    h, row = h[order], row[order]
+    first = np.searchsorted(row, np.arange(n + 1))
+    sizes = np.diff(first)
+    needed = (percent * sizes + 99) // 100
+    used = np.arange(len(h)) - first[row] <= (sizes - needed)[row]
+    return h[used], row[used]
 
 
 def _short_sketches(h: np.ndarray, whose: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -173,52 +129,76 @@ def _name_texts(n: int):
     return name
 
 
-def _segment_texts(n: int, percent: int):
-    """Bucket and name of every segment of every set; copies within a task come once, so that a
-    text that is everywhere costs its segments once a task."""
-
-    def segment(batches):
-        bands, seen = Bands(percent), set()
-        for batch in batches:
-            for _, data, offsets in chunks(batch.column("text")):
-                h, whose = _sets(data, offsets, n)
-                sizes = np.bincount(whose, minlength=len(offsets) - 1)
-                ids = _set_ids(h, whose, len(sizes)).view(np.int64)
-                new = np.zeros(len(sizes), bool)
-                for k in np.flatnonzero(sizes).tolist():
-                    if ids[k] not in seen:
-                        seen.add(int(ids[k]))
-                        new[k] = True
-                keys, owner = _segments(h, whose, np.where(new, sizes, 0), bands)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(keys.view(np.int64)), pa.array(ids[owner])], ["bucket", "sid"]
-                )
+def _new_sets(batches, n: int):
+    """Shingles of the texts of each chunk, whose they are, and names of the texts' sets; copies
+    within a task come once, so that a text that is everywhere costs its shingles once a task."""
+    seen = set()
+    for batch in batches:
+        for _, data, offsets in chunks(batch.column("text")):
+            h, whose = _sets(data, offsets, n)
+            sizes = np.bincount(whose, minlength=len(offsets) - 1)
+            ids = _set_ids(h, whose, len(sizes)).view(np.int64)
+            new = np.zeros(len(sizes), bool)
+            for k in np.flatnonzero(sizes).tolist():
+                if ids[k] not in seen:
+                    seen.add(int(ids[k]))
+                    new[k] = True
+            used = new[whose]
+            yield h[used], whose[used], ids
+
+
+def _shingle_texts(n: int):
+    """All shingles of every set."""
+
+    def shingles(batches):
+        for h, _, _ in _new_sets(batches, n):
+            yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64))], ["shingle"])
+
+    return shingles
+
+
+def _prefix_texts(n: int, percent: int, common: np.ndarray):
+    """The shingles by which a set is found, as buckets, with size and name of the set."""
+
+    def prefix(batches):
+        for h, whose, ids in _new_sets(batches, n):
+            sizes = np.bincount(whose, minlength=len(ids))
+            keys, owner = _rarest(h, whose, common, len(ids), percent)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(keys.view(np.int64)), pa.array(sizes[owner]), pa.array(ids[owner])],
+                ["bucket", "n", "sid"],
+            )
 
-    return segment
+    return prefix
 
 
-def _shared_buckets(batches):
-    """Rows of sorted (bucket, sid), each once, of the buckets that hold several sets; a bucket may
-    span batches."""
-    bucket = sid = np.zeros(0, np.int64)
+def _shared_buckets(percent: int):
+    """Of rows sorted by bucket, n and sid, each once, those with another set of the bucket in
+    reach of their size; a bucket may span batches."""
 
-    def several(bucket, sid):
+    def several(bucket, n, sid):
         new = np.ones(len(bucket), bool)
         new[1:] = (bucket[1:] != bucket[:-1]) | (sid[1:] != sid[:-1])
-        bucket, sid = bucket[new], sid[new]
-        same = bucket[1:] == bucket[:-1]
-        shared = np.concatenate([same, [False]]) | np.concatenate([[False], same])
-        return pa.RecordBatch.from_arrays([pa.array(bucket[shared]), pa.array(sid[shared])], ["bucket", "sid"])
+        bucket, n, sid = bucket[new], n[new], sid[new]
+        meet = (bucket[1:] == bucket[:-1]) & (100 * n[:-1] >= percent * n[1:])
+        shared = np.concatenate([meet, [False]]) | np.concatenate([[False], meet])
+        columns = [pa.array(x[shared]) for x in (bucket, n, sid)]
+        return pa.RecordBatch.from_arrays(columns, ["bucket", "n", "sid"])
+
+    def shared(batches):
+        bucket = n = sid = np.zeros(0, np.int64)
+        for batch in batches:
+            bucket = np.concatenate([bucket, batch.column("bucket").to_numpy()])
+            n = np.concatenate([n, batch.column("n").to_numpy()])
+            sid = np.concatenate([sid, batch.column("sid").to_numpy()])
+            if len(bucket) and bucket[0] != bucket[-1]:
+                last = int(np.flatnonzero(bucket != bucket[-1])[-1]) + 1
+                yield several(bucket[:last], n[:last], sid[:last])
+                bucket, n, sid = bucket[last:], n[last:], sid[last:]
+        if len(bucket):
+            yield several(bucket, n, sid)
 
-    for batch in batches:
-        bucket = np.concatenate([bucket, batch.column("bucket").to_numpy()])
-        sid = np.concatenate([sid, batch.column("sid").to_numpy()])
-        if len(bucket) and bucket[0] != bucket[-1]:
-            last = int(np.flatnonzero(bucket != bucket[-1])[-1]) + 1
-            yield several(bucket[:last], sid[:last])
-            bucket, sid = bucket[last:], sid[last:]
-    if len(bucket):
-        yield several(bucket, sid)
+    return shared
 
 
 def _set_texts(n: int):
@@ -251,6 +231,31 @@ def _pairs(a, b) -> list:
     return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
 
 
+def _in_reach(n, m, percent: int):
+    """Whether sets of these sizes can reach the threshold at all."""
+    return 100 * F.least(n, m) >= percent * F.greatest(n, m)
+
+
+def _common(keyed: DataFrame, shingle: int) -> np.ndarray:
+    """How common the most common shingle of each slot is, as a logarithm in 8 bits; 0 where no
+    shingle of the texts looked at is in two of them."""
+    slots = (
+        keyed.where(F.pmod(F.xxhash64("text"), F.lit(SHARE)) == 0)
+        .select("text")
+        .mapInArrow(_shingle_texts(shingle), "shingle long")
+        .groupBy("shingle")
+        .agg(F.count("*").alias("texts"))
+        .where("texts > 1")
+        .groupBy(F.shiftrightunsigned("shingle", 64 - SLOT_BITS).alias("slot"))
+        .agg(F.max("texts").alias("texts"))
+        .toArrow()
+    )
+    common = np.zeros(1 << SLOT_BITS, np.uint8)
+    texts = slots.column("texts").to_numpy()
+    common[slots.column("slot").to_numpy()] = np.minimum(np.rint(8 * np.log2(texts)), 255)
+    return common
+
+
 def _both(pairs: DataFrame, nodes: DataFrame, column: str) -> DataFrame:
     """Pairs (a, b) with the size and a column of either set."""
 
@@ -295,7 +300,7 @@ def _verified(pairs: DataFrame, keyed: DataFrame, nodes: DataFrame, shingle: int
     return linked
 
 
-def _stars(members: DataFrame) -> DataFrame:
+def _stars(members: DataFrame, percent: int) -> DataFrame:
     """Every member of a bucket with the bucket's hub: the member that meets most others, which
     in a group of near copies is the text they were made from."""
     sizes = members.groupBy("bucket").agg(F.count("*").alias("size"))
@@ -303,12 +308,12 @@ def _stars(members: DataFrame) -> DataFrame:
     hubs = (
         members.join(support, "sid")
         .groupBy("bucket")
-        .agg(F.max_by("sid", F.struct("support", "sid")).alias("hub"))
+        .agg(F.max_by(F.struct("sid", "n"), F.struct("support", "sid")).alias("hub"))
     )
     return (
         members.join(hubs, "bucket")
-        .where("sid <> hub")
-        .select(*_pairs(F.col("sid"), F.col("hub")))
+        .where((F.col("sid") != F.col("hub.sid")) & _in_reach("n", "hub.n", percent))
+        .select(*_pairs(F.col("sid"), F.col("hub.sid")))
         .distinct()
     )
 
@@ -364,14 +369,15 @@ def _leftover(members: DataFrame, components: DataFrame, nodes: DataFrame, perce
         other,
         (F.col("one.bucket") == F.col("other.bucket"))
         & (F.col("one.sid") < F.col("other.sid"))
-        & (F.col("one.component") != F.col("other.component")),
+        & (F.col("one.component") != F.col("other.component"))
+        & _in_reach("one.n", "other.n", percent),
     ).select(F.col("one.sid").alias("a"), F.col("other.sid").alias("b"))
     blocks = F.ceil(F.col("size") / BLOCK).cast("long")
     large = (
         labelled.where(F.col("size") > SMALL)
         .withColumn("block", F.pmod(F.xxhash64("sid"), blocks))
         .withColumn("with", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)))
-        .join(nodes.select("sid", "n", "sketch"), "sid")
+        .join(nodes.select("sid", "sketch"), "sid")
         .select(
             "bucket",
             F.least("block", "with").alias("i"),
@@ -439,9 +445,9 @@ def link(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> Dat
     first; what does not join one component that way is compared pair by pair, so no link between
     different sets is missed.
 
-    Texts are read again rather than kept: segments go from the scan into one shuffle by bucket, of
-    which only shared buckets are stored, and sets are built only for pairs whose short sketches
-    are near.
+    Texts are read again rather than kept: the rarest shingles go from the scan into one shuffle by
+    bucket, of which only shared buckets are stored, and sets are built only for pairs whose short
+    sketches are near.
     """
     keyed = docs.select(
         F.xxhash64("doc_id", "text").alias("row"),
@@ -461,10 +467,10 @@ def link(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> Dat
     )
     met = materialize(
         keyed.select("text")
-        .mapInArrow(_segment_texts(shingle, percent), MET)
+        .mapInArrow(_prefix_texts(shingle, percent, _common(keyed, shingle)), MET)
         .repartition("bucket")
-        .sortWithinPartitions("bucket", "sid")
-        .mapInArrow(_shared_buckets, MET)
+        .sortWithinPartitions("bucket", "n", "sid")
+        .mapInArrow(_shared_buckets(percent), MET)
     )
     # of buckets with the same members one is enough
     alike = met.groupBy("bucket").agg(
@@ -476,7 +482,7 @@ def link(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> Dat
     members = materialize(met.join(chosen, "bucket"))
     discard(met)
 
-    stars = materialize(_stars(members))
+    stars = materialize(_stars(members, percent))
     near = materialize(_near(stars, nodes, percent))
     edges = _verified(near, keyed, nodes, shingle, percent)
     rest = _leftover(members, components(edges), nodes, percent).join(stars, ["a", "b"], "left_anti")

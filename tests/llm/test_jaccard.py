@@ -73,3 +73,42 @@ def test_sketches_bound_the_difference_of_sets():
     assert np.bincount(owner).tolist() == list(jaccard.SKETCH_ENDS)
     ones = [int(np.bitwise_count(words[owner == k].view(np.uint64)).astype(int).sum()) for k in range(3)]
     assert ones[0] == 10 and ones[1] <= 2 * 2500 and ones[2] <= 3 * 17_000
+
+
+def test_a_passage_of_many_texts_makes_no_pairs(documents, monkeypatch):
+    """Only texts that share rare shingles too are paired, so pairs do not grow with the square of
+    the texts that hold a passage."""
+    asked, chosen = [], jaccard._near
+
+    def counted(pairs, *rest):
+        asked.append(pairs.count())
+        return chosen(pairs, *rest)
+
+    monkeypatch.setattr(jaccard, "_near", counted)
+    rng = random.Random(7)
+    passage = [f"p{k}" for k in range(40)]
+    texts = [[f"t{rng.randrange(10**6)}" for _ in range(30)] + passage for _ in range(160)]
+    texts.append([*texts[3][:-1], "other"])
+    rows = [(k, " ".join(words)) for k, words in enumerate(texts)]
+    found = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard.link(documents(*rows)).collect()}
+    assert found == brute.components(rows, jaccard.SHINGLE, jaccard.PERCENT)
+    assert found[160] == (66, 3)
+    assert sum(asked) <= 5
+
+
+@pytest.mark.parametrize("percent", [60, 80, 90])
+def test_sets_in_reach_share_a_prefix_shingle_in_any_order(percent):
+    import numpy as np
+
+    rng = np.random.default_rng(percent)
+    for trial in range(300):
+        common = rng.integers(0, 4, 1 << jaccard.SLOT_BITS).astype(np.uint8)
+        pool = np.unique(rng.integers(0, 2**64, rng.integers(2, 60), np.uint64))
+        a = np.sort(rng.choice(pool, rng.integers(1, len(pool) + 1), replace=False))
+        b = np.sort(rng.choice(pool, rng.integers(1, len(pool) + 1), replace=False))
+        both = len(np.intersect1d(a, b))
+        keys, owner = jaccard._rarest(
+            np.concatenate([a, b]), np.repeat([0, 1], [len(a), len(b)]), common, 2, percent
+        )
+        if 100 * both >= percent * (len(a) + len(b) - both):
+            assert np.intersect1d(keys[owner == 0], keys[owner == 1]).size, trial
